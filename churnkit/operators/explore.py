@@ -95,11 +95,12 @@ def cramers_v(counts: DataFrame) -> DataFrame:
     For a two-valued label chi-squared over N is (sum(p_v^2 / n_v) - P^2 / N) / (P (1 - P / N)), so sums over the
     values of a column are enough.
     """
+    positive = F.col("n_positive").cast("double")
     sums = (
         counts.where(value_text().isNotNull() & (F.col("n_labelled") > 0))
         .groupBy("feature")
         .agg(
-            F.sum(F.pow("n_positive", F.lit(2.0)) / F.col("n_labelled")).alias("explained"),
+            F.sum(positive * positive / F.col("n_labelled")).alias("explained"),
             F.sum("n_positive").cast("double").alias("positives"),
             F.sum("n_labelled").cast("double").alias("total"),
             F.count(F.lit(1)).alias("n_values"),

@@ -13,6 +13,7 @@ from churnkit.operators.profile import string_columns, top_values, value_table
 from churnkit.spec import TableSpec
 
 FEATURES = "features"
+MAX_CATEGORIES = 100
 
 
 class TooManyCategories(ValueError):
@@ -23,7 +24,7 @@ def index_name(column: str) -> str:
     return column + "_index"
 
 
-def index_labels(df: DataFrame, columns: Sequence[str], max_categories: int = 32) -> DataFrame:
+def index_labels(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> DataFrame:
     """(feature, value, n_rows, index): most frequent value 0.0, ties by value.
 
     A plain grouped count, cut by every task to ``max_categories`` + 1 values per column before the shuffle.
@@ -34,7 +35,7 @@ def index_labels(df: DataFrame, columns: Sequence[str], max_categories: int = 32
 
 
 def fit_index(
-    df: DataFrame, columns: Sequence[str], max_categories: int = 32, handle_invalid: str = "keep"
+    df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES, handle_invalid: str = "keep"
 ) -> StringIndexerModel:
     """Codes for all columns at once; by default unseen and null values share one extra code.
 
@@ -64,7 +65,7 @@ def feature_columns(df: DataFrame, spec: TableSpec) -> list[str]:
 
 
 def fit_features(
-    train: DataFrame, spec: TableSpec, max_categories: int = 32, handle_invalid: str = "keep"
+    train: DataFrame, spec: TableSpec, max_categories: int = MAX_CATEGORIES, handle_invalid: str = "keep"
 ) -> PipelineModel:
     """Codes learnt from the training rows, then one vector of ``spec.features`` in that order."""
     stages = []
@@ -75,6 +76,12 @@ def fit_features(
     return PipelineModel(stages)
 
 
+def widest_code(df: DataFrame) -> int:
+    """The largest number of codes of any category in the vector, as its metadata tells; 0 without categories."""
+    attributes = df.schema[FEATURES].metadata.get("ml_attr", {}).get("attrs", {}).get("nominal", [])
+    return max((len(a["vals"]) for a in attributes if "vals" in a), default=0)
+
+
 def vectorise(df: DataFrame, spec: TableSpec, model: PipelineModel, keep: Sequence[str] | None = None) -> DataFrame:
     """Rows with their vector. ``keep`` lists the other columns to keep; None keeps all, codes included."""
     vectors = model.transform(df)

@@ -144,12 +144,12 @@ def column_profile(counts: DataFrame, quantiles: Sequence[float] = (0.25, 0.5, 0
     )
     # From here on one row per column of the table, or two per column and quantile: small enough to broadcast.
     means = F.broadcast(basics.where("mean is not null").select("feature", "mean", "n_numbers"))
-    distance = F.pow(F.col("number") - F.col("mean"), F.lit(2.0))
+    away = F.col("number") - F.col("mean")
     spread = (
         counts.where(has_number)
         .join(means, "feature")
         .groupBy("feature")
-        .agg(F.sqrt(F.try_divide(F.sum(F.col("n_rows") * distance), F.max("n_numbers") - 1)).alias("stddev"))
+        .agg(F.sqrt(F.try_divide(F.sum(F.col("n_rows") * away * away), F.max("n_numbers") - 1)).alias("stddev"))
     )
     names = {q: f"p{round(q * 100):02d}" for q in quantiles}
     wide = (

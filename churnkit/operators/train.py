@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
@@ -12,7 +12,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.operators.features import FEATURES
+from churnkit.operators.features import FEATURES, widest_code
 from churnkit.operators.split import FOLD, LABEL, SAMPLE, kept_by_undersampling
 from churnkit.spec import SplitSpec, TrainSpec
 
@@ -60,6 +60,16 @@ def param_grid(estimator: Estimator, grid: Mapping[str, Sequence]) -> list[dict]
     return builder.build()
 
 
+def chosen_cell(spec: TrainSpec, params: Mapping[str, str]) -> TrainSpec:
+    """The spec narrowed to the grid values that a model's parameter texts name."""
+    known = estimator_for(spec, 0)
+    convert = {name: known.getParam(name).typeConverter for name in spec.grid}
+    cell = {
+        name: tuple(v for v in values if str(convert[name](v)) == params[name]) for name, values in spec.grid.items()
+    }
+    return replace(spec, grid=cell)
+
+
 def training_rows(train: DataFrame, spec: TrainSpec) -> DataFrame:
     """All training rows, or the undersampled ones."""
     if spec.undersample is None:
@@ -74,6 +84,10 @@ def search(train: DataFrame, spec: TrainSpec, split: SplitSpec, parallelism: int
     """
     rows = training_rows(train, spec)
     estimator = estimator_for(spec, split.seed)
+    if estimator.hasParam("maxBins"):
+        codes, bins = widest_code(train), estimator.getOrDefault("maxBins")
+        if codes > bins:
+            raise ValueError(f"a category has {codes} codes but maxBins is {bins}; set it in TrainSpec.fixed")
     grid = param_grid(estimator, spec.grid)
     cells = [{p.name: v for p, v in cell.items()} for cell in grid]
     if len(grid) == 1:

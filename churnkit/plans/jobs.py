@@ -14,8 +14,8 @@ from churnkit.functions import fold_number, label_value, required_label, sample_
 from churnkit.operators import evaluate, explore, features, profile
 from churnkit.operators.clean import clean
 from churnkit.operators.split import FOLD, LABEL, SAMPLE, SPLIT, in_test, in_train
-from churnkit.operators.train import Search, search
-from churnkit.spec import BENCHMARK, CHOSEN, SplitSpec, TableSpec, TrainSpec
+from churnkit.operators.train import Search, chosen_cell, search
+from churnkit.spec import BENCHMARK, CHOSEN, MIN_RECALL, SplitSpec, TableSpec, TrainSpec
 
 LEADERBOARD_SCHEMA = (
     "position int, algorithm string, undersample double, params map<string,string>, cv_f1 double"
@@ -69,7 +69,7 @@ def analyse(raw: DataFrame, spec: TableSpec) -> dict[str, DataFrame]:
     }
 
 
-def prepare(raw: DataFrame, spec: TableSpec, split: SplitSpec, max_categories: int = 32) -> Prepared:
+def prepare(raw: DataFrame, spec: TableSpec, split: SplitSpec, max_categories: int = features.MAX_CATEGORIES) -> Prepared:
     """Clean, mark, learn the codes from the training rows, vectorise all rows, write them once."""
     cleaned = clean(raw, spec)
     spec = spec.resolve(cleaned)
@@ -135,6 +135,14 @@ def benchmark(
     return evaluated([(s, search(prepared.train, s, split, parallelism)) for s in train_specs], prepared)
 
 
+def choose(
+    leaderboard: DataFrame, train_specs: Sequence[TrainSpec] = BENCHMARK, min_recall: float = MIN_RECALL
+) -> TrainSpec | None:
+    """What to train for good: the chosen row's algorithm, parameters and undersampling; None if none will do."""
+    row = evaluate.select_model(leaderboard, min_recall, "position").select("position", "params").first()
+    return row and chosen_cell(train_specs[row["position"]], row["params"])
+
+
 @dataclass(frozen=True)
 class Scored:
     """Outcome of a training run: the vectors, the scored rows, and the metrics on the held-out rows."""

@@ -1,0 +1,68 @@
+import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import VectorUDT
+
+from churnkit import sources
+
+ROWS = [("a", " ", 1.5, 1), ("b", "x,\"y\"", -0.25, 2), (" c ", "z", 1e-7, None)]
+SCHEMA = "k string, text string, d double, i int"
+
+
+def test_csv_keeps_blanks_quotes_and_numbers(spark, tmp_path):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    sources.write_csv(df, str(tmp_path / "c"))
+    back = sources.read_csv(spark, str(tmp_path / "c"), SCHEMA)
+    assert sorted(map(tuple, back.collect())) == sorted(ROWS)
+
+
+def test_csv_reads_empty_cells_as_null(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('k,text\na,\nb," "\n')
+    rows = {r.k: r.text for r in sources.read_csv(spark, str(tmp_path / "in.csv")).collect()}
+    assert rows == {"a": None, "b": " "}
+
+
+def test_csv_refuses_vectors_and_parquet_keeps_them(spark, tmp_path):
+    df = VectorAssembler(inputCols=["d"], outputCol="v").transform(spark.createDataFrame(ROWS, SCHEMA))
+    with pytest.raises(ValueError, match="v"):
+        sources.write_csv(df, str(tmp_path / "c"))
+    sources.write_parquet(df, str(tmp_path / "p"))
+    assert isinstance(spark.read.parquet(str(tmp_path / "p")).schema["v"].dataType, VectorUDT)
+    sources.write_parquet(df, str(tmp_path / "q"), vectors_as_arrays=True)
+    assert spark.read.parquet(str(tmp_path / "q")).schema["v"].dataType.simpleString() == "array<double>"
+
+
+def test_file_count_is_a_choice_and_writes_replace(spark, tmp_path):
+    df = spark.range(100).repartition(4)
+    for files in (1, 3, 1):
+        sources.write_json(df, str(tmp_path / "j"), files=files)
+        assert len(list((tmp_path / "j").glob("part-*"))) == files
+    assert spark.read.json(str(tmp_path / "j")).count() == 100
+
+
+def test_materialised_table_forgets_where_it_came_from(spark):
+    df = spark.range(10).selectExpr("id", "id * 2 as twice").repartition(3)
+    kept = sources.materialise(df)
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, df.collect()))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and spark.conf.get("spark.checkpoint.dir") in plan
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
+    class Elsewhere:
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        sources.shared_folder(Elsewhere)
+
+
+def test_preview_and_schema(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    assert [r.k for r in sources.preview(df, 2, ["d"]).collect()] == ["b", " c "]
+    rows = [tuple(r) for r in sources.schema_report(df).orderBy("position").collect()]
+    assert rows == [(1, "k", "string", 3), (2, "text", "string", 3), (3, "d", "double", 3), (4, "i", "int", 2)]
