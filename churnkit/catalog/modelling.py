@@ -26,7 +26,7 @@ from churnkit.operators import evaluate, features, split
 from churnkit.operators.clean import clean
 from churnkit.operators.train import search
 from churnkit.plans import jobs
-from churnkit.spec import MIN_RECALL, SplitSpec, TrainSpec
+from churnkit.spec import MIN_RECALL, SplitSpec, TableSpec, TrainSpec
 
 _SPLIT_AT = unit_interval_sql("CustomerId", SPLIT.salt("split"))
 _SAMPLE_AT = unit_interval_sql("CustomerId", SPLIT.salt("sample"))
@@ -148,10 +148,27 @@ def feature_columns(spark, sf_dir):
     return listed.join(n_codes, "column", "left").fillna(0, ["n_codes"])
 
 
-def _unpacked(table: DataFrame) -> DataFrame:
+def _unpacked(table: DataFrame, spec: TableSpec = CUSTOMERS) -> DataFrame:
     """One column per vector slot, for engines that know no vectors."""
     slots = vector_to_array(features.FEATURES)
-    return table.select("CustomerId", "label", *[slots[i].alias(c) for i, c in enumerate(CUSTOMERS.features)])
+    return table.select(*spec.keys, "label", *[slots[i].alias(c) for i, c in enumerate(spec.features)])
+
+
+_DOC_SPLIT_AT = unit_interval_sql("cast(doc_id as varchar)", SPLIT.salt("split"))
+
+
+@query(
+    """select doc_id, label, n_chars::double as n_chars, toxic::double as toxic,
+              coalesce(g.index, (select count(*) from codes where feature = 'lang'))::double as lang,
+              coalesce(s.index, (select count(*) from codes where feature = 'source'))::double as source
+       from docs d
+       left join codes g on g.feature = 'lang' and g.value = d.lang
+       left join codes s on s.feature = 'source' and s.value = d.source""",
+    (QUALITY_SQL, f"codes as ({_labels_sql('docs', ['lang', 'source'], f'{_DOC_SPLIT_AT} <= {SPLIT.train_ratio}')})"),
+)
+def quality_feature_matrix(spark, sf_dir):
+    """Categories of 4 and 20 values; on small tables some occur in the held-out rows only."""
+    return _unpacked(jobs.prepare(labelled_documents(spark, sf_dir), QUALITY, SPLIT).table, QUALITY)
 
 
 _MATRIX_SQL = """select CustomerId, label, SeniorCitizen::double as SeniorCitizen, Tenure::double as Tenure,

@@ -111,7 +111,7 @@ def cramers_v(counts: DataFrame) -> DataFrame:
     return sums.select(
         "feature",
         F.lit("cramers_v").alias("measure"),
-        F.when(F.col("n_values") > 1, F.sqrt(F.greatest(ratio, F.lit(0.0)))).alias("strength"),
+        F.when((F.col("n_values") > 1) & ratio.isNotNull(), F.sqrt(F.greatest(ratio, F.lit(0.0)))).alias("strength"),
     )
 
 

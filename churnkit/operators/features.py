@@ -36,10 +36,11 @@ def index_labels(df: DataFrame, columns: Sequence[str], max_categories: int = MA
 
 def fit_index(
     df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES, handle_invalid: str = "keep"
-) -> StringIndexerModel:
-    """Codes for all columns at once; by default unseen and null values share one extra code.
+) -> PipelineModel:
+    """Codes for all columns, counted at once; by default unseen and null values share one extra code.
 
-    At most columns x (max_categories + 1) labels reach the driver.
+    At most columns x (max_categories + 1) labels reach the driver. One model per column, because a model of
+    several columns made from label lists pads the shorter lists with nulls.
     """
     labels: dict[str, list[str]] = {c: [] for c in columns}
     for row in index_labels(df, columns, max_categories).orderBy("feature", "index").collect():
@@ -47,8 +48,11 @@ def fit_index(
     wide = [c for c, values in labels.items() if len(values) > max_categories]
     if wide:
         raise TooManyCategories(f"more than {max_categories} values in: {', '.join(wide)}")
-    return StringIndexerModel.from_arrays_of_labels(
-        list(labels.values()), list(columns), [index_name(c) for c in columns], handle_invalid
+    return PipelineModel(
+        [
+            StringIndexerModel.from_labels(values, c, index_name(c), handle_invalid)
+            for c, values in labels.items()
+        ]
     )
 
 

@@ -57,8 +57,20 @@ def test_wide_columns_are_refused_by_name(spark):
     df = table(spark, [f"v{i}" for i in range(40)])
     with pytest.raises(features.TooManyCategories, match="g"):
         features.fit_index(df, ["g"], max_categories=39)
-    assert len(features.fit_index(df, ["g"], max_categories=40).labelsArray[0]) == 40
+    assert len(features.fit_index(df, ["g"], max_categories=40).stages[0].labels) == 40
 
 
 def test_feature_columns_leave_out_key_and_label(spark):
     assert features.feature_columns(table(spark, ["a"]), SPEC) == ["n", "g"]
+
+
+def test_columns_of_unequal_width_each_have_their_own_extra_code(spark):
+    spec = TableSpec(("id",), "y", "Yes", (), ("g", "h", "empty"))
+    schema = "id string, g string, h string, empty string, y string"
+    df = spark.createDataFrame([("0", "a", "p", None, "No"), ("1", "b", "p", None, "No"), ("2", "c", "p", None, "No")], schema)
+    model = features.fit_features(df, spec)
+    unseen = spark.createDataFrame([("0", "z", "z", "z", "No"), ("1", "a", "p", None, "No")], schema)
+    found = features.vectorise(unseen, spec, model)
+    assert slots(found) == [[3.0, 1.0, 0.0], [0.0, 0.0, 0.0]]
+    names = {a["name"]: a["vals"] for a in found.schema["features"].metadata["ml_attr"]["attrs"]["nominal"]}
+    assert names == {"g_index": ["a", "b", "c", "__unknown"], "h_index": ["p", "__unknown"], "empty_index": ["__unknown"]}
