@@ -127,5 +127,7 @@ RETURNS_SQL = """lines as (
 )"""
 
 
-def unit_interval_sql(keys: str, salt: str) -> str:
-    return f"(('0x' || substr(md5(concat_ws(':', '{salt}', {keys})), 1, 8))::bigint) / 4294967296.0::double"
+def position_sql(key: str, part: int) -> str:
+    """The part-th 20 bits (0 split, 1 sample, 2 fold) of the key's digest as a number in [0, 1)."""
+    bits = f"(('0x' || substr(md5(concat_ws(':', '{SPLIT.seed}', cast({key} as varchar))), 1, 15))::bigint)"
+    return f"((({bits} >> {20 * part}) & 1048575)::double / 1048576.0::double)"

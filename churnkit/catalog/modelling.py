@@ -18,7 +18,7 @@ from churnkit.catalog.fixtures import (
     churn_customers,
     labelled_documents,
     line_returns,
-    unit_interval_sql,
+    position_sql,
 )
 from churnkit.catalog.registry import query
 from churnkit.functions import label_value
@@ -28,11 +28,9 @@ from churnkit.operators.train import search
 from churnkit.plans import jobs
 from churnkit.spec import MIN_RECALL, SplitSpec, TableSpec, TrainSpec
 
-_SPLIT_AT = unit_interval_sql("CustomerId", SPLIT.salt("split"))
-_SAMPLE_AT = unit_interval_sql("CustomerId", SPLIT.salt("sample"))
-_FOLD_AT = unit_interval_sql("CustomerId", SPLIT.salt("fold"))
-_ORDER_SPLIT_AT = unit_interval_sql("cast(l_orderkey as varchar)", SPLIT.salt("split"))
-_ORDER_SAMPLE_AT = unit_interval_sql("cast(l_orderkey as varchar)", SPLIT.salt("sample"))
+_SPLIT_AT, _SAMPLE_AT, _FOLD_AT = (position_sql("CustomerId", part) for part in range(3))
+_ORDER_SPLIT_AT, _ORDER_SAMPLE_AT = (position_sql("l_orderkey", part) for part in range(2))
+_DOC_SPLIT_AT = position_sql("doc_id", 0)
 
 _CUSTOMERS = (CHURN_CUSTOMERS_SQL,)
 _MARKED = (
@@ -154,9 +152,6 @@ def _unpacked(table: DataFrame, spec: TableSpec = CUSTOMERS) -> DataFrame:
     return table.select(*spec.keys, "label", *[slots[i].alias(c) for i, c in enumerate(spec.features)])
 
 
-_DOC_SPLIT_AT = unit_interval_sql("cast(doc_id as varchar)", SPLIT.salt("split"))
-
-
 @query(
     """select doc_id, label, n_chars::double as n_chars, toxic::double as toxic,
               coalesce(g.index, (select count(*) from codes where feature = 'lang'))::double as lang,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,27 +23,38 @@ def round_half_even(column: Column) -> Column:
     return F.bround(column.cast("double"), 0)
 
 
-def unit_interval(keys: Sequence[str], salt: str) -> Column:
-    """A number in [0, 1) that depends on the key and the salt alone.
+# One digest per row serves all three markers: 60 of its bits, 20 for each.
+_BITS = 20
+_SPLIT, _SAMPLE, _FOLD = 0, 1, 2
+
+
+def key_bits(spec: TableSpec, split: SplitSpec) -> Column:
+    """60 bits that depend on the key and the seed alone.
 
-    The same row gets the same number whatever the partitioning and however often a task is retried, which
+    The same row gets the same bits whatever the partitioning and however often a task is retried, which
     ``rand(seed)`` does not promise. Null key parts are skipped, so every row gets a number.
     """
-    digest = F.md5(F.concat_ws(":", F.lit(salt), *[named(k).cast("string") for k in keys]))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    digest = F.md5(F.concat_ws(":", F.lit(str(split.seed)), *[named(k).cast("string") for k in spec.keys]))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
+def _position(bits: Column, part: int) -> Column:
+    """One third of the bits as a number in [0, 1), independent of the other two thirds."""
+    own = F.shiftright(bits, _BITS * part).bitwiseAND(F.lit(2**_BITS - 1))
+    return own.cast("double") / F.lit(float(2**_BITS))
 
 
-def split_position(spec: TableSpec, split: SplitSpec) -> Column:
-    return unit_interval(spec.keys, split.salt("split"))
+def split_position(bits: Column) -> Column:
+    return _position(bits, _SPLIT)
 
 
-def sample_position(spec: TableSpec, split: SplitSpec) -> Column:
-    return unit_interval(spec.keys, split.salt("sample"))
+def sample_position(bits: Column) -> Column:
+    return _position(bits, _SAMPLE)
 
 
-def fold_number(spec: TableSpec, split: SplitSpec) -> Column:
+def fold_number(bits: Column, folds: int) -> Column:
     """Fold in 0 .. folds-1."""
-    return F.floor(unit_interval(spec.keys, split.salt("fold")) * F.lit(float(split.folds))).cast("int")
+    return F.floor(_position(bits, _FOLD) * F.lit(float(folds))).cast("int")
 
 
 def label_value(spec: TableSpec) -> Column:

@@ -86,7 +86,7 @@ def widest_code(df: DataFrame) -> int:
     return max((len(a["vals"]) for a in attributes if "vals" in a), default=0)
 
 
-def vectorise(df: DataFrame, spec: TableSpec, model: PipelineModel, keep: Sequence[str] | None = None) -> DataFrame:
+def vectorise(df: DataFrame, model: PipelineModel, keep: Sequence[str] | None = None) -> DataFrame:
     """Rows with their vector. ``keep`` lists the other columns to keep; None keeps all, codes included."""
     vectors = model.transform(df)
     return vectors if keep is None else vectors.select(*keep, FEATURES)

@@ -117,11 +117,13 @@ def top_values(counts: DataFrame, k: int = 5) -> DataFrame:
 
 
 def sliced(counts: DataFrame) -> DataFrame:
-    """A ``value_table`` sorted into slices of similar size and written, ready for ``column_profile``."""
+    """A ``value_table`` sorted into slices of similar size and written, ready for ``column_profile``.
+
+    Every slice is a partition of the written table, so a query for some slices opens no other files.
+    """
     slices = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return materialise(
-        counts.repartitionByRange(slices, "feature", "number", "text").withColumn("slice", F.spark_partition_id())
-    )
+    ranged = counts.repartitionByRange(slices, "feature", "number", "text")
+    return materialise(ranged.withColumn("slice", F.spark_partition_id()), ["slice"])
 
 
 def column_profile(counts: DataFrame, quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
@@ -132,17 +134,26 @@ def column_profile(counts: DataFrame, quantiles: Sequence[float] = (0.25, 0.5, 0
     """
     has_number = F.col("number").isNotNull()
     is_null = value_text().isNull()
-    numbers = F.sum(F.when(has_number, F.col("n_rows")))
-    basics = counts.groupBy("feature").agg(
-        F.sum("n_rows").alias("n_rows"),
-        F.coalesce(F.sum(F.when(is_null, F.col("n_rows"))), F.lit(0)).alias("n_null"),
-        F.count_if(~is_null).alias("n_distinct"),
-        numbers.alias("n_numbers"),
-        F.try_divide(F.sum(F.col("number") * F.col("n_rows")), numbers).alias("mean"),
-        F.min("number").alias("min"),
-        F.max("number").alias("max"),
+    # As many rows as there are slices, plus one per column that shares a slice with the next. Written, because the
+    # three uses below need different columns of it and would each read all counts again.
+    per_slice = materialise(
+        counts.groupBy("feature", "slice").agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.coalesce(F.sum(F.when(is_null, F.col("n_rows"))), F.lit(0)).alias("n_null"),
+            F.count_if(~is_null).alias("n_distinct"),
+            F.sum(F.when(has_number, F.col("n_rows"))).alias("n_numbers"),
+            F.sum(F.col("number") * F.col("n_rows")).alias("total"),
+            F.min("number").alias("min"),
+            F.max("number").alias("max"),
+        )
+    )
+    basics = per_slice.groupBy("feature").agg(
+        *[F.sum(c).alias(c) for c in ("n_rows", "n_null", "n_distinct", "n_numbers")],
+        F.try_divide(F.sum("total"), F.sum("n_numbers")).alias("mean"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
     )
-    # From here on one row per column of the table, or two per column and quantile: small enough to broadcast.
+    # One row per column of the table, so small enough to send to every task.
     means = F.broadcast(basics.where("mean is not null").select("feature", "mean", "n_numbers"))
     away = F.col("number") - F.col("mean")
     spread = (
@@ -153,7 +164,7 @@ def column_profile(counts: DataFrame, quantiles: Sequence[float] = (0.25, 0.5, 0
     )
     names = {q: f"p{round(q * 100):02d}" for q in quantiles}
     wide = (
-        _quantiles(counts.where(has_number), quantiles)
+        _quantiles(counts.where(has_number), per_slice, quantiles)
         .groupBy("feature")
         .agg(*[F.max(F.when(F.col("quantile") == q, F.col("number"))).alias(n) for q, n in names.items()])
     )
@@ -169,23 +180,23 @@ def column_profile(counts: DataFrame, quantiles: Sequence[float] = (0.25, 0.5, 0
     )
 
 
-def _quantiles(counts: DataFrame, quantiles: Sequence[float]) -> DataFrame:
-    """Interpolated quantiles from sliced counts: (feature, quantile, number)."""
-    per_slice = counts.groupBy("feature", "slice").agg(F.sum("n_rows").alias("size"))
+def _quantiles(counts: DataFrame, per_slice: DataFrame, quantiles: Sequence[float]) -> DataFrame:
+    """Interpolated quantiles from sliced counts of numbers: (feature, quantile, number)."""
     whole = Window.partitionBy("feature")
-    position = F.col("quantile") * (F.col("total") - 1).cast("double")
+    position = F.col("quantile") * (F.col("all") - 1).cast("double")
     wanted = (
-        per_slice.select(
+        per_slice.where("n_numbers > 0")
+        .select(
             "feature",
             "slice",
-            "size",
-            (F.sum("size").over(whole.orderBy("slice")) - F.col("size")).alias("before"),
-            F.sum("size").over(whole).alias("total"),
+            F.sum("n_numbers").over(whole.orderBy("slice")).alias("until"),
+            F.sum("n_numbers").over(whole).alias("all"),
+            (F.sum("n_numbers").over(whole.orderBy("slice")) - F.col("n_numbers")).alias("before"),
         )
         .withColumn("quantile", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])))
         .withColumn("weight", position - F.floor(position))
         .withColumn("rank", F.explode(F.array(F.floor(position), F.ceil(position))))
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("size")))
+        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("until")))
         .groupBy("feature", "slice", "before")
         .agg(F.collect_set(F.struct("quantile", "weight", "rank")).alias("targets"))
     )
@@ -195,6 +206,7 @@ def _quantiles(counts: DataFrame, quantiles: Sequence[float]) -> DataFrame:
     hits = F.filter(
         "targets", lambda t: (t["rank"] < F.col("last")) & (t["rank"] >= F.col("last") - F.col("n_rows"))
     )
+    # At most two slices per column and quantile are wanted, so the list of them is broadcast.
     found = (
         counts.join(F.broadcast(wanted), ["feature", "slice"])
         .withColumn("last", F.col("before") + upto)

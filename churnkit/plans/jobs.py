@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnkit import sources
-from churnkit.functions import fold_number, label_value, required_label, sample_position, split_position
+from churnkit.functions import label_value, required_label
 from churnkit.operators import evaluate, explore, features, profile
 from churnkit.operators.clean import clean
-from churnkit.operators.split import FOLD, LABEL, SAMPLE, SPLIT, in_test, in_train
+from churnkit.operators.split import FOLD, LABEL, SAMPLE, SPLIT, in_test, in_train, with_markers
 from churnkit.operators.train import Search, chosen_cell, search
 from churnkit.spec import BENCHMARK, CHOSEN, MIN_RECALL, SplitSpec, TableSpec, TrainSpec
 
@@ -24,7 +24,7 @@ LEADERBOARD_SCHEMA = (
 
 @dataclass(frozen=True)
 class Prepared:
-    """A written table of keys, original columns, label, markers and vectors, and what made the vectors."""
+    """Keys, original columns, label and markers as written, plus the vectors, and what makes them."""
 
     table: DataFrame
     spec: TableSpec
@@ -70,20 +70,19 @@ def analyse(raw: DataFrame, spec: TableSpec) -> dict[str, DataFrame]:
 
 
 def prepare(raw: DataFrame, spec: TableSpec, split: SplitSpec, max_categories: int = features.MAX_CATEGORIES) -> Prepared:
-    """Clean, mark, learn the codes from the training rows, vectorise all rows, write them once."""
+    """Clean, mark and write all rows, learn the codes from the training rows, vectorise.
+
+    The raw table is read once. Vectors are not written: making them from the written columns costs less than
+    storing them, and fits cache what they iterate over.
+    """
     cleaned = clean(raw, spec)
     spec = spec.resolve(cleaned)
     originals = [*spec.keys, spec.label, *spec.features]
-    marked = cleaned.select(
-        *originals,
-        required_label(spec).alias(LABEL),
-        split_position(spec, split).alias(SPLIT),
-        sample_position(spec, split).alias(SAMPLE),
-        fold_number(spec, split).alias(FOLD),
-    )
-    model = features.fit_features(marked.where(in_train(split)), spec, max_categories)
-    table = features.vectorise(marked, spec, model, [*originals, LABEL, SPLIT, SAMPLE, FOLD])
-    return Prepared(sources.materialise(table), spec, split, model)
+    marked = with_markers(cleaned.select(*originals, required_label(spec).alias(LABEL)), spec, split)
+    written = sources.materialise(marked)
+    model = features.fit_features(written.where(in_train(split)), spec, max_categories)
+    table = features.vectorise(written, model, [*originals, LABEL, SPLIT, SAMPLE, FOLD])
+    return Prepared(table, spec, split, model)
 
 
 def evaluated(searches: Sequence[tuple[TrainSpec, Search]], prepared: Prepared) -> DataFrame:

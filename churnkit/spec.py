@@ -52,15 +52,12 @@ class TableSpec:
 
 @dataclass(frozen=True)
 class SplitSpec:
-    """Share of rows to train on, folds, and the seed that goes into every hash."""
+    """Share of rows to train on, number of folds, and the seed of the hash that decides both."""
 
     train_ratio: float = 0.7
     folds: int = 3
     seed: int = 42
 
-    def salt(self, purpose: str) -> str:
-        return f"{purpose}-{self.seed}"
-
 
 @dataclass(frozen=True)
 class TrainSpec:

@@ -22,7 +22,7 @@ def test_ties_are_ordered_by_value(spark):
 
 def test_unseen_and_null_share_an_extra_code(spark):
     model = features.fit_features(table(spark, ["a", "a", "b"]), SPEC)
-    found = features.vectorise(table(spark, ["z", "b", None]), SPEC, model, ["id"])
+    found = features.vectorise(table(spark, ["z", "b", None]), model, ["id"])
     assert found.columns == ["id", "features"]
     assert slots(found) == [[0.0, 2.0], [1.0, 1.0], [2.0, 2.0]]
 
@@ -30,13 +30,13 @@ def test_unseen_and_null_share_an_extra_code(spark):
 def test_unseen_is_an_error_on_request(spark):
     model = features.fit_features(table(spark, ["a"]), SPEC, handle_invalid="error")
     with pytest.raises(Exception, match="(?i)unseen label"):
-        features.vectorise(table(spark, ["z"]), SPEC, model).collect()
+        features.vectorise(table(spark, ["z"]), model).collect()
 
 
 def test_originals_stay_unless_dropped(spark):
     df = table(spark, ["a", "b"])
     model = features.fit_features(df, SPEC)
-    assert features.vectorise(df, SPEC, model).columns == ["id", "g", "n", "y", "g_index", "features"]
+    assert features.vectorise(df, model).columns == ["id", "g", "n", "y", "g_index", "features"]
 
 
 def test_swapped_codes_keep_their_metadata(spark):
@@ -49,7 +49,7 @@ def test_swapped_codes_keep_their_metadata(spark):
 
 def test_codes_survive_parquet_as_categories(spark):
     df = table(spark, ["a", "b", "b"])
-    found = sources.materialise(features.vectorise(df, SPEC, features.fit_features(df, SPEC), ["id"]))
+    found = sources.materialise(features.vectorise(df, features.fit_features(df, SPEC), ["id"]))
     assert features.widest_code(found) == 3
 
 
@@ -70,7 +70,7 @@ def test_columns_of_unequal_width_each_have_their_own_extra_code(spark):
     df = spark.createDataFrame([("0", "a", "p", None, "No"), ("1", "b", "p", None, "No"), ("2", "c", "p", None, "No")], schema)
     model = features.fit_features(df, spec)
     unseen = spark.createDataFrame([("0", "z", "z", "z", "No"), ("1", "a", "p", None, "No")], schema)
-    found = features.vectorise(unseen, spec, model)
+    found = features.vectorise(unseen, model)
     assert slots(found) == [[3.0, 1.0, 0.0], [0.0, 0.0, 0.0]]
     names = {a["name"]: a["vals"] for a in found.schema["features"].metadata["ml_attr"]["attrs"]["nominal"]}
     assert names == {"g_index": ["a", "b", "c", "__unknown"], "h_index": ["p", "__unknown"], "empty_index": ["__unknown"]}

@@ -44,4 +44,4 @@ def test_stored_split_marker_reaches_the_scan(spark):
     prepared = jobs.prepare(churn_customers(spark, SF), CUSTOMERS, SPLIT)
     text = plan(prepared.train)
     assert "LessThanOrEqual(split_position,0.7)" in text
-    assert "Segment" not in text.split("ReadSchema")[1]
+    assert "CustomerId" not in text.split("ReadSchema")[1] and "Churn" not in text.split("ReadSchema")[1]

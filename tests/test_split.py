@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnkit import SplitSpec, TableSpec
-from churnkit.functions import label_value, required_label, unit_interval
+from churnkit.functions import label_value, required_label
 from churnkit.operators import split
 
 SPEC = TableSpec(("id",), "y", "Yes", (), ())
@@ -52,14 +52,29 @@ def test_undersampling_keeps_all_positives(spark):
 
 
 def test_markers_are_independent_and_follow_the_seed(spark):
-    df = rows(spark).select(
-        unit_interval(["id"], SPLIT.salt("split")).alias("a"),
-        unit_interval(["id"], SPLIT.salt("sample")).alias("b"),
-        unit_interval(["id"], SplitSpec(seed=7).salt("split")).alias("c"),
+    df = split.with_markers(rows(spark), SPEC, SPLIT)
+    assert df.columns == ["id", "y", "split_position", "sample_position", "fold"]
+    other = split.with_markers(rows(spark), SPEC, SplitSpec(seed=7)).select("id", F.col("split_position").alias("c"))
+    row = (
+        df.withColumnsRenamed({"split_position": "a", "sample_position": "b"})
+        .join(other, "id")
+        .agg(F.corr("a", "b").alias("ab"), F.corr("a", "c").alias("ac"), F.corr("a", "fold").alias("af"), F.min("a"), F.max("a"))
+        .first()
     )
-    row = df.agg(F.corr("a", "b").alias("ab"), F.corr("a", "c").alias("ac"), F.min("a"), F.max("a")).first()
-    assert abs(row.ab) < 0.06 and abs(row.ac) < 0.06
-    assert 0 <= row[2] and row[3] < 1
+    assert max(abs(row.ab), abs(row.ac), abs(row.af)) < 0.06
+    assert 0 <= row[3] and row[4] < 1
+
+
+def test_markers_agree_with_the_single_steps(spark):
+    marked = {r.id: r for r in split.with_markers(rows(spark), SPEC, SPLIT).collect()}
+    train, _ = split.train_test_split(rows(spark), SPEC, SPLIT)
+    assert ids(train) == sorted(i for i, r in marked.items() if r.split_position <= 0.7)
+    assert {r.id: r.fold for r in split.with_folds(rows(spark), SPEC, SPLIT).collect()} == {i: r.fold for i, r in marked.items()}
+
+
+def test_all_markers_take_one_hash(spark):
+    plan = split.with_markers(rows(spark), SPEC, SPLIT)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("md5(") == 1
 
 
 def test_folds_are_even(spark):

@@ -4,21 +4,21 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from churnkit import SplitSpec, TableSpec, TrainSpec
-from churnkit.functions import fold_number, sample_position
 from churnkit.operators import train
+from churnkit.operators.split import with_markers
 from churnkit.plans import jobs
 from churnkit.spec import BENCHMARK
 
 SPEC = TableSpec(("id",), "y", "Yes")
-SPLIT = SplitSpec()
+SPLIT = SplitSpec(folds=2)
 KINDS = {
     "LogisticRegression": {"maxIter": (20,)},
-    "SVM": {"maxIter": (20,)},
+    "SVM": {"maxIter": (10,)},
     "RandomForest": {"numTrees": (5,)},
 }
 
 
-def rows(spark, noise, n=400, partitions=4):
+def rows(spark, noise, n=400, partitions=2):
     """x = ±1 with the label on its side, apart from a share of flipped ones; one label in four positive."""
     base = spark.range(n).select(F.col("id").cast("string").alias("id"), (F.col("id") % 4 == 0).alias("yes"))
     flip = F.pmod(F.xxhash64("id"), F.lit(100)) < int(noise * 100)
@@ -28,8 +28,8 @@ def rows(spark, noise, n=400, partitions=4):
         F.when(F.col("yes") != flip, 1.0).otherwise(-1.0).alias("x"),
         (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(50)) / 50.0).alias("w"),
     )
-    marked = base.withColumns({"sample_position": sample_position(SPEC, SPLIT), "fold": fold_number(SPEC, SPLIT)})
-    return VectorAssembler(inputCols=["x", "w"], outputCol="features").transform(marked.repartition(partitions))
+    marked = with_markers(base, SPEC, SPLIT).repartition(partitions)
+    return VectorAssembler(inputCols=["x", "w"], outputCol="features").transform(marked)
 
 
 @pytest.mark.parametrize("algorithm", KINDS)
@@ -70,15 +70,15 @@ def test_heavy_penalty_predicts_the_majority_and_learning_beats_it(spark):
 
 
 def test_search_gives_the_same_scores_after_repartitioning(spark):
-    spec = TrainSpec("LogisticRegression", {"maxIter": (5, 20), "regParam": (10.0, 0.001)})
-    found = [train.search(rows(spark, 0.2, partitions=n), spec, SPLIT) for n in (1, 8)]
+    spec = TrainSpec("LogisticRegression", {"maxIter": (3, 8), "regParam": (10.0, 0.001)})
+    found = [train.search(rows(spark, 0.2, partitions=n), spec, SPLIT) for n in (1, 4)]
     assert found[0].scores == pytest.approx(found[1].scores, abs=1e-9)
     assert found[0].best == found[1].best
     assert found[0].cells == [
-        {"maxIter": 5, "regParam": 10.0},
-        {"maxIter": 5, "regParam": 0.001},
-        {"maxIter": 20, "regParam": 10.0},
-        {"maxIter": 20, "regParam": 0.001},
+        {"maxIter": 3, "regParam": 10.0},
+        {"maxIter": 3, "regParam": 0.001},
+        {"maxIter": 8, "regParam": 10.0},
+        {"maxIter": 8, "regParam": 0.001},
     ]
 
 
