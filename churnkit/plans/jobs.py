@@ -13,7 +13,7 @@ from churnkit import sources
 from churnkit.functions import label_value, required_label
 from churnkit.operators import evaluate, explore, features, profile
 from churnkit.operators.clean import clean
-from churnkit.operators.split import FOLD, LABEL, SAMPLE, SPLIT, in_test, in_train, with_markers
+from churnkit.operators.split import FOLD, LABEL, SAMPLE, in_test, in_train, with_markers
 from churnkit.operators.train import Search, chosen_cell, search
 from churnkit.spec import BENCHMARK, CHOSEN, MIN_RECALL, SplitSpec, TableSpec, TrainSpec
 
@@ -24,21 +24,28 @@ LEADERBOARD_SCHEMA = (
 
 @dataclass(frozen=True)
 class Prepared:
-    """Keys, original columns, label and markers as written, plus the vectors, and what makes them."""
+    """Keys, original columns, label and markers of all rows as written, and the model that vectorises them.
 
-    table: DataFrame
+    Either side is filtered before it is vectorised: Spark pushes no filter below the vector step, while a filter
+    on the stored marker reaches the Parquet scan.
+    """
+
+    rows: DataFrame
     spec: TableSpec
     split: SplitSpec
     model: PipelineModel
 
-    # The marker is a stored column, so either side is a filter that Parquet can skip row groups by.
+    @property
+    def table(self) -> DataFrame:
+        return features.vectorise(self.rows, self.model, self.rows.columns)
+
     @property
     def train(self) -> DataFrame:
-        return self.table.where(in_train(self.split)).select(LABEL, SAMPLE, FOLD, features.FEATURES)
+        return features.vectorise(self.rows.where(in_train(self.split)), self.model, [LABEL, SAMPLE, FOLD])
 
     @property
     def test(self) -> DataFrame:
-        return self.table.where(in_test(self.split))
+        return features.vectorise(self.rows.where(in_test(self.split)), self.model, self.rows.columns)
 
 
 def analyse(raw: DataFrame, spec: TableSpec) -> dict[str, DataFrame]:
@@ -81,13 +88,12 @@ def prepare(raw: DataFrame, spec: TableSpec, split: SplitSpec, max_categories: i
     marked = with_markers(cleaned.select(*originals, required_label(spec).alias(LABEL)), spec, split)
     written = sources.materialise(marked)
     model = features.fit_features(written.where(in_train(split)), spec, max_categories)
-    table = features.vectorise(written, model, [*originals, LABEL, SPLIT, SAMPLE, FOLD])
-    return Prepared(table, spec, split, model)
+    return Prepared(written, spec, split, model)
 
 
 def evaluated(searches: Sequence[tuple[TrainSpec, Search]], prepared: Prepared) -> DataFrame:
     """One row per trained model; all models score the held-out rows in a single scan."""
-    spark = prepared.table.sparkSession
+    spark = prepared.rows.sparkSession
     scored = prepared.test.select(LABEL, features.FEATURES)
     predictions = {}
     for i, (_, found) in enumerate(searches):

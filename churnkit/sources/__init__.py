@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import cache
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -86,14 +87,18 @@ def schema_report(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="churnkit-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder that all executors see."""
+    """A new path in the folder that all executors see; in local mode a temporary folder if none is set."""
     root = spark.conf.get(_CHECKPOINT_DIR, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="churnkit-")
-        spark.conf.set(_CHECKPOINT_DIR, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/churnkit-{uuid.uuid4().hex}"
 
 

@@ -41,7 +41,8 @@ def test_stored_split_marker_reaches_the_scan(spark):
     from churnkit.catalog.fixtures import CUSTOMERS, SPLIT, churn_customers
     from churnkit.plans import jobs
 
-    prepared = jobs.prepare(churn_customers(spark, SF), CUSTOMERS, SPLIT)
-    text = plan(prepared.train)
+    train = jobs.prepare(churn_customers(spark, SF), CUSTOMERS, SPLIT).train
+    text = spark.sparkContext._jvm.PythonSQLUtils.explainString(train._jdf.queryExecution(), "formatted")
     assert "LessThanOrEqual(split_position,0.7)" in text
-    assert "CustomerId" not in text.split("ReadSchema")[1] and "Churn" not in text.split("ReadSchema")[1]
+    read = text.split("ReadSchema")[1].splitlines()[0]
+    assert "Contract" in read and "CustomerId" not in read and "Churn" not in read
