@@ -119,10 +119,10 @@ def top_values(counts: DataFrame, k: int = 5) -> DataFrame:
 def sliced(counts: DataFrame) -> DataFrame:
     """A ``value_table`` sorted into slices of similar size and written, ready for ``column_profile``.
 
-    Every slice is a partition of the written table, so a query for some slices opens no other files.
+    Spark sets the number of slices by their size. Every slice is a partition of the written table, so a query for
+    some slices opens no other files.
     """
-    slices = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counts.repartitionByRange(slices, "feature", "number", "text")
+    ranged = counts.repartitionByRange("feature", "number", "text")
     return materialise(ranged.withColumn("slice", F.spark_partition_id()), ["slice"])
 
 

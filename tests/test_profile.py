@@ -65,10 +65,19 @@ def skewed_table(spark, pdf, partitions=8):
     return spark.createDataFrame(rows, schema).repartition(partitions)
 
 
-def test_profile_agrees_with_brute_force(spark, skewed):
+@pytest.fixture(params=["many slices", "one slice"])
+def slices(spark, request):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", request.param == "one slice")
+    yield 8 if request.param == "many slices" else 1
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_profile_agrees_with_brute_force(spark, skewed, slices):
     df = skewed_table(spark, skewed)
     quantiles = (0.01, 0.25, 0.5, 0.75, 0.999)
-    found = as_dict(profile.column_profile(profile.sliced(profile.value_table(df, df.columns)), quantiles))
+    counts = profile.sliced(profile.value_table(df, df.columns))
+    assert counts.select("slice").distinct().count() == slices
+    found = as_dict(profile.column_profile(counts, quantiles))
     for column in ("hot", "spread", "same", "gaps"):
         values = skewed[column].dropna().astype(float)
         row = found[column]
