@@ -154,7 +154,8 @@ def dedup_lines(
     ws.drop(suspects)
     fields = [f for f in docs.schema.fields if f.name in keep and f.name not in ("doc_id", "text")]
     names = ["doc_id", *[f.name for f in fields], "text"]
-    joined = docs.select(*names).join(lost, "doc_id", "left")
+    # One plan at every size: the texts meet their lost lines in a merge join, never in a broadcast.
+    joined = docs.select(*names).join(lost.hint("merge"), "doc_id", "left")
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     out = ", ".join(f"`{n}` {types[n]}" for n in names) + ", n_lines long, n_dropped long"
 

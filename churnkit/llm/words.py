@@ -38,12 +38,24 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Words:
-    """Words of a block of documents, in order. ``first`` has each document's first word and, last, their number."""
+    """Words of a block of documents, in order.
+
+    ``first`` has each document's first word and, last, the number of words; ``bounds`` likewise its first byte.
+    """
 
     data: np.ndarray
     start: np.ndarray
     end: np.ndarray
     first: np.ndarray
+    bounds: np.ndarray
+
+    def bytes_per_doc(self, marked: np.ndarray) -> np.ndarray:
+        """How many of each document's bytes are marked."""
+        return np.diff(np.concatenate([[0], np.cumsum(marked)])[self.bounds])
+
+    def words_per_doc(self, marked: np.ndarray) -> np.ndarray:
+        """How many of each document's words are marked."""
+        return np.diff(np.concatenate([[0], np.cumsum(marked)])[self.first])
 
     @property
     def doc(self) -> np.ndarray:
@@ -100,12 +112,11 @@ def split_words(texts: list[bytes], lower: bool = False) -> Words:
         edge = np.concatenate([[0], edge])
     start, end = edge[::2], edge[1::2]
     first = np.concatenate([[0], np.searchsorted(start, ends)]) if texts else np.zeros(1, np.int64)
-    return Words(data, start.astype(np.int64), end.astype(np.int64), first.astype(np.int64))
+    bounds = np.concatenate([[0], ends]).astype(np.int64)
+    return Words(data, start.astype(np.int64), end.astype(np.int64), first.astype(np.int64), bounds)
 
 
 def covered(starts: np.ndarray, k: int, n: int) -> np.ndarray:
     """Which of n words lie in a run of k that begins at one of the starts."""
-    marks = np.zeros(n + 1, np.int32)
-    np.add.at(marks, starts, 1)
-    np.add.at(marks, np.minimum(starts + k, n), -1)
+    marks = np.bincount(starts, minlength=n + 1) - np.bincount(starts + k, minlength=n + 1)
     return np.cumsum(marks[:n]) > 0
