@@ -205,7 +205,7 @@ def _concentrate(rows: DataFrame, models: DataFrame, core: float) -> DataFrame:
 
 
 def judge(
-    docs: DataFrame, core: float = 0.75, cutoff: float = 80.0, steps: int = 4, min_rows: int = 200
+    docs: DataFrame, core: float = 0.75, cutoff: float = 45.0, steps: int = 4, min_rows: int = 200
 ) -> DataFrame:
     """doc_id, counts, base_failed, distance (squared; null without a model) and kept, one row per document."""
     ws = Workspace(docs.sparkSession)

@@ -21,6 +21,8 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,8 @@ DECAY = 0.6
 POWER = 4
 LEAST = 0.6
 LANDMARKS = 32
-_STEMS = (4, 5, 6, 7)
+START = "^"
+_STEMS = (5, 6, 7, 8)
 _EDGE = ".,;:!?\"'()[]{}*#$%&|<>_-~=+/\\`^@"
 _ENDS = (".", "!", "?")
 _MEMORY = 400_000
@@ -54,80 +57,96 @@ def codes(words: list[str], pad: int) -> np.ndarray:
 def kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Gap-weighted subsequence kernel of pairs of rows of character codes; pads (-1, -2) match nothing.
 
-    One pass over the characters of ``left`` keeps, for each prefix of ``right``, the weight of partial subsequences that
-    may still be extended.
+    Row a of the result is the kernel of the first a + 1 characters of ``left`` with all of ``right``. One pass over the
+    characters of ``left`` keeps, for each prefix of ``right``, the weight of partial subsequences that may go on.
     """
+    return np.cumsum([end.sum(0) for end in _endings(left, right)], axis=0).reshape(-1, len(right))
+
+
+def _endings(left: np.ndarray, right: np.ndarray) -> Iterator[np.ndarray]:
+    """For each character of ``left``, the weight of subsequences that end there and at each character of ``right``."""
     n, size = right.shape
     square, decay = np.float32(DECAY * DECAY), np.float32(DECAY)
-    total = np.zeros(n, np.float32)
     partial = np.zeros((ORDER, size + 1, n), np.float32)
     partial[0] = 1
     for a in range(left.shape[1]):
         same = (left[:, a][None, :] == right.T).astype(np.float32) * square
-        total += (same * partial[ORDER - 1, :size]).sum(0)
+        yield same * partial[ORDER - 1, :size]
         for i in range(ORDER - 1, 0, -1):
             gain = same * partial[i - 1, :size]
             for b in range(1, size):
                 gain[b] += decay * gain[b - 1]
             partial[i, 1:] *= decay
             partial[i, 1:] += gain
-    return total
 
 
-def self_kernel(words: list[str]) -> np.ndarray:
-    return np.array([kernel(codes([w], -1), codes([w], -2))[0] if w else 0 for w in words], np.float32)
+def prefix_norms(rows: np.ndarray) -> np.ndarray:
+    """Kernel with itself of the first a + 1 characters of each row, in row a of the result."""
+    ends = _endings(rows, np.where(rows == -1, -2, rows))
+    return np.cumsum([2 * e[:a].sum(0) + e[a] for a, e in enumerate(ends)], axis=0).reshape(-1, len(rows))
 
 
-def _most_common(own: np.ndarray, landmarks: list[str]) -> list[int]:
-    """For each landmark the least number of its characters that a word must have to be ``LEAST`` like it.
+def self_kernel(words: list[str]) -> np.ndarray:
+    return np.array([prefix_norms(codes([w], -1))[-1, 0] if w else 0 for w in words], np.float32)
 
-    A word that shares m characters is at most as like it as m of its characters in a row without a gap.
-    """
-    out = []
-    for z, k in zip(landmarks, own.tolist()):
-        runs = [max(self_kernel([z[i : i + m] for i in range(len(z) - m + 1)])) for m in range(len(z) + 1)]
-        tight = [_triples(m) for m in range(len(z) + 1)]
-        out.append(next((m for m in range(len(z) + 1) if max(runs[m], tight[m]) >= LEAST * k), len(z)))
+
+def features(word: str) -> dict[tuple[str, ...], float]:
+    """What the kernel is the product of: each subsequence's weights, summed up. For short words only."""
+    out: dict[tuple[str, ...], float] = {}
+    for at in combinations(range(len(word)), ORDER):
+        key = tuple(word[i] for i in at)
+        out[key] = out.get(key, 0.0) + DECAY ** (at[-1] - at[0] + 1)
     return out
 
 
-def _triples(m: int) -> float:
-    """An upper bound of the weight of common subsequences of two strings that share m characters."""
-    return math.comb(m, ORDER) * DECAY ** (2 * ORDER)
+@cache
+def _needed(landmark: str) -> int:
+    """How many different characters of the landmark a word must have to be ``LEAST`` like it.
+
+    By Cauchy and Schwarz a word is no more like it than the share of its features that the shared characters can spell.
+    """
+    weights = {k: v * v for k, v in features(landmark).items()}
+    letters = sorted(set(landmark))
+    for m in range(len(letters) + 1):
+        for some in combinations(letters, m):
+            have = set(some)
+            if sum(v for k, v in weights.items() if have.issuperset(k)) >= (LEAST - 1e-3) ** 2 * sum(weights.values()):
+                return m
+    return len(letters)
 
 
 def likeness(words: list[str], landmarks: list[str], own: np.ndarray) -> np.ndarray:
-    """How much of each landmark (its kernel with itself, ``own``) a word repeats, to the power of ``POWER``.
+    """Normalised kernel of each landmark and the beginning of the word that is most like it, to the power of ``POWER``.
 
-    Less than ``LEAST`` counts as nothing, and pairs that can't reach it, by the characters they share, are skipped.
+    ``own`` has the landmarks' kernels with themselves. Less than ``LEAST`` counts as nothing, and pairs that can't
+    reach it, by the characters they share, are skipped.
     """
     out = np.zeros((len(words), len(landmarks)), np.float32)
-    needed = _most_common(own, landmarks)
     marks = codes(landmarks, -2)
-    counted = [Counter(z) for z in landmarks]
-    alphabet = sorted({ord(c) for z in landmarks for c in z})
+    letters = [sorted(set(z)) for z in landmarks]
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
     for k in range(0, len(order), _BLOCK):
         rows = np.array(order[k : k + _BLOCK])
         block = codes([words[i] for i in rows], -1)
-        has = {c: (block == c).sum(1) for c in alphabet}
-        pairs = []
-        for j, z in enumerate(counted):
-            shared = np.zeros(len(rows), np.int64)
-            for c, n in z.items():
-                shared += np.minimum(has[ord(c)], n)
-            pairs.append(np.flatnonzero(shared >= needed[j]))
+        has = {c: (block == ord(c)).any(1) for c in {c for z in letters for c in z}}
+        pairs = [np.flatnonzero(sum(has[c].astype(np.int8) for c in z) >= _needed(m)) for z, m in zip(letters, landmarks)]
+        some = np.unique(np.concatenate(pairs))
+        norms = np.ones((block.shape[1], len(rows)), np.float32)
+        norms[:, some] = prefix_norms(block[some])
         at = np.concatenate(pairs)
         mark = np.repeat(np.arange(len(landmarks)), [len(p) for p in pairs])
         for i in range(0, len(at), _BLOCK):
             u, z = at[i : i + _BLOCK], mark[i : i + _BLOCK]
-            like = kernel(block[u], marks[z]) / own[z]
+            like = (kernel(block[u], marks[z]) / np.sqrt(np.maximum(norms[:, u] * own[z], 1e-9))).max(0, initial=0)
             out[rows[u], z] = np.where(like >= LEAST, np.minimum(like, 1) ** POWER, 0)
     return out
 
 
 def units(raw: Iterable[str]) -> list[str]:
-    """Words in lower case without marks at their ends; three or more single characters in a row are one word."""
+    """Words in lower case without marks at their ends, behind a mark for the start of a word.
+
+    Three or more single characters in a row are one word.
+    """
     out: list[str] = []
     single: list[str] = []
     for r in raw:
@@ -140,7 +159,8 @@ def units(raw: Iterable[str]) -> list[str]:
             single = []
         if w:
             out.append(w)
-    return out + (["".join(single)] if len(single) >= 3 else single)
+    out += ["".join(single)] if len(single) >= 3 else single
+    return [START + w for w in out]
 
 
 def sentences(text: str) -> list[list[str]]:
@@ -214,7 +234,7 @@ def choose_landmarks(docs: list[set[str]], labels: np.ndarray, most: int = LANDM
     """
 
     def stems(words: set[str]) -> set[str]:
-        return {w[:n] for w in words for n in _STEMS if len(w) >= n} | {w for w in words if ORDER <= len(w) <= 12}
+        return {w[:n] for w in words for n in _STEMS if len(w) >= n} | {w for w in words if ORDER < len(w) <= 12}
 
     holders: dict[str, set[int]] = {}
     for i, (d, y) in enumerate(zip(docs, labels)):
@@ -268,13 +288,19 @@ def support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: flo
 
 
 def logistic_plane(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Slopes (never below 0) and shift of a logistic regression, lightly held back so that it stays finite."""
+    """Slopes (never below 0) and shift of a logistic regression, lightly held back so that it stays finite.
+
+    The rarer label weighs more, by the square root of how much rarer it is.
+    """
     z = np.hstack([x, np.ones((len(x), 1))])
+    share = y.mean()
+    weight = np.where(y > 0, np.sqrt((1 - share) / share), 1.0)
     held = np.array([1e-2] * x.shape[1] + [1e-4])
     w = np.zeros(z.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(held), z.T @ (y - p) - held * w)
+        hessian = (z * (weight * p * (1 - p))[:, None]).T @ z + np.diag(held)
+        step = np.linalg.solve(hessian, z.T @ (weight * (y - p)) - held * w)
         w = w + np.clip(step, -2, 2)
         w[:-1] = np.maximum(w[:-1], 0)
         if np.abs(step).max() < 1e-6:
