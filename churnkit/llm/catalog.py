@@ -1,4 +1,5 @@
 """Every query of this package; importing the operators registers them."""
 
-from churnkit.llm import line_dedup, packing, quality_model, quality_rules, token_counts, toxicity  # noqa: F401
+from churnkit.llm import decontaminate, line_dedup, packing, quality_model, quality_rules, quotations  # noqa: F401
+from churnkit.llm import token_counts, toxicity  # noqa: F401
 from churnkit.llm.registry import ORACLES, QUERIES  # noqa: F401

@@ -60,7 +60,7 @@ def kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     Row a of the result is the kernel of the first a + 1 characters of ``left`` with all of ``right``. One pass over the
     characters of ``left`` keeps, for each prefix of ``right``, the weight of partial subsequences that may go on.
     """
-    return np.cumsum([end.sum(0) for end in _endings(left, right)], axis=0).reshape(-1, len(right))
+    return np.cumsum([e.sum(0) for e in _endings(left, right)], axis=0).reshape(-1, len(right))
 
 
 def _endings(left: np.ndarray, right: np.ndarray) -> Iterator[np.ndarray]:
@@ -115,33 +115,66 @@ def _needed(landmark: str) -> int:
     return len(letters)
 
 
+@cache
+def _spelled(landmark: str) -> tuple[list[tuple[tuple[str, ...], float]], float]:
+    """The landmark's features of most weight, squared, and the share the others may add; all as shares of their sum."""
+    weights = {k: v * v for k, v in features(landmark).items()}
+    total = sum(weights.values()) or 1.0
+    heavy = sorted(((k, v / total) for k, v in weights.items() if v > 0.01 * total), key=lambda x: -x[1])
+    return heavy, 1 - sum(v for _, v in heavy)
+
+
+def _can_spell(block: np.ndarray, rows: np.ndarray, landmark: str) -> np.ndarray:
+    """Those rows whose characters stand in an order that allows enough of the landmark's features."""
+    own = block[rows]
+    place = np.arange(own.shape[1], dtype=np.int16)
+    first, last = {}, {}
+    for c in set(landmark):
+        same = own == ord(c)
+        first[c] = np.where(same, place, np.int16(9999)).min(1, initial=9999)
+        last[c] = np.where(same, place, np.int16(-1)).max(1, initial=-1)
+    heavy, share = _spelled(landmark)
+    bound = np.full(len(rows), share, np.float32)
+    for (a, b, c), weight in heavy:
+        bound += np.float32(weight) * ((first[a] < last[b]) & (first[b] < last[c]) & (first[a] + 1 < last[c]))
+    return rows[bound >= (LEAST - 1e-3) ** 2]
+
+
 def likeness(words: list[str], landmarks: list[str], own: np.ndarray) -> np.ndarray:
     """Normalised kernel of each landmark and the beginning of the word that is most like it, to the power of ``POWER``.
 
     ``own`` has the landmarks' kernels with themselves. Less than ``LEAST`` counts as nothing, and pairs that can't
-    reach it, by the characters they share, are skipped.
+    reach it, by the characters they share and the order of these, are skipped.
     """
     out = np.zeros((len(words), len(landmarks)), np.float32)
-    marks = codes(landmarks, -2)
-    letters = [sorted(set(z)) for z in landmarks]
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
     for k in range(0, len(order), _BLOCK):
         rows = np.array(order[k : k + _BLOCK])
         block = codes([words[i] for i in rows], -1)
-        has = {c: (block == ord(c)).any(1) for c in {c for z in letters for c in z}}
-        pairs = [np.flatnonzero(sum(has[c].astype(np.int8) for c in z) >= _needed(m)) for z, m in zip(letters, landmarks)]
-        some = np.unique(np.concatenate(pairs))
-        norms = np.ones((block.shape[1], len(rows)), np.float32)
-        norms[:, some] = prefix_norms(block[some])
-        at = np.concatenate(pairs)
-        mark = np.repeat(np.arange(len(landmarks)), [len(p) for p in pairs])
-        for i in range(0, len(at), _BLOCK):
-            u, z = at[i : i + _BLOCK], mark[i : i + _BLOCK]
-            like = (kernel(block[u], marks[z]) / np.sqrt(np.maximum(norms[:, u] * own[z], 1e-9))).max(0, initial=0)
-            out[rows[u], z] = np.where(like >= LEAST, np.minimum(like, 1) ** POWER, 0)
+        has = {c: (block == ord(c)).any(1) for z in landmarks for c in z}
+        least = _distinct(block.shape[1])[:, None]  # a beginning of a word is at least as like itself as this
+        for j, z in enumerate(landmarks):
+            some = np.flatnonzero(sum(has[c].astype(np.int8) for c in sorted(set(z))) >= _needed(z))
+            some = _can_spell(block, some, z)
+            if len(some):
+                total = kernel(block[some], np.broadcast_to(codes([z], -2), (len(some), len(z))))
+                near = (total / np.sqrt(np.maximum(least * own[j], 1e-9))).max(0) >= LEAST - 1e-3
+                some, total = some[near], total[:, near]
+            if len(some):
+                # Longer beginnings are too much like themselves to be ``LEAST`` like the landmark.
+                most = int((least * own[j] * (LEAST - 1e-3) ** 2 <= total.max() ** 2).sum())
+                norms = prefix_norms(block[some, :most])
+                like = (total[:most] / np.sqrt(np.maximum(norms * own[j], 1e-9))).max(0, initial=0)
+                out[rows[some], j] = np.where(like >= LEAST, np.minimum(like, 1) ** POWER, 0)
     return out
 
 
+@cache
+def _distinct(size: int) -> np.ndarray:
+    """The kernel with themselves of 1, 2, .. ``size`` different characters; repeated ones only add to it."""
+    return prefix_norms(np.arange(size, dtype=np.int32)[None, :])[:, 0] if size else np.empty(0, np.float32)
+
+
 def units(raw: Iterable[str]) -> list[str]:
     """Words in lower case without marks at their ends, behind a mark for the start of a word.
 
