@@ -50,6 +50,10 @@ class Workspace:
             path = jvm.org.apache.hadoop.fs.Path(self._paths.pop(id(table)))
             path.getFileSystem(conf).delete(path, True)
 
+    def drop_if_own(self, table: DataFrame) -> None:
+        if id(table) in self._paths:
+            self.drop(table)
+
 
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """Bytes of all texts: one column scan, one number."""

@@ -1,4 +1,7 @@
-"""From raw documents to packed training sequences, one written stage after another."""
+"""From raw documents to packed training sequences, one written stage after another.
+
+Each stage reads what the stage before it kept, and all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
@@ -6,14 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnkit.llm.common import Workspace, read_table
+from churnkit.llm.decontaminate import drop_leaks
 from churnkit.llm.line_dedup import dedup_lines
+from churnkit.llm.near_duplicates import keep_one
 from churnkit.llm.packing import pack
+from churnkit.llm.quality_rules import filter_quality
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents within the limits and no outliers of their language and source."""
+    return filter_quality(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that other documents keep; ``n_chars`` follows the text."""
-    kept = dedup_lines(docs, keep=("lang", "source"))
-    return kept.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+    """Texts without the lines that a later document keeps; ``n_chars`` follows the text."""
+    kept = dedup_lines(docs, keep=tuple(docs.columns))
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one of smallest doc_id."""
+    return keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without a passage of the benchmark."""
+    return drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +42,15 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return pack(docs)
 
 
-STAGES = [("line dedup", line_dedup), ("best-fit packing", best_fit_packing)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("best-fit packing", best_fit_packing),
+]
 
-# The packing can't be said in SQL; tests/llm/test_pipeline.py holds the stages against brute force.
+# Outlier estimates and packing can't be said in SQL; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 
@@ -32,5 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark)
     docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = ws.write(stage(spark, docs, sf_dir))
+        before, docs = docs, ws.write(stage(spark, docs, sf_dir))
+        ws.drop_if_own(before)
     return STAGES[-1][1](spark, docs, sf_dir)
