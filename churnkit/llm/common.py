@@ -89,7 +89,8 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
 
 
 def batch(schema: pa.Schema, *columns: Iterable) -> pa.RecordBatch:
-    arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)]
+    """Columns (arrays, or anything that makes one) as a batch of this schema; arrays of another type are cast."""
+    arrays = [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 

@@ -142,8 +142,8 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any hit, with all their columns."""
     ws = Workspace(docs.sparkSession)
     leaked = find_leaks(docs, benchmark).where(F.col("spans").isNotNull())
-    leaked = _small(ws.write(leaked.select(F.col("doc_id").alias("leak_id"), F.col("digest").alias("leak_digest"))))
-    same = F.col("doc_id").eqNullSafe(F.col("leak_id")) & (F.xxhash64("text") == F.col("leak_digest"))
+    leaked = _small(ws.write(leaked.select("doc_id", "digest")))
+    same = docs["doc_id"].eqNullSafe(leaked["doc_id"]) & (F.xxhash64(docs["text"]) == leaked["digest"])
     return docs.join(leaked, same, "left_anti")
 
 

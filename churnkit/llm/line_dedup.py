@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnkit.functions import named
 from churnkit.llm.common import Workspace, batch, read_table, texts_of
 from churnkit.llm.registry import query
 
@@ -123,17 +124,16 @@ def _suspects(docs: DataFrame, twice: bytes, filter_bits: int, min_chars: int) -
 
 
 def dedup_lines(
-    docs: DataFrame, min_docs: int = 5, min_chars: int = 40, filter_bits: int = 27, keep: tuple[str, ...] = ()
+    docs: DataFrame, min_docs: int = 5, min_chars: int = 40, filter_bits: int = 27, with_row: bool = False
 ) -> DataFrame:
     """Documents without the lines whose key, ``min_chars`` long or more, ``min_docs`` documents or more share.
 
-    The document with the largest doc_id keeps such lines. Returns doc_id, the ``keep`` columns, text (what is left;
-    null stays null), n_lines before dropping and n_dropped.
+    The document with the largest doc_id keeps such lines. Returns doc_id, text (what is left; null stays null), n_lines
+    before dropping and n_dropped, and on request ``row``, a struct of all columns as they came.
     """
     if filter_bits < _SLICE_BITS:
         raise ValueError(f"filter_bits must be at least {_SLICE_BITS}")
-    spark = docs.sparkSession
-    ws = Workspace(spark)
+    ws = Workspace(docs.sparkSession)
     twice = twice_seen(docs, filter_bits, min_chars)
     suspects = ws.write(_suspects(docs, twice, filter_bits, min_chars).distinct())
     shared = (
@@ -152,12 +152,11 @@ def dedup_lines(
     )
     lost = ws.write(lost)
     ws.drop(suspects)
-    fields = [f for f in docs.schema.fields if f.name in keep and f.name not in ("doc_id", "text")]
-    names = ["doc_id", *[f.name for f in fields], "text"]
+    row = F.struct(*[named(c) for c in docs.columns]).alias("row")
+    held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[row] * with_row)
     # One plan at every size: the texts meet their lost lines in a merge join, never in a broadcast.
-    joined = docs.select(*names).join(lost.hint("merge"), "doc_id", "left")
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    out = ", ".join(f"`{n}` {types[n]}" for n in names) + ", n_lines long, n_dropped long"
+    joined = held.join(lost.hint("merge"), "doc_id", "left")
+    out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in held.schema.fields) + ", n_lines long, n_dropped long"
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -171,11 +170,11 @@ def dedup_lines(
                 texts.append(None if text is None else "\n".join(left))
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(left))
-            columns = [b.column(n) for n in names[:-1]] + [pa.array(texts, pa.string())]
+            columns = [b.column("doc_id"), pa.array(texts, pa.string()), *[b.column("row")] * with_row]
             columns += [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_lines", "n_dropped"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*held.columns, "n_lines", "n_dropped"])
 
-    return joined.select(*names, "lost").mapInArrow(drop, out)
+    return joined.mapInArrow(drop, out)
 
 
 _SQL = """

@@ -112,7 +112,7 @@ class Machine:
     def fit(self, x: np.ndarray, y: np.ndarray, rounds: int = 30, rate: float = 0.1, decay: float = 1e-5) -> Machine:
         """AdaGrad on the logistic loss, both labels weighing the same; the order of rows is fixed."""
         share = float(y.mean()) if len(y) else 0.5
-        if not 0 < share < 1:
+        if not len(y) or not 0 < share < 1:
             share = min(max(share, 1e-3), 1 - 1e-3)
             self.bias, self.v = np.float32(np.log(share / (1 - share))), self.v * 0
             return self

@@ -344,7 +344,7 @@ def logistic_plane(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def fit(texts: list[str], labels: np.ndarray, rounds: int = 4) -> Machine:
     """The machine for documents (in a fixed order) and their 0/1 labels."""
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         share = min(max(share, 1e-3), 1 - 1e-3)
         return Machine([], np.empty(0), np.empty(0), 0.0, (0.0, 0.0), math.log(share / (1 - share)))
     split = [sentences(t) for t in texts]

@@ -23,8 +23,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that a later document keeps; ``n_chars`` follows the text."""
-    kept = dedup_lines(docs, keep=tuple(docs.columns))
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    kept = dedup_lines(docs, with_row=True)
+    return kept.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
