@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from churnkit import TELCO, SplitSpec, sources
 from churnkit.plans import jobs
+from churnkit.spec import CHOSEN, MIN_RECALL
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -20,6 +21,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--positive", default=TELCO.positive_value, help="label value that counts as churn")
     parser.add_argument("--seed", type=int, default=SplitSpec().seed)
     parser.add_argument("--parallelism", type=int, default=2, help="models fitted at the same time")
+    parser.add_argument("--max-categories", type=int, help="refuse category columns with more values; no limit if left out")
+    parser.add_argument("--leaderboard", help="train what this written leaderboard's best model names")
+    parser.add_argument("--min-recall", type=float, default=MIN_RECALL, help="recall that the best model must reach")
+    parser.add_argument("--line-breaks", action="store_true", help="cells of the input may hold line breaks")
     parser.add_argument("--score-on", choices=("holdout", "all"), default="holdout")
     args = parser.parse_args(argv)
 
@@ -27,19 +32,24 @@ def main(argv: list[str] | None = None) -> None:
     if args.input.rstrip("/").endswith(".parquet"):
         raw = spark.read.parquet(args.input)
     else:
-        raw = sources.read_csv(spark, args.input, args.schema)
+        raw = sources.read_csv(spark, args.input, args.schema, args.line_breaks)
     spec = replace(TELCO, positive_value=args.positive)
-    split = SplitSpec(seed=args.seed)
+    options = {
+        "split": SplitSpec(seed=args.seed), "parallelism": args.parallelism, "max_categories": args.max_categories
+    }
     if args.job == "analyse":
-        jobs.write_analysis(jobs.analyse(raw, spec), args.output)
+        with jobs.analyse(raw, spec) as reports:
+            jobs.write_analysis(reports, args.output)
     elif args.job == "benchmark":
-        board = jobs.benchmark(raw, spec, split=split, parallelism=args.parallelism)
-        jobs.write_leaderboard(board, args.output)
+        jobs.write_leaderboard(jobs.benchmark(raw, spec, **options), args.output)
     else:
-        scored = jobs.train_and_score(
-            raw, spec, split=split, score_on=args.score_on, parallelism=args.parallelism
-        )
-        jobs.write_scored(scored, args.output)
+        chosen = CHOSEN
+        if args.leaderboard:
+            chosen = jobs.choose(jobs.read_leaderboard(spark, args.leaderboard, spec.label), min_recall=args.min_recall)
+            if chosen is None:
+                parser.error(f"no model of {args.leaderboard} reaches a recall of {args.min_recall}")
+        with jobs.train_and_score(raw, spec, chosen, score_on=args.score_on, **options) as scored:
+            jobs.write_scored(scored, args.output, args.line_breaks)
 
 
 if __name__ == "__main__":

@@ -9,9 +9,6 @@ from churnkit.spec import SplitSpec, TableSpec
 
 SPLIT = SplitSpec()
 
-# The order priorities, whose first character is their number.
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-
 CUSTOMERS = TableSpec(
     keys=("CustomerId",),
     label="Churn",
@@ -51,20 +48,20 @@ def churn_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw row per customer with orders: blanks for some totals, Churn by the date of the last order.
 
     Prices are summed as whole cents, so the mean does not depend on the order in which tasks add up. The priority
-    of the latest order travels as a digit behind its key: with whole numbers only, Spark aggregates by hash, while
-    ``max_by`` of a text makes it sort all orders first.
+    of the latest order is joined back by its key: with numbers only, Spark aggregates by hash, while ``max_by`` of
+    a text makes it sort all orders first.
     """
     orders = table(spark, sf_dir, "orders")
     latest = orders.agg(F.max("o_orderdate")).scalar()
     per_customer = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.min("o_orderdate").alias("first"),
         F.max("o_orderdate").alias("last"),
-        F.max(F.col("o_orderkey") * 10 + F.substring("o_orderpriority", 1, 1).cast("int")).alias("key_and_priority"),
+        F.max("o_orderkey").alias("o_orderkey"),
         F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).cast("double").alias("cents"),
         F.count(F.lit(1)).cast("double").alias("n"),
     )
+    per_customer = per_customer.join(orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
     balance = F.col("c_acctbal")
-    priority = F.element_at(F.array(*map(F.lit, PRIORITIES)), (F.col("key_and_priority") % 10).cast("int"))
     return (
         table(spark, sf_dir, "customer")
         .join(per_customer, "c_custkey")
@@ -73,7 +70,7 @@ def churn_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("c_mktsegment").alias("segment"),
             (balance >= 5000).cast("int").alias("SeniorCitizen"),
             F.floor(F.datediff("last", "first") / 30).cast("int").alias("tenure"),
-            priority.alias("Contract"),
+            F.col("o_orderpriority").alias("Contract"),
             (F.round(F.col("cents") / (F.col("n") * 10000.0)) / 10.0).alias("MonthlyCharges"),
             F.when(balance < 0, " ").otherwise(F.round(balance, 2).cast("string")).alias("TotalCharges"),
             F.when(F.col("last") < latest - F.expr("interval 270 days"), "Yes").otherwise("No").alias("Churn"),
@@ -101,6 +98,21 @@ CHURN_CUSTOMERS_SQL = """raw as (
 )"""
 
 
+def clear_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw customers whose label has a wide gap in one input: any sound classifier gives it back row by row."""
+    raw = churn_customers(spark, sf_dir)
+    balance = F.coalesce(F.col("TotalCharges").try_cast("double"), F.lit(0.0))
+    clear = raw.where((balance < 4000) | (balance >= 6000))
+    return clear.withColumn("Churn", F.when(balance >= 6000, "Yes").otherwise("No"))
+
+
+CLEAR_SQL = f"""{CHURN_CUSTOMERS_SQL}, clear as (
+  select * replace (case when TotalCharges >= 6000 then 'Yes' else 'No' end as Churn,
+                    case when TotalCharges >= 6000 then 1.0::double else 0.0::double end as label)
+  from cleaned where TotalCharges < 4000 or TotalCharges >= 6000
+)"""
+
+
 def labelled_documents(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
     """Documents with their labels; ``how="left"`` keeps those without any."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")

@@ -23,6 +23,7 @@ from churnkit.functions import label_value
 from churnkit.operators import clean as cleaning
 from churnkit.operators import explore, profile
 from churnkit.plans import jobs
+from churnkit.sources import Workspace
 from churnkit.spec import TableSpec
 
 _CUSTOMERS = (CHURN_CUSTOMERS_SQL,)
@@ -39,7 +40,7 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 def _csv_copy(spark: SparkSession, sf_dir: str) -> str:
-    path = sources.shared_folder(spark)
+    path = Workspace(spark).folder()
     sources.write_csv(churn_customers(spark, sf_dir), path)
     return path
 
@@ -68,6 +69,26 @@ def csv_inferred_types(spark, sf_dir):
     return sources.schema_report(read).drop("position")
 
 
+@query(
+    """select doc_id, case when doc_id % 7 = 0 then '' when doc_id % 7 <> 1 then text end as text,
+              case when doc_id % 5 = 0 then '"' || lang || '\\' else lang end as lang,
+              case when doc_id % 3 = 0 then ' ' || source || chr(13) || chr(10) else ',' end as source
+       from documents"""
+)
+def documents_csv_roundtrip(spark, sf_dir):
+    """Whole texts with line breaks, quotes, empty and null cells, written as CSV and read back."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    path, number = Workspace(spark).folder(), F.col("doc_id")
+    cells = docs.select(
+        "doc_id",
+        F.when(number % 7 == 0, "").when(number % 7 != 1, F.col("text")).alias("text"),
+        F.when(number % 5 == 0, F.concat(F.lit('"'), "lang", F.lit("\\"))).otherwise(F.col("lang")).alias("lang"),
+        F.when(number % 3 == 0, F.concat(F.lit(" "), "source", F.lit("\r\n"))).otherwise(",").alias("source"),
+    )
+    sources.write_csv(cells, path, line_breaks=True)
+    return sources.read_csv(spark, path, cells.schema, line_breaks=True)
+
+
 @query("select * from cleaned order by CustomerId limit 20".replace("*", "* exclude (label)"), _CUSTOMERS)
 def preview(spark, sf_dir):
     return sources.preview(_cleaned(spark, sf_dir), 20, ["CustomerId"])
@@ -176,13 +197,28 @@ _FIGURES = ("mean", "stddev", "min", "p25", "p50", "p75", "max")
 )
 def column_profile(spark, sf_dir):
     df = _cleaned(spark, sf_dir)
-    return _rounded(profile.column_profile(profile.sliced(profile.value_table(df, df.columns))), *_FIGURES, digits=5)
+    return _rounded(profile.column_profile(df, df.columns, Workspace(spark)), *_FIGURES, digits=5)
 
 
 @query(_profile_sql("lines", list(RETURNS.numeric), ["l_returnflag", "l_linestatus"]), _LINES)
 def returns_profile(spark, sf_dir):
     df = line_returns(spark, sf_dir).drop("l_orderkey")
-    return _rounded(profile.column_profile(profile.sliced(profile.value_table(df, df.columns))), *_FIGURES, digits=5)
+    return _rounded(profile.column_profile(df, df.columns, Workspace(spark)), *_FIGURES, digits=5)
+
+
+@query(
+    """select 'price' as "column", count(*) as n_rows, 0::bigint as n_null, count(distinct (o_totalprice, o_orderkey % 100)) as n_distinct,
+              round(quantile_cont(o_totalprice::double, 0.5), 2) as p50,
+              round(quantile_cont(o_totalprice::double, 0.999), 2) as p99_9
+       from orders"""
+)
+def decimal_profile(spark, sf_dir):
+    """Prices a hair apart, as decimals that no double tells from each other: each is a value of its own."""
+    hair = (F.col("o_orderkey") % 100).cast("decimal(3,0)") * F.lit("0.00000000000001").cast("decimal(15,14)")
+    price = F.col("o_totalprice").cast("decimal(12,2)") + hair
+    df = spark.read.parquet(f"{sf_dir}/orders.parquet").select(price.alias("price"))
+    found = profile.column_profile(df, ["price"], Workspace(spark), (0.5, 0.999))
+    return _rounded(found.select("column", "n_rows", "n_null", "n_distinct", "p50", "p99_9"), "p50", "p99_9", digits=2)
 
 
 def _values_sql(source: str, columns: list[str]) -> str:
@@ -299,14 +335,17 @@ def _association_sql(source: str, numbers: list[str], categories: list[str]) ->
     _CUSTOMERS,
 )
 def target_association(spark, sf_dir):
-    counts = _customer_counts(spark, sf_dir, CUSTOMERS.features)
-    return _rounded(explore.target_association(counts, CUSTOMERS.numeric, CUSTOMERS.categorical), "strength")
+    df = _cleaned(spark, sf_dir)
+    found = explore.target_association(df, CUSTOMERS.numeric, CUSTOMERS.categorical, label_value(CUSTOMERS))
+    return _rounded(found, "strength")
 
 
 @query(_association_sql("lines", list(RETURNS.numeric), list(RETURNS.categorical)), _LINES)
 def returns_association(spark, sf_dir):
-    counts = profile.value_table(line_returns(spark, sf_dir), RETURNS.features, label_value(RETURNS))
-    return _rounded(explore.target_association(counts, RETURNS.numeric, RETURNS.categorical), "strength")
+    df = line_returns(spark, sf_dir)
+    return _rounded(
+        explore.target_association(df, RETURNS.numeric, RETURNS.categorical, label_value(RETURNS)), "strength"
+    )
 
 
 # ---- the analysis job ------------------------------------------------------------------------------------------
@@ -327,3 +366,55 @@ def analysis_histograms(spark, sf_dir):
 @query(_association_sql("docs", ["n_chars", "toxic"], ["lang", "source"]), _DOCS)
 def analysis_association(spark, sf_dir):
     return _rounded(jobs.analyse(labelled_documents(spark, sf_dir), QUALITY)["association"], "strength")
+
+
+def _analysed(name: str, sql: str, using: tuple[str, ...], *rounded: str, digits: int = 6) -> None:
+    """Registers one more report of the job, as the job gives it."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = churn_customers(spark, sf_dir) if using is _CUSTOMERS else labelled_documents(spark, sf_dir)
+        report = jobs.analyse(df, CUSTOMERS if using is _CUSTOMERS else QUALITY)[name]
+        return _rounded(report, *rounded, digits=digits)
+
+    run.__name__ = f"analysis_{name}"
+    run.__doc__ = f"The {name} report of the analysis job."
+    query(sql, using)(run)
+
+
+_analysed("row_count", "select count(*) as n_rows from raw", _CUSTOMERS)
+_analysed("class_balance", "select Churn, count(*) as n_rows from raw group by Churn", _CUSTOMERS)
+_analysed(
+    "schema",
+    """select unnest([1, 2, 3, 4, 5, 6])::int as position,
+              unnest(['doc_id', 'lang', 'source', 'n_chars', 'quality', 'toxic']) as "column",
+              unnest(['bigint', 'string', 'string', 'bigint', 'int', 'int']) as type""",
+    _DOCS,
+)
+_analysed(
+    "blanks",
+    """select * from (select 'TotalCharges' as "column", count(*) filter (TotalCharges in ('', ' ')) as n_blank
+                      from raw) where n_blank > 0""",
+    _CUSTOMERS,
+)
+_analysed(
+    "column_profile",
+    _profile_sql(
+        "cleaned", ["SeniorCitizen", "Tenure", "MonthlyCharges", "TotalCharges"], ["Segment", "Contract", "Churn"]
+    ),
+    _CUSTOMERS,
+    *_FIGURES,
+    digits=5,
+)
+_analysed("target_rate", _rate_sql("docs", ["lang", "source", "toxic"]), _DOCS, "target_rate")
+_analysed(
+    "class_share", _share_sql("docs", ["lang", "source", "toxic"]), _DOCS, "share_of_positives", "share_of_negatives"
+)
+_analysed(
+    "top_values",
+    f"""select feature, value, n_rows, rank::int as rank from (
+          select feature, value, count(*) as n_rows,
+                 row_number() over (partition by feature order by count(*) desc, value) as rank
+          from ({_values_sql("cleaned", ["Segment", "Contract", "SeniorCitizen"])})
+          where value is not null group by feature, value) where rank <= 5""",
+    _CUSTOMERS,
+)

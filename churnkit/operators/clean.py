@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,10 +39,16 @@ def fill_blanks(df: DataFrame, spec: TableSpec, strict: bool = True) -> DataFram
     """Replace cells that are exactly one blank, then cast to double.
 
     With ``spec.fill_missing`` empty and null cells are filled as well. Other text that is no number fails the
-    job; with ``strict=False`` it becomes null (see ``rejected_cells``).
+    job, whatever the session's ANSI mode; with ``strict=False`` it becomes null (see ``rejected_cells``).
     """
     cells = {c: _filled(df, c, text, spec.fill_missing) for c, text in spec.blank_fill.items()}
-    return df.withColumns({c: v.cast("double") if strict else v.try_cast("double") for c, v in cells.items()})
+    return df.withColumns({c: _number(c, v) if strict else v.try_cast("double") for c, v in cells.items()})
+
+
+def _number(column: str, value: Column) -> Column:
+    number = value.try_cast("double")
+    bad = F.raise_error(F.concat(F.lit(f"not a number in {column}: "), value.cast("string")))
+    return F.when(value.isNotNull() & number.isNull(), bad.cast("double")).otherwise(number)
 
 
 def rejected_cells(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -1,10 +1,10 @@
-"""How the label varies with the attributes, from a labelled ``value_table``."""
+"""How the label varies with the attributes."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.functions import named, round_half_even
@@ -23,15 +23,16 @@ def histogram(df: DataFrame, value: str, by: str, rounded: bool = False) -> Data
     )
 
 
-def histograms(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Positives and negatives per whole-number value, for several columns at once."""
+def histograms(df: DataFrame, columns: Sequence[str], label: Column) -> DataFrame:
+    """Positives and negatives per whole-number value, for several columns at once; rounded before they are grouped."""
+    cells = [
+        F.struct(F.lit(c).alias("feature"), round_half_even(named(c)).alias("value")) for c in columns
+    ]
     return (
-        counts.where(F.col("feature").isin(*columns) & F.col("number").isNotNull())
-        .groupBy("feature", round_half_even(F.col("number")).alias("value"))
-        .agg(
-            F.sum("n_positive").alias("n_positive"),
-            F.sum(F.col("n_labelled") - F.col("n_positive")).alias("n_negative"),
-        )
+        df.select(label.alias("_label"), F.inline(F.array(*cells)))
+        .where("value is not null")
+        .groupBy("feature", "value")
+        .agg(F.count_if(F.col("_label") == 1.0).alias("n_positive"), F.count_if(F.col("_label") == 0.0).alias("n_negative"))
     )
 
 
@@ -62,60 +63,52 @@ def class_share(counts: DataFrame) -> DataFrame:
     )
 
 
-def correlations(counts: DataFrame) -> DataFrame:
-    """Pearson correlation of each numeric column with the label, rows weighted by their counts."""
-    rows = counts.where("number is not null and n_labelled > 0")
-    n, positive = F.col("n_labelled").cast("double"), F.col("n_positive").cast("double")
-    means = rows.groupBy("feature").agg(
-        F.sum(n).alias("n"),
-        (F.sum(n * F.col("number")) / F.sum(n)).alias("mean"),
-        (F.sum(positive) / F.sum(n)).alias("rate"),
-    )
-    # Distances from the mean, not raw squares, so that large numbers keep their digits. A 0/1 label with mean r
-    # has variance r (1 - r).
-    away = F.col("number") - F.col("mean")
-    sums = (
-        rows.join(F.broadcast(means), "feature")
-        .groupBy("feature")
-        .agg(
-            F.sum(away * positive).alias("together"),
-            F.sum(n * away * away).alias("number_part"),
-            F.max(F.col("n") * F.col("rate") * (1.0 - F.col("rate"))).alias("label_part"),
-        )
-    )
-    scale = F.sqrt(F.col("number_part") * F.col("label_part"))
-    return sums.select(
-        "feature", F.lit("correlation").alias("measure"), F.try_divide("together", scale).alias("strength")
-    )
-
+def target_association(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: Column) -> DataFrame:
+    """Strength of each column's relation to the 0/1 label: Pearson's correlation for numbers, Cramér's V for categories.
 
-def cramers_v(counts: DataFrame) -> DataFrame:
-    """Cramér's V of each column with the label, nulls left out; null if the column or the label is constant.
+    One scan. Each row is counted once per category column and enters one more group, in which the correlations are
+    aggregates; what is shuffled is a row per task and category value, never a number of the data. Nulls are left out. Null
+    if the column or the label is constant.
 
     For a two-valued label chi-squared over N is (sum(p_v^2 / n_v) - P^2 / N) / (P (1 - P / N)), so sums over the
     values of a column are enough.
     """
-    positive = F.col("n_positive").cast("double")
-    sums = (
-        counts.where(value_text().isNotNull() & (F.col("n_labelled") > 0))
-        .groupBy("feature")
-        .agg(
-            F.sum(positive * positive / F.col("n_labelled")).alias("explained"),
-            F.sum("n_positive").cast("double").alias("positives"),
-            F.sum("n_labelled").cast("double").alias("total"),
-            F.count(F.lit(1)).alias("n_values"),
-        )
+    numbers = F.struct(F.lit(-1).alias("at"), F.lit("").alias("value"))
+    cells = [F.struct(F.lit(i).alias("at"), named(c).cast("string").alias("value")) for i, c in enumerate(categorical)]
+    rows = df.select(
+        label.alias("_label"), *[named(c).cast("double").alias(f"x{i}") for i, c in enumerate(numeric)],
+        F.inline(F.array(numbers, *cells)),
+    )
+    here = F.col("at") == -1
+
+    def correlation(x: Column) -> Column:
+        # A constant column has no correlation; rounding must not give it one.
+        own, other = F.when(here, x), F.when(here & x.isNotNull(), F.col("_label"))
+        strength = F.try_divide(F.covar_pop(own, other), F.stddev_pop(own) * F.stddev_pop(other))
+        return F.when(F.min(x) < F.max(x), strength)
+
+    grouped = rows.where("_label is not null and value is not null").groupBy("at", "value").agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.count_if(F.col("_label") == 1.0).cast("double").alias("p"),
+        *[correlation(F.col(f"x{i}")).alias(f"c{i}") for i, _ in enumerate(numeric)],
+    )
+    sums = grouped.groupBy("at").agg(
+        F.sum(F.col("p") * F.col("p") / F.col("n")).alias("explained"),
+        F.sum("p").alias("positives"),
+        F.sum("n").alias("total"),
+        F.count(F.lit(1)).alias("n_values"),
+        *[F.max(f"c{i}").alias(f"c{i}") for i, _ in enumerate(numeric)],
     )
     rate = F.col("positives") / F.col("total")
     ratio = F.try_divide(F.col("explained") - F.col("positives") * rate, F.col("positives") * (1.0 - rate))
-    return sums.select(
-        "feature",
-        F.lit("cramers_v").alias("measure"),
-        F.when((F.col("n_values") > 1) & ratio.isNotNull(), F.sqrt(F.greatest(ratio, F.lit(0.0)))).alias("strength"),
-    )
+    v = F.when((F.col("n_values") > 1) & ratio.isNotNull(), F.sqrt(F.greatest(ratio, F.lit(0.0))))
+    two = (F.col("positives") > 0) & (F.col("positives") < F.col("total"))
 
+    def row(feature: Column, measure: str, strength: Column) -> Column:
+        return F.struct(feature.alias("feature"), F.lit(measure).alias("measure"), strength.alias("strength"))
 
-def target_association(counts: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    """Strength of each column's relation to the label: correlation for numbers, Cramér's V for categories."""
-    of_numbers = correlations(counts.where(F.col("feature").isin(*numeric)))
-    return of_numbers.unionByName(cramers_v(counts.where(F.col("feature").isin(*categorical))))
+    correlations = [row(F.lit(c), "correlation", F.when(two, F.col(f"c{i}"))) for i, c in enumerate(numeric)]
+    names = F.array(*[F.lit(c) for c in categorical or ("",)])
+    found = F.array(row(F.try_element_at(names, F.col("at") + 1), "cramers_v", v))
+    of_row = F.when(F.col("at") >= 0, found)
+    return sums.select(F.inline(of_row.otherwise(F.array(*correlations)) if correlations else of_row))

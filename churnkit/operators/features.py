@@ -3,57 +3,88 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnkit.operators.profile import string_columns, top_values, value_table
+from churnkit.functions import named
+from churnkit.operators.profile import value_table, value_text
+from churnkit.operators.ranking import ranked
+from churnkit.sources import Workspace
 from churnkit.spec import TableSpec
 
 FEATURES = "features"
-MAX_CATEGORIES = 100
+# Codes of a column with more values than this are joined as a table.
+LISTED = 10_000
 
 
 class TooManyCategories(ValueError):
-    """A column has more distinct values than a category code should have."""
+    """A column has more distinct values than the caller allows."""
 
 
 def index_name(column: str) -> str:
     return column + "_index"
 
 
-def index_labels(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES) -> DataFrame:
-    """(feature, value, n_rows, index): most frequent value 0.0, ties by value.
+def index_labels(df: DataFrame, columns: Sequence[str], ws: Workspace) -> DataFrame:
+    """(feature, value, n_rows, index) of all values: the most frequent is 0.0, ties by value."""
+    values = value_table(df, columns).select("feature", value_text().alias("value"), "n_rows")
+    order = [F.desc("n_rows"), F.col("value")]
+    ranked_values = ranked(values.where("value is not null"), "feature", order, ws)
+    return ranked_values.select("feature", "value", "n_rows", (F.col("rank") - 1).cast("double").alias("index"))
 
-    A plain grouped count, cut by every task to ``max_categories`` + 1 values per column before the shuffle.
-    One value too many is how ``fit_index`` knows that a column is too wide.
-    """
-    ranked = top_values(value_table(df, columns), max_categories + 1)
-    return ranked.select("feature", "value", "n_rows", (F.col("rank") - 1).cast("double").alias("index"))
+
+@dataclass(frozen=True)
+class Codes:
+    """Codes of text columns: short lists as Spark's indexers, which tell the vector its categories; long ones as a table."""
+
+    listed: list[StringIndexerModel]
+    table: DataFrame
+    wide: dict[str, int]
+    handle_invalid: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        for indexer in self.listed:
+            df = indexer.transform(df)
+        for column, n in self.wide.items():
+            codes = self.table.where(F.col("feature") == column)
+            codes = codes.select(F.col("value").alias("_value"), F.col("index").alias(index_name(column)))
+            df = df.join(codes, named(column) == F.col("_value"), "left").drop("_value")
+            if self.handle_invalid == "error":
+                other = F.raise_error(F.concat(F.lit(f"unseen value in {column}: "), F.coalesce(named(column), F.lit("null"))))
+                other = other.cast("double")
+            else:
+                other = F.lit(float(n))
+            df = df.withColumn(index_name(column), F.coalesce(named(index_name(column)), other))
+        return df
 
 
 def fit_index(
-    df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES, handle_invalid: str = "keep"
-) -> PipelineModel:
+    df: DataFrame,
+    columns: Sequence[str],
+    ws: Workspace,
+    max_categories: int | None = None,
+    handle_invalid: str = "keep",
+    listed: int = LISTED,
+) -> Codes:
     """Codes for all columns, counted at once; by default unseen and null values share one extra code.
 
-    At most columns x (max_categories + 1) labels reach the driver. One model per column, because a model of
-    several columns made from label lists pads the shorter lists with nulls.
+    No column is too wide unless the caller sets ``max_categories``. At most columns x ``listed`` labels reach the
+    driver; longer lists stay a table and are joined, and their codes are plain numbers to a model, not categories.
     """
-    labels: dict[str, list[str]] = {c: [] for c in columns}
-    for row in index_labels(df, columns, max_categories).orderBy("feature", "index").collect():
-        labels[row["feature"]].append(row["value"])
-    wide = [c for c, values in labels.items() if len(values) > max_categories]
+    table = ws.write(index_labels(df, columns, ws))
+    sizes = {c: 0 for c in columns} | {r.feature: r.n for r in table.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    wide = [c for c, n in sizes.items() if max_categories is not None and n > max_categories]
     if wide:
         raise TooManyCategories(f"more than {max_categories} values in: {', '.join(wide)}")
-    return PipelineModel(
-        [
-            StringIndexerModel.from_labels(values, c, index_name(c), handle_invalid)
-            for c, values in labels.items()
-        ]
-    )
+    labels: dict[str, list[str]] = {c: [] for c, n in sizes.items() if n <= listed}
+    for row in table.where(F.col("feature").isin(*labels)).orderBy("feature", "index").collect():
+        labels[row["feature"]].append(row["value"])
+    # One model per column, because a model of several columns made from label lists pads the shorter ones with nulls.
+    models = [StringIndexerModel.from_labels(v, c, index_name(c), handle_invalid) for c, v in labels.items()]
+    return Codes(models, table, {c: n for c, n in sizes.items() if n > listed}, handle_invalid)
 
 
 def swap_indexed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -61,23 +92,28 @@ def swap_indexed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.drop(*columns).withColumnsRenamed({index_name(c): c for c in columns})
 
 
-def feature_columns(df: DataFrame, spec: TableSpec) -> list[str]:
-    """Everything but the keys and the label, text columns last as they are the ones to index."""
-    text = set(string_columns(df))
-    free = df.drop(*spec.keys, spec.label).columns
-    return [c for c in free if c not in text] + [c for c in free if c in text]
+@dataclass(frozen=True)
+class Vectors:
+    """Codes learnt from the training rows, then one vector of the inputs in the order of the spec."""
+
+    codes: Codes | None
+    assembler: VectorAssembler
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.assembler.transform(df if self.codes is None else self.codes.transform(df))
 
 
 def fit_features(
-    train: DataFrame, spec: TableSpec, max_categories: int = MAX_CATEGORIES, handle_invalid: str = "keep"
-) -> PipelineModel:
-    """Codes learnt from the training rows, then one vector of ``spec.features`` in that order."""
-    stages = []
-    if spec.categorical:
-        stages.append(fit_index(train, spec.categorical, max_categories, handle_invalid))
+    train: DataFrame,
+    spec: TableSpec,
+    ws: Workspace,
+    max_categories: int | None = None,
+    handle_invalid: str = "keep",
+    listed: int = LISTED,
+) -> Vectors:
+    codes = fit_index(train, spec.categorical, ws, max_categories, handle_invalid, listed) if spec.categorical else None
     inputs = [*spec.numeric, *[index_name(c) for c in spec.categorical]]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES))
-    return PipelineModel(stages)
+    return Vectors(codes, VectorAssembler(inputCols=inputs, outputCol=FEATURES))
 
 
 def widest_code(df: DataFrame) -> int:
@@ -86,7 +122,7 @@ def widest_code(df: DataFrame) -> int:
     return max((len(a["vals"]) for a in attributes if "vals" in a), default=0)
 
 
-def vectorise(df: DataFrame, model: PipelineModel, keep: Sequence[str] | None = None) -> DataFrame:
+def vectorise(df: DataFrame, model: Vectors, keep: Sequence[str] | None = None) -> DataFrame:
     """Rows with their vector. ``keep`` lists the other columns to keep; None keeps all, codes included."""
     vectors = model.transform(df)
     return vectors if keep is None else vectors.select(*keep, FEATURES)

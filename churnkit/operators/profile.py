@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnkit.functions import is_blank, named
-from churnkit.sources import materialise
+from churnkit.operators import ranking
+from churnkit.sources import Workspace
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -70,17 +72,25 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(named(label).alias(label)).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def value_table(df: DataFrame, columns: Sequence[str], label: Column | None = None) -> DataFrame:
+def is_number(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.NumericType, T.BooleanType))
+
+
+def value_table(
+    df: DataFrame, columns: Sequence[str], label: Column | None = None, hashed: Sequence[str] = ()
+) -> DataFrame:
     """Rows per value of each column: (feature, number, text, n_rows), with a 0/1 label also n_labelled, n_positive.
 
-    ``number`` is filled for numeric columns, ``text`` for all but fractional ones. Summed inside every task
-    before the shuffle, so a value that most rows hold costs one row per task.
+    ``number`` is filled for numbers and booleans, ``text`` for all but floats, so that decimals and long integers keep
+    their exact value. Of ``hashed`` columns the text is a digest: free text is counted without being moved. Summed inside
+    every task before the shuffle, so a value that most rows hold costs one row per task.
     """
     cells = []
     for name in columns:
         kind = df.schema[name].dataType
-        number = named(name) if isinstance(kind, T.NumericType) else F.lit(None)
-        text = F.lit(None) if isinstance(kind, T.FractionalType) else named(name)
+        number = named(name) if is_number(kind) else F.lit(None)
+        text = F.lit(None) if isinstance(kind, (T.FloatType, T.DoubleType)) else named(name).cast("string")
+        text = F.md5(text.cast("binary")) if name in hashed else text
         cells.append(
             F.struct(
                 F.lit(name).alias("feature"), number.cast("double").alias("number"), text.cast("string").alias("text")
@@ -98,85 +108,81 @@ def value_text() -> Column:
     return F.coalesce("text", F.col("number").cast("string"))
 
 
-def top_values(counts: DataFrame, k: int = 5) -> DataFrame:
+def top_values(counts: DataFrame, k: int = 5, ws: Workspace | None = None) -> DataFrame:
     """The k most frequent values of each column of a ``value_table``, nulls left out, ties by value.
 
-    Spark cuts every task's rows to the first k before the shuffle as long as k is within
-    ``spark.sql.optimizer.windowGroupLimitThreshold``; a larger k would send a whole column to one task.
-    """
-    limit = int(counts.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if not 0 < k <= limit:
-        raise ValueError(f"k must be between 1 and {limit}")
-    order = Window.partitionBy("feature").orderBy(F.desc("n_rows"), "value")
-    return (
-        counts.select("feature", value_text().alias("value"), "n_rows")
-        .where("value is not null")
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-    )
-
-
-def sliced(counts: DataFrame) -> DataFrame:
-    """A ``value_table`` sorted into slices of similar size and written, ready for ``column_profile``.
-
-    Spark sets the number of slices by their size. Every slice is a partition of the written table, so a query for
-    some slices opens no other files.
+    For a k up to ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark cuts every task's rows to the first k before
+    the shuffle. Beyond it the values are ranked in slices, written to ``ws``.
     """
-    ranged = counts.repartitionByRange("feature", "number", "text")
-    return materialise(ranged.withColumn("slice", F.spark_partition_id()), ["slice"])
-
-
-def column_profile(counts: DataFrame, quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    if k <= 0:
+        raise ValueError("k must be positive")
+    values = counts.select("feature", value_text().alias("value"), "n_rows").where("value is not null")
+    order = [F.desc("n_rows"), F.col("value")]
+    if k <= int(counts.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        rank = F.row_number().over(Window.partitionBy("feature").orderBy(*order))
+        return values.withColumn("rank", rank).where(F.col("rank") <= k)
+    ranked = ranking.ranked(values, "feature", order, ws or Workspace(counts.sparkSession))
+    return ranked.withColumn("rank", F.col("rank").cast("int")).where(F.col("rank") <= k)
+
+
+def figures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per column rows and nulls, for numbers also mean, sample deviation and extremes: one aggregate, no shuffle of rows."""
+    cells, sums = [], [F.count(F.lit(1)).alias("n_rows")]
+    for i, name in enumerate(columns):
+        sums.append(F.count(named(name)).alias(f"filled{i}"))
+        cell = [F.lit(name).alias("column"), F.col("n_rows"), (F.col("n_rows") - F.col(f"filled{i}")).alias("n_null")]
+        for f, apply in (("mean", F.avg), ("stddev", F.stddev_samp), ("min", F.min), ("max", F.max)):
+            if is_number(df.schema[name].dataType):
+                sums.append(apply(named(name).cast("double")).alias(f"{f}{i}"))
+                cell.append(F.col(f"{f}{i}").alias(f))
+            else:
+                cell.append(F.lit(None).cast("double").alias(f))
+        cells.append(F.struct(*cell))
+    return df.agg(*sums).select(F.inline(F.array(*cells)))
+
+
+def quantile_name(q: float) -> str:
+    """p25 for 0.25, p99_9 for 0.999: no two quantiles share a name."""
+    percent = format((Decimal(str(q)) * 100).normalize(), "f")
+    whole, _, part = percent.partition(".")
+    return f"p{whole:0>2}" + (f"_{part}" if part else "")
+
+
+def column_profile(
+    df: DataFrame,
+    columns: Sequence[str],
+    ws: Workspace,
+    quantiles: Sequence[float] = (0.25, 0.5, 0.75),
+    counts: DataFrame | None = None,
+    slice_rows: int = ranking.SLICE_ROWS,
+) -> DataFrame:
     """Per column: rows, nulls, distinct values; for numbers also mean, sample deviation, extremes, quantiles.
 
-    Takes the ``sliced`` counts, so the table itself is read once however many figures there are. A quantile
-    reads only the slices that hold its rank: no task sees more than one slice of one column.
+    Only distinct values and quantiles, which are exact, need the value counts (``counts``, if the caller has them). These
+    are sorted into slices of bounded size, and a quantile reads only the slices that hold its rank.
     """
-    has_number = F.col("number").isNotNull()
-    is_null = value_text().isNull()
-    # As many rows as there are slices, plus one per column that shares a slice with the next. Written, because the
-    # three uses below need different columns of it and would each read all counts again.
-    per_slice = materialise(
+    counts = value_table(df, columns) if counts is None else counts.where(F.col("feature").isin(*columns))
+    counts = ranking.sliced(counts.select("feature", "number", "text", "n_rows"), ["feature", "number", "text"], ws, slice_rows)
+    per_slice = ws.write(
         counts.groupBy("feature", "slice").agg(
-            F.sum("n_rows").alias("n_rows"),
-            F.coalesce(F.sum(F.when(is_null, F.col("n_rows"))), F.lit(0)).alias("n_null"),
-            F.count_if(~is_null).alias("n_distinct"),
-            F.sum(F.when(has_number, F.col("n_rows"))).alias("n_numbers"),
-            F.sum(F.col("number") * F.col("n_rows")).alias("total"),
-            F.min("number").alias("min"),
-            F.max("number").alias("max"),
+            F.count_if(value_text().isNotNull()).alias("n_distinct"),
+            F.sum(F.when(F.col("number").isNotNull(), F.col("n_rows"))).alias("n_numbers"),
         )
     )
-    basics = per_slice.groupBy("feature").agg(
-        *[F.sum(c).alias(c) for c in ("n_rows", "n_null", "n_distinct", "n_numbers")],
-        F.try_divide(F.sum("total"), F.sum("n_numbers")).alias("mean"),
-        F.min("min").alias("min"),
-        F.max("max").alias("max"),
-    )
-    # One row per column of the table, so small enough to send to every task.
-    means = F.broadcast(basics.where("mean is not null").select("feature", "mean", "n_numbers"))
-    away = F.col("number") - F.col("mean")
-    spread = (
-        counts.where(has_number)
-        .join(means, "feature")
-        .groupBy("feature")
-        .agg(F.sqrt(F.try_divide(F.sum(F.col("n_rows") * away * away), F.max("n_numbers") - 1)).alias("stddev"))
-    )
-    names = {q: f"p{round(q * 100):02d}" for q in quantiles}
+    distinct = per_slice.groupBy(F.col("feature").alias("column")).agg(F.sum("n_distinct").alias("n_distinct"))
+    names = {float(q): quantile_name(q) for q in quantiles}
     wide = (
-        _quantiles(counts.where(has_number), per_slice, quantiles)
-        .groupBy("feature")
+        _quantiles(counts.where("number is not null"), per_slice, list(names))
+        .groupBy(F.col("feature").alias("column"))
         .agg(*[F.max(F.when(F.col("quantile") == q, F.col("number"))).alias(n) for q, n in names.items()])
     )
+    # One row per column of the table on every side.
     return (
-        basics.join(F.broadcast(spread), "feature", "left")
-        .join(F.broadcast(wide), "feature", "left")
-        .select(
-            F.col("feature").alias("column"),
-            *("n_rows", "n_null", "n_distinct", "mean", "stddev", "min"),
-            *names.values(),
-            "max",
-        )
+        figures(df, columns)
+        .join(F.broadcast(distinct), "column", "left")
+        .join(F.broadcast(wide), "column", "left")
+        .withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
+        .select("column", "n_rows", "n_null", "n_distinct", "mean", "stddev", "min", *names.values(), "max")
     )
 
 

@@ -41,6 +41,12 @@ def train_test_split(df: DataFrame, spec: TableSpec, split: SplitSpec) -> tuple[
     return marked.where(in_train(split)).drop(SPLIT), marked.where(in_test(split)).drop(SPLIT)
 
 
+def with_side(df: DataFrame, spec: TableSpec, split: SplitSpec) -> DataFrame:
+    """Adds ``side``: train or test, marked in one pass."""
+    marked = df.withColumn(SPLIT, split_position(key_bits(spec, split)))
+    return marked.withColumn("side", F.when(in_train(split), "train").otherwise("test")).drop(SPLIT)
+
+
 def split_sizes(df: DataFrame, spec: TableSpec, split: SplitSpec) -> DataFrame:
     """Rows on either side, both in one scan."""
     side = F.when(in_train(split), "train").otherwise("test").alias("side")

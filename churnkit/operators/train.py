@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnkit.operators.evaluate import confusion_counts, with_metrics
 from churnkit.operators.features import FEATURES, widest_code
 from churnkit.operators.split import FOLD, LABEL, SAMPLE, kept_by_undersampling
 from churnkit.spec import SplitSpec, TrainSpec
@@ -77,10 +78,13 @@ def training_rows(train: DataFrame, spec: TrainSpec) -> DataFrame:
     return train.where(kept_by_undersampling(F.col(LABEL), F.col(SAMPLE), spec.undersample))
 
 
-def search(train: DataFrame, spec: TrainSpec, split: SplitSpec, parallelism: int = 2) -> Search:
+def search(
+    train: DataFrame, spec: TrainSpec, split: SplitSpec, parallelism: int = 2, validate: bool = True
+) -> Search:
     """Mean weighted F1 over the hash folds, first best cell wins, refit on all rows given.
 
-    A grid of one cell is fitted at once, as there is nothing to choose.
+    Folds are filters on the stored fold, so nothing is cached; a fold's held-out rows are read once for all cells. With
+    ``validate=False`` a grid of one cell is fitted without scoring it.
     """
     rows = training_rows(train, spec)
     estimator = estimator_for(spec, split.seed)
@@ -90,16 +94,34 @@ def search(train: DataFrame, spec: TrainSpec, split: SplitSpec, parallelism: int
             raise ValueError(f"a category has {codes} codes but maxBins is {bins}; set it in TrainSpec.fixed")
     grid = param_grid(estimator, spec.grid)
     cells = [{p.name: v for p, v in cell.items()} for cell in grid]
-    if len(grid) == 1:
+    if not validate:
+        if len(grid) > 1:
+            raise ValueError("a grid of several cells needs validation")
         return Search(estimator.fit(rows, grid[0]), cells, [None], 0)
-    validator = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(labelCol=LABEL, metricName="f1"),
-        numFolds=split.folds,
-        foldCol=FOLD,
-        parallelism=parallelism,
-    )
-    fitted = validator.fit(rows)
-    scores = [float(s) for s in fitted.avgMetrics]
-    return Search(fitted.bestModel, cells, scores, max(range(len(scores)), key=scores.__getitem__))
+    folds = [_fold_scores(rows, estimator, grid, k, parallelism) for k in range(split.folds)]
+    scores = [sum(s) / len(folds) for s in zip(*folds)]
+    best = max(range(len(scores)), key=scores.__getitem__)
+    return Search(estimator.fit(rows, grid[best]), cells, scores, best)
+
+
+def _fold_scores(rows: DataFrame, estimator: Estimator, grid: list[dict], fold: int, parallelism: int) -> list[float]:
+    """Weighted F1 of every cell on the fold's rows, fitted on the others; all cells are counted in one scan."""
+    fitted, held = rows.where(F.col(FOLD) != fold), rows.where(F.col(FOLD) == fold)
+    with ThreadPoolExecutor(parallelism) as pool:
+        models = list(pool.map(lambda cell: estimator.fit(fitted, cell), grid))
+    scored = held.select(LABEL, FEATURES)
+    for i, model in enumerate(models):
+        scored = predict(model, scored, f"prediction_{i}")
+    said = {str(i): F.col(f"prediction_{i}") for i in range(len(models))}
+    counts = with_metrics(confusion_counts(scored, F.col(LABEL), said))
+    found = {r["model"]: r["f1_weighted"] for r in counts.select("model", "f1_weighted").collect()}  # a row per cell
+    return [found[str(i)] or 0.0 for i in range(len(models))]
+
+
+def predict(model: Model, df: DataFrame, column: str = "prediction") -> DataFrame:
+    """Adds the predicted class only; scores and probabilities are not computed."""
+    quiet = model.copy({model.predictionCol: column})
+    for name in ("rawPredictionCol", "probabilityCol"):
+        if quiet.hasParam(name):
+            quiet = quiet.copy({quiet.getParam(name): ""})
+    return quiet.transform(df)

@@ -2,29 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Model, PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnkit import sources
-from churnkit.functions import label_value, required_label
+from churnkit.functions import label_value, named, required_label
 from churnkit.operators import evaluate, explore, features, profile
 from churnkit.operators.clean import clean
-from churnkit.operators.split import FOLD, LABEL, SAMPLE, in_test, in_train, with_markers
-from churnkit.operators.train import Search, chosen_cell, search
+from churnkit.operators.split import FOLD, LABEL, SAMPLE, SPLIT, in_test, in_train, with_markers
+from churnkit.operators.train import Search, chosen_cell, predict, search
+from churnkit.sources import Workspace
 from churnkit.spec import BENCHMARK, CHOSEN, MIN_RECALL, SplitSpec, TableSpec, TrainSpec
 
+PREDICTION = "prediction"
 LEADERBOARD_SCHEMA = (
     "position int, algorithm string, undersample double, params map<string,string>, cv_f1 double"
 )
 
 
+class Owned:
+    """Results that read tables of a workspace; closing deletes these."""
+
+    workspace: Workspace
+
+    def close(self) -> None:
+        self.workspace.close()
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *failure) -> None:
+        self.close()
+
+
 @dataclass(frozen=True)
-class Prepared:
-    """Keys, original columns, label and markers of all rows as written, and the model that vectorises them.
+class Prepared(Owned):
+    """All columns, label and markers of all rows as written, and the model that vectorises them.
 
     Either side is filtered before it is vectorised: Spark pushes no filter below the vector step, while a filter
     on the stored marker reaches the Parquet scan.
@@ -33,7 +49,8 @@ class Prepared:
     rows: DataFrame
     spec: TableSpec
     split: SplitSpec
-    model: PipelineModel
+    model: features.Vectors
+    workspace: Workspace
 
     @property
     def table(self) -> DataFrame:
@@ -48,35 +65,53 @@ class Prepared:
         return features.vectorise(self.rows.where(in_test(self.split)), self.model, self.rows.columns)
 
 
-def analyse(raw: DataFrame, spec: TableSpec) -> dict[str, DataFrame]:
+class Reports(dict, Owned):
+    """Reports by name."""
+
+    def __init__(self, workspace: Workspace, reports: Mapping[str, DataFrame]):
+        super().__init__(reports)
+        self.workspace = workspace
+
+
+def analyse(raw: DataFrame, spec: TableSpec) -> Reports:
     """Every report on one table, by name.
 
-    The table is read twice: once as it came for nulls and blanks, once cleaned for the counts per value that
-    all other reports are taken from. Keys are not profiled.
+    The raw table is read for nulls and blanks, the cleaned one for figures, for histograms, for associations, and for the
+    counts per value that all other reports are taken from. Keys are not profiled. Text that is no category is
+    counted by digest. Each report reads its own part of this when it is used.
     """
     cleaned = clean(raw, spec)
     spec = spec.resolve(cleaned)
-    quality = sources.materialise(profile.column_quality(raw))
+    ws = Workspace(raw.sparkSession)
     columns = [c for c in cleaned.columns if c not in spec.keys]
-    counts = profile.sliced(profile.value_table(cleaned, columns, label_value(spec)))
+    kept = {*spec.groups, spec.label}
+    free = [c for c in profile.string_columns(cleaned) if c not in kept]
+    try:
+        quality = ws.write(profile.column_quality(raw))
+        counts = ws.write(profile.value_table(cleaned, columns, label_value(spec), free))
+        columns_profile = profile.column_profile(cleaned, columns, ws, counts=counts)
+    except BaseException:
+        ws.close()
+        raise
     by_group = counts.where(F.col("feature").isin(*spec.groups))
     of_label = counts.where(F.col("feature") == spec.label)
-    return {
+    reports = {
         "schema": quality.select("position", "column", "type"),
         "row_count": quality.where("position = 1").select("n_rows"),
         "nulls": quality.where("n_null > 0").select("column", "n_null"),
         "blanks": quality.where("n_blank > 0").select("column", "n_blank"),
         "class_balance": of_label.select(profile.value_text().alias(spec.label), "n_rows"),
-        "column_profile": profile.column_profile(counts),
+        "column_profile": columns_profile,
         "top_values": profile.top_values(by_group),
         "target_rate": explore.target_rate(by_group),
         "class_share": explore.class_share(by_group),
-        "association": explore.target_association(counts, spec.numeric, spec.categorical),
-        "histograms": explore.histograms(counts, spec.numeric),
+        "association": explore.target_association(cleaned, spec.numeric, spec.categorical, label_value(spec)),
+        "histograms": explore.histograms(cleaned, spec.numeric, label_value(spec)),
     }
+    return Reports(ws, reports)
 
 
-def prepare(raw: DataFrame, spec: TableSpec, split: SplitSpec, max_categories: int = features.MAX_CATEGORIES) -> Prepared:
+def prepare(raw: DataFrame, spec: TableSpec, split: SplitSpec, max_categories: int | None = None) -> Prepared:
     """Clean, mark and write all rows, learn the codes from the training rows, vectorise.
 
     The raw table is read once. Vectors are made from the written columns whenever they are read, which for a
@@ -84,11 +119,18 @@ def prepare(raw: DataFrame, spec: TableSpec, split: SplitSpec, max_categories: i
     """
     cleaned = clean(raw, spec)
     spec = spec.resolve(cleaned)
-    originals = [*spec.keys, spec.label, *spec.features]
-    marked = with_markers(cleaned.select(*originals, required_label(spec).alias(LABEL)), spec, split)
-    written = sources.materialise(marked)
-    model = features.fit_features(written.where(in_train(split)), spec, max_categories)
-    return Prepared(written, spec, split, model)
+    clash = sorted({LABEL, SPLIT, SAMPLE, FOLD, features.FEATURES, PREDICTION} & set(cleaned.columns))
+    if clash:
+        raise ValueError(f"columns with names of the job's own: {', '.join(clash)}")
+    marked = with_markers(cleaned.select("*", required_label(spec).alias(LABEL)), spec, split)
+    ws = Workspace(raw.sparkSession)
+    try:
+        written = ws.write(marked)
+        model = features.fit_features(written.where(in_train(split)), spec, ws, max_categories)
+    except BaseException:
+        ws.close()
+        raise
+    return Prepared(written, spec, split, model, ws)
 
 
 def evaluated(searches: Sequence[tuple[TrainSpec, Search]], prepared: Prepared) -> DataFrame:
@@ -119,29 +161,23 @@ def evaluated(searches: Sequence[tuple[TrainSpec, Search]], prepared: Prepared)
     )
 
 
-def predict(model: Model, df: DataFrame, column: str = "prediction") -> DataFrame:
-    """Adds the predicted class only; scores and probabilities are not computed."""
-    quiet = model.copy({model.predictionCol: column})
-    for name in ("rawPredictionCol", "probabilityCol"):
-        if quiet.hasParam(name):
-            quiet = quiet.copy({quiet.getParam(name): ""})
-    return quiet.transform(df)
-
-
 def benchmark(
     raw: DataFrame,
     spec: TableSpec,
     train_specs: Sequence[TrainSpec] = BENCHMARK,
     split: SplitSpec = SplitSpec(),
     parallelism: int = 2,
+    max_categories: int | None = None,
 ) -> DataFrame:
     """Leaderboard: every spec searched on the training rows and measured on the same held-out rows.
 
-    The training vectors are written, as every fit of every grid reads them.
+    The training vectors are written by fold, as every fit of every grid reads them. Nothing written is left behind:
+    the result is a row per spec.
     """
-    prepared = prepare(raw, spec, split)
-    train = sources.materialise(prepared.train)
-    return evaluated([(s, search(train, s, split, parallelism)) for s in train_specs], prepared)
+    with prepare(raw, spec, split, max_categories) as prepared:
+        train = prepared.workspace.write(prepared.train, [FOLD])
+        board = evaluated([(s, search(train, s, split, parallelism)) for s in train_specs], prepared)
+        return raw.sparkSession.createDataFrame(board.collect(), board.schema)
 
 
 def choose(
@@ -152,8 +188,15 @@ def choose(
     return row and chosen_cell(train_specs[row["position"]], row["params"])
 
 
+def read_leaderboard(spark: SparkSession, path: str, label: str) -> DataFrame:
+    """What ``write_leaderboard`` wrote; ``label`` is the label column of the benchmarked table."""
+    matrix = f"array<struct<`{label}`: double, prediction: double, count: bigint>>"
+    metrics = ", ".join(f"{m} double" for m in ("accuracy", "precision", "recall", "f1_positive", "f1_weighted"))
+    return spark.read.schema(f"{LEADERBOARD_SCHEMA}, {metrics}, confusion_matrix {matrix}").json(path)
+
+
 @dataclass(frozen=True)
-class Scored:
+class Scored(Owned):
     """Outcome of a training run: the vectors, the scored rows, and the metrics on the held-out rows."""
 
     prepared: Prepared
@@ -161,6 +204,10 @@ class Scored:
     rows: DataFrame
     metrics: DataFrame
 
+    @property
+    def workspace(self) -> Workspace:
+        return self.prepared.workspace
+
 
 def train_and_score(
     raw: DataFrame,
@@ -169,19 +216,28 @@ def train_and_score(
     split: SplitSpec = SplitSpec(),
     score_on: str = "holdout",
     parallelism: int = 2,
+    max_categories: int | None = None,
+    validate: bool = False,
 ) -> Scored:
-    """Fit the chosen spec and add its prediction to the held-out rows, or with ``score_on="all"`` to every row."""
+    """Fit the chosen spec and add its prediction to the held-out rows, or with ``score_on="all"`` to every row.
+
+    Scored rows keep all their columns. A spec with several cells needs ``validate``.
+    """
     if score_on not in ("holdout", "all"):
         raise ValueError("score_on is 'holdout' or 'all'")
-    prepared = prepare(raw, spec, split)
-    found = search(prepared.train, train_spec, split, parallelism)
-    target = prepared.test if score_on == "holdout" else prepared.table
-    originals = [*prepared.spec.keys, *prepared.spec.categorical, *prepared.spec.numeric, prepared.spec.label]
-    rows = predict(found.model, target).select(*originals, "prediction")
-    return Scored(prepared, found, rows, evaluated([(train_spec, found)], prepared))
-
-
-def write_analysis(reports: dict[str, DataFrame], path: str) -> None:
+    prepared = prepare(raw, spec, split, max_categories)
+    try:
+        found = search(prepared.train, train_spec, split, parallelism, validate)
+        target = prepared.test if score_on == "holdout" else prepared.table
+        own = [c for c in prepared.rows.columns if c not in (LABEL, SPLIT, SAMPLE, FOLD)]
+        rows = predict(found.model, target, PREDICTION).select(*[named(c) for c in own], PREDICTION)
+        return Scored(prepared, found, rows, evaluated([(train_spec, found)], prepared))
+    except BaseException:
+        prepared.close()
+        raise
+
+
+def write_analysis(reports: Mapping[str, DataFrame], path: str) -> None:
     for name, report in reports.items():
         sources.write_json(report, f"{path}/{name}")
 
@@ -191,7 +247,7 @@ def write_leaderboard(leaderboard: DataFrame, path: str) -> None:
     sources.write_json(leaderboard, path, files=1)
 
 
-def write_scored(scored: Scored, path: str) -> None:
-    sources.write_csv(scored.rows, f"{path}/predicted")
+def write_scored(scored: Scored, path: str, line_breaks: bool = False) -> None:
+    sources.write_csv(scored.rows, f"{path}/predicted", line_breaks=line_breaks)
     sources.write_parquet(scored.prepared.table, f"{path}/processed")
     write_leaderboard(scored.metrics, f"{path}/metrics")

@@ -1,26 +1,32 @@
-"""Readers, writers and the shared folder for tables that cut lineage."""
+"""Readers, writers and the workspace for tables that cut lineage."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Mapping, Sequence
-from functools import cache
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnkit.functions import named
+from churnkit.sources.workspace import Workspace, shared_folder  # noqa: F401
 
-_CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Nulls are empty cells and empty texts are quoted. The reader needs a text for nulls that no cell has.
+_CSV = {"header": True, "escape": '"'}
+_CSV_NULL = "\x00\x00"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header row. Without a schema the types are inferred, which reads the input once more."""
-    reader = spark.read.option("header", True)
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, line_breaks: bool = False
+) -> DataFrame:
+    """CSV with a header row. Without a schema the types are inferred, which reads the input once more.
+
+    An empty cell is null, a quoted empty one is an empty text. ``line_breaks`` says that cells may hold some; a file is
+    then read by one task.
+    """
+    reader = spark.read.options(**_CSV, nullValue=_CSV_NULL, emptyValue="", multiLine=line_breaks)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
@@ -40,16 +46,30 @@ def write_json(df: DataFrame, path: str, files: int | None = None, mode: str = "
     _writer(df, files, mode).json(path)
 
 
-def write_csv(df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite") -> None:
-    """CSV with a header row. Blanks inside cells are kept; vector columns are refused."""
+def write_csv(
+    df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite", line_breaks: bool = False
+) -> None:
+    """CSV with a header row that ``read_csv`` gives back cell for cell. Vector columns are refused.
+
+    A cell with a line break fails the job unless ``line_breaks`` allows them, since a reader that takes each line for a
+    row would not notice.
+    """
     vectors = _vector_columns(df)
     if vectors:
         raise ValueError(f"CSV cannot hold vector columns: {', '.join(vectors)}")
-    _writer(df, files, mode).csv(
-        path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    if not line_breaks:
+        text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        df = df.withColumns({c: _single_line(c) for c in text})
+    _writer(df, files, mode).options(**_CSV, nullValue="", emptyValue='""').csv(
+        path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
 
 
+def _single_line(column: str) -> Column:
+    broken = F.raise_error(F.lit(f"line break in a cell of {column}; allow it with line_breaks"))
+    return F.when(named(column).rlike("[\r\n]"), broken).otherwise(named(column))
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -85,25 +105,3 @@ def schema_report(df: DataFrame) -> DataFrame:
         for i, f in enumerate(df.schema.fields)
     ]
     return counted.select(F.inline(F.array(*rows)))
-
-
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="churnkit-")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder that all executors see; in local mode a temporary folder if none is set."""
-    root = spark.conf.get(_CHECKPOINT_DIR, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder that every executor can reach")
-        root = _local_root()
-    return f"{root.rstrip('/')}/churnkit-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write once, read many times: cuts lineage, survives lost executors, keeps pruning and pushdown."""
-    path = shared_folder(df.sparkSession)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -28,11 +28,17 @@ class TableSpec:
     fill_missing: bool = False
 
     def resolve(self, df: DataFrame) -> TableSpec:
-        """Fill in the column lists by type: text is categorical, every other type but the key and label numeric."""
-        taken = {*self.keys, self.label}
+        """Fill in the column lists by type: text is categorical, numbers and booleans are numeric.
+
+        Any other type is an error that names the column, unless both lists are given.
+        """
+        taken = {*self.keys, self.label, *(self.numeric or ()), *(self.categorical or ())}
         free = [f for f in df.schema.fields if f.name not in taken]
         text = tuple(f.name for f in free if isinstance(f.dataType, T.StringType))
-        numbers = tuple(f.name for f in free if isinstance(f.dataType, T.NumericType))
+        numbers = tuple(f.name for f in free if isinstance(f.dataType, (T.NumericType, T.BooleanType)))
+        other = [f"{f.name} ({f.dataType.simpleString()})" for f in free if f.name not in (*text, *numbers)]
+        if other and (self.numeric is None or self.categorical is None):
+            raise ValueError(f"neither numeric nor categorical, cast or drop: {', '.join(other)}")
         return replace(
             self,
             numeric=numbers if self.numeric is None else self.numeric,

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnkit.operators import explore, profile
+from churnkit.sources import Workspace
 
 
 def as_dict(df, key="column"):
@@ -65,19 +66,17 @@ def skewed_table(spark, pdf, partitions=8):
     return spark.createDataFrame(rows, schema).repartition(partitions)
 
 
-@pytest.fixture(params=["many slices", "one slice"])
-def slices(spark, request):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", request.param == "one slice")
-    yield 8 if request.param == "many slices" else 1
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+@pytest.fixture
+def ws(spark):
+    with Workspace(spark) as workspace:
+        yield workspace
 
 
-def test_profile_agrees_with_brute_force(spark, skewed, slices):
+@pytest.mark.parametrize("slice_rows", [700, 100_000])
+def test_profile_agrees_with_brute_force(spark, skewed, ws, slice_rows):
     df = skewed_table(spark, skewed)
     quantiles = (0.01, 0.25, 0.5, 0.75, 0.999)
-    counts = profile.sliced(profile.value_table(df, df.columns))
-    assert counts.select("slice").distinct().count() == slices
-    found = as_dict(profile.column_profile(counts, quantiles))
+    found = as_dict(profile.column_profile(df, df.columns, ws, quantiles, slice_rows=slice_rows))
     for column in ("hot", "spread", "same", "gaps"):
         values = skewed[column].dropna().astype(float)
         row = found[column]
@@ -87,32 +86,47 @@ def test_profile_agrees_with_brute_force(spark, skewed, slices):
         assert row["mean"] == pytest.approx(values.mean(), rel=1e-9)
         assert row["stddev"] == pytest.approx(statistics.stdev(values), rel=1e-7, abs=1e-12)
         assert (row["min"], row["max"]) == (values.min(), values.max())
-        for q, name in zip(quantiles, ("p01", "p25", "p50", "p75", "p100")):
+        for q, name in zip(quantiles, ("p01", "p25", "p50", "p75", "p99_9")):
             assert row[name] == pytest.approx(values.quantile(q), rel=1e-12), (column, q)
     assert found["big"]["n_distinct"] == skewed["big"].nunique()
     assert found["word"]["n_distinct"] == 3 and found["word"]["mean"] is None
 
 
-def test_profile_does_not_depend_on_partitions(spark, skewed):
+def test_profile_does_not_depend_on_partitions(spark, skewed, ws):
     tables = [skewed_table(spark, skewed, n) for n in (1, 3, 8)]
     exact = ["column", "n_rows", "n_null", "n_distinct", "min", "p25", "p50", "p75", "max"]
     results = [
-        sorted(map(tuple, profile.column_profile(profile.sliced(profile.value_table(t, t.columns))).select(*exact).collect()))
+        sorted(map(tuple, profile.column_profile(t, t.columns, ws).select(*exact).collect()))
         for t in tables
     ]
     assert results[0] == results[1] == results[2]
 
 
-def test_single_row_has_no_deviation(spark):
+def test_quantile_names_are_exact():
+    assert [profile.quantile_name(q) for q in (0.01, 0.5, 0.99, 0.994, 0.999, 1.0)] == ["p01", "p50", "p99", "p99_4", "p99_9", "p100"]
+
+
+def test_booleans_and_decimals_are_numbers(spark, ws):
+    df = spark.sql("select cast(v as decimal(30,20)) as d, cast(v as double) > 1 as b from values ('1.00000000000000000001'), ('1'), ('2') as t(v)")
+    found = as_dict(profile.column_profile(df, ["d", "b"], ws, (0.5,)))
+    assert (found["d"]["n_distinct"], found["d"]["p50"], found["b"]["mean"]) == (3, 1.0, pytest.approx(1 / 3))
+
+
+def test_empty_table_and_no_values(spark, ws):
+    df = spark.createDataFrame([], "x double, g string")
+    found = as_dict(profile.column_profile(df, ["x", "g"], ws))
+    assert found["x"]["n_rows"] == 0 and found["x"]["p50"] is None and found["g"]["n_distinct"] == 0
+
+
+def test_single_row_has_no_deviation(spark, ws):
     df = spark.createDataFrame([(3.0,)], "x double")
-    row = profile.column_profile(profile.sliced(profile.value_table(df, ["x"]))).first()
+    row = profile.column_profile(df, ["x"], ws).first()
     assert (row.p25, row.p50, row["mean"], row.stddev) == (3.0, 3.0, 3.0, None)
 
 
 def test_association_agrees_with_brute_force(spark, skewed):
     df = skewed_table(spark, skewed)
-    counts = profile.value_table(df, ["hot", "spread", "word", "same"], F.col("yes"))
-    found = as_dict(explore.target_association(counts, ["hot", "spread", "same"], ["word"]), "feature")
+    found = as_dict(explore.target_association(df, ["hot", "spread", "same"], ["word"], F.col("yes")), "feature")
     for column in ("hot", "spread"):
         expected = np.corrcoef(skewed[column].astype(float), skewed["yes"])[0, 1]
         assert found[column]["strength"] == pytest.approx(expected, rel=1e-9)
@@ -124,10 +138,12 @@ def test_association_agrees_with_brute_force(spark, skewed):
 
 
 def test_constant_label_or_column_has_no_association(spark):
-    df = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "g string, y double")
-    assert explore.cramers_v(profile.value_table(df, ["g"], F.col("y"))).first().strength is None
-    df = spark.createDataFrame([("a", 1.0), ("a", 0.0)], "g string, y double")
-    assert explore.cramers_v(profile.value_table(df, ["g"], F.col("y"))).first().strength is None
+    for rows in ([("a", 1.0, 1), ("b", 1.0, 2)], [("a", 1.0, 3), ("a", 0.0, 3)]):
+        df = spark.createDataFrame(rows, "g string, y double, n int")
+        found = explore.target_association(df, ["n"], ["g"], F.col("y")).collect()
+        assert {r.feature: r.strength for r in found} == {"n": None, "g": None}
+    assert explore.target_association(df, [], ["g"], F.col("y")).count() == 1
+    assert explore.target_association(df, ["n"], [], F.col("y")).count() == 1
 
 
 def test_shares_when_a_class_is_absent(spark):
@@ -143,12 +159,13 @@ def test_unlabelled_rows_do_not_count_in_rates(spark):
     assert {k: (v["n_rows"], v["target_rate"]) for k, v in rows.items()} == {"a": (1, 1.0), None: (1, 0.0)}
 
 
-def test_top_values_break_ties_by_value_and_refuse_unbounded_k(spark):
+def test_top_values_break_ties_by_value_for_any_k(spark, ws):
     df = spark.createDataFrame([(v,) for v in ["b", "a", "c", "c", None]], "g string")
     counts = profile.value_table(df, ["g"])
     assert [r.value for r in profile.top_values(counts, 2).orderBy("rank").collect()] == ["c", "a"]
+    assert [r.value for r in profile.top_values(counts, 100_000, ws).orderBy("rank").collect()] == ["c", "a", "b"]
     with pytest.raises(ValueError):
-        profile.top_values(counts, 100_000)
+        profile.top_values(counts, 0)
 
 
 def test_class_balance(spark):

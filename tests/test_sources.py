@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import VectorUDT
@@ -15,6 +17,35 @@ def test_csv_keeps_blanks_quotes_and_numbers(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(ROWS)
 
 
+CELLS = [("a\nb", "x"), ("", 'q"'), (None, "\\"), (" ", '"'), ('"', ""), (",", None), ("\r\n", "\\N"), ('a""b', "'"), ("\t", "end\\")]
+
+
+def test_csv_gives_back_every_cell(spark, tmp_path):
+    df = spark.createDataFrame(CELLS, "k string, text string")
+    sources.write_csv(df, str(tmp_path / "c"), line_breaks=True)
+    back = sources.read_csv(spark, str(tmp_path / "c"), df.schema, line_breaks=True)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(CELLS, key=str)
+
+
+def test_csv_refuses_line_breaks_unless_asked(spark, tmp_path):
+    df = spark.createDataFrame(CELLS, "k string, text string")
+    with pytest.raises(Exception, match="line break in a cell of k"):
+        sources.write_csv(df, str(tmp_path / "c"))
+    single = [c for c in CELLS if "\n" not in (c[0] or "")]
+    sources.write_csv(spark.createDataFrame(single, "k string, text string"), str(tmp_path / "d"))
+    back = sources.read_csv(spark, str(tmp_path / "d"), df.schema)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(single, key=str)
+
+
+def test_workspace_deletes_what_it_wrote(spark):
+    with sources.Workspace(spark) as ws:
+        tables = [ws.write(spark.range(3)) for _ in range(2)]
+        paths = [t.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0] for t in tables]
+        ws.drop(tables[0], spark.range(2))
+        assert [os.path.exists(p) for p in paths] == [False, True]
+    assert not os.path.exists(paths[1])
+
+
 def test_csv_reads_empty_cells_as_null(spark, tmp_path):
     (tmp_path / "in.csv").write_text('k,text\na,\nb," "\n')
     rows = {r.k: r.text for r in sources.read_csv(spark, str(tmp_path / "in.csv")).collect()}
@@ -41,7 +72,7 @@ def test_file_count_is_a_choice_and_writes_replace(spark, tmp_path):
 
 def test_materialised_table_forgets_where_it_came_from(spark):
     df = spark.range(10).selectExpr("id", "id * 2 as twice").repartition(3)
-    kept = sources.materialise(df)
+    kept = sources.Workspace(spark).write(df)
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, df.collect()))
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and spark.conf.get("spark.checkpoint.dir") in plan

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.tuning import CrossValidator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -82,6 +83,25 @@ def test_search_gives_the_same_scores_after_repartitioning(spark):
     ]
 
 
+def test_scores_are_those_of_the_cross_validator(spark):
+    df, spec = rows(spark, 0.2), TrainSpec("LogisticRegression", {"maxIter": (3, 8), "regParam": (10.0, 0.001)})
+    estimator = train.estimator_for(spec, SPLIT.seed)
+    evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName="f1")
+    validator = CrossValidator(
+        estimator=estimator, estimatorParamMaps=train.param_grid(estimator, spec.grid), evaluator=evaluator, numFolds=2, foldCol="fold"
+    )
+    assert train.search(df, spec, SPLIT).scores == pytest.approx(validator.fit(df).avgMetrics, abs=1e-12)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_one_cell_is_scored_unless_told_otherwise(spark):
+    df, one = rows(spark, 0.0), TrainSpec("LogisticRegression")
+    assert train.search(df, one, SPLIT).scores == [1.0]
+    assert train.search(df, one, SPLIT, validate=False).scores == [None]
+    with pytest.raises(ValueError, match="validation"):
+        train.search(df, TrainSpec("LogisticRegression", {"maxIter": (1, 2)}), SPLIT, validate=False)
+
+
 def test_first_of_equal_cells_wins(spark):
     found = train.search(rows(spark, 0.0), TrainSpec("LogisticRegression", {"maxIter": (75, 100)}), SPLIT)
     assert found.scores[0] == found.scores[1] and found.best == 0
