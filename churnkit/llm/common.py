@@ -1,4 +1,4 @@
-"""Tables that cut lineage, chunk keys and small helpers shared by the operators of this package."""
+"""Chunk keys, packed numbers and other small helpers shared by the operators of this package."""
 
 from __future__ import annotations
 
@@ -10,51 +10,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.sources import shared_folder
-
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from churnkit.sources import Workspace  # noqa: F401
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-class Workspace:
-    """Intermediate tables in the folder that all executors share.
-
-    ``write`` runs a plan once and hands back a reader of its rows, so that a lost executor costs no more than the
-    tasks it was running; the plan's shuffle files go as soon as the table stands. ``drop`` deletes tables that
-    nothing later reads.
-    """
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self._paths: dict[int, str] = {}
-
-    def write(self, df: DataFrame) -> DataFrame:
-        path = shared_folder(self.spark)
-        before = self.spark.conf.get(_CLEANUP, "false")
-        self.spark.conf.set(_CLEANUP, "true")
-        try:
-            df.write.parquet(path)
-        finally:
-            self.spark.conf.set(_CLEANUP, before)
-        table = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(table)] = path
-        return table
-
-    def drop(self, *tables: DataFrame) -> None:
-        jvm = self.spark._jvm
-        conf = self.spark._jsc.hadoopConfiguration()
-        for table in tables:
-            path = jvm.org.apache.hadoop.fs.Path(self._paths.pop(id(table)))
-            path.getFileSystem(conf).delete(path, True)
-
-    def drop_if_own(self, table: DataFrame) -> None:
-        if id(table) in self._paths:
-            self.drop(table)
-
-
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """Bytes of all texts: one column scan, one number."""
     return df.agg(F.sum(F.octet_length(text)).alias("n")).first().n or 0

@@ -26,7 +26,7 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
     else:
         moved = joined.select(F.col("v").alias("a"), F.col("m").alias("b"))
         moved = moved.union(least.select(F.col("w").alias("a"), F.col("m").alias("b")))
-    return moved.where("a <> b").distinct()
+    return moved.where("a <> b")
 
 
 def components(ws: Workspace, links: DataFrame) -> DataFrame:
@@ -36,15 +36,19 @@ def components(ws: Workspace, links: DataFrame) -> DataFrame:
     logarithm of the size. A node with very many links is a skewed join key, which adaptive execution splits.
     """
     now = ws.write(links.select("a", "b").where("a <> b").distinct())
-    mark = None
     while True:
         wide = ws.write(_stars(now, large=True))
-        after = ws.write(_stars(wide, large=False))
+        after = ws.write(_stars(wide, large=False).distinct())
         ws.drop(now, wide)
         now = after
-        seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if (seen.n, seen.h) == mark:
-            break
-        mark = (seen.n, seen.h)
-    lower = now.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root"))
-    return ws.write(lower.union(lower.select(F.col("root").alias("node"), "root")).distinct())
+        # Done once every node hangs below one other that hangs below none; ``b`` is below ``a`` in every link.
+        lower = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        ends = lower.union(lower.select(F.col("root").alias("node"), F.lit(None).cast("long").alias("root")))
+        nodes = ends.groupBy("node").agg(
+            F.count("root").alias("above"), F.count_if(F.col("root").isNull()).alias("below"), F.min("root").alias("root")
+        )
+        nodes = ws.write(nodes)
+        if nodes.where("above > 1 or (above = 1 and below > 0)").isEmpty():
+            ws.drop(now)
+            return nodes.select("node", F.coalesce("root", "node").alias("root"))
+        ws.drop(nodes)

@@ -88,8 +88,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     candidates = _small(marked.where("known").select(F.col("doc_id").alias("id"), F.col("digest").alias("d")))
     chosen = rows.join(candidates, F.expr("doc_id <=> id and digest = d"), "left_semi").distinct()
-    wanted = _windows(items.select("item_id", "words"), short)
-    wanted = wanted.join(items.select("item_id", F.size("words").alias("n")), "item_id")
+    wanted = _windows(items.withColumn("n", F.size("words")), short)
     wanted = wanted.where(F.expr(f"size = {WINDOW} or size = n")).groupBy("window", "size")
     wanted = ws.write(wanted.agg(F.collect_set("item_id").alias("found")))
     hits = _windows(chosen, short).join(_small(wanted), ["window", "size"]).groupBy("doc_id", "digest")

@@ -157,6 +157,7 @@ def dedup_lines(
     # One plan at every size: the texts meet their lost lines in a merge join, never in a broadcast.
     joined = held.join(lost.hint("merge"), "doc_id", "left")
     out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in held.schema.fields) + ", n_lines long, n_dropped long"
+    names = ["doc_id", "text", *["row"] * with_row, "n_lines", "n_dropped"]
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -170,9 +171,9 @@ def dedup_lines(
                 texts.append(None if text is None else "\n".join(left))
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(left))
-            columns = [b.column("doc_id"), pa.array(texts, pa.string()), *[b.column("row")] * with_row]
+            columns = [b.column("doc_id"), pa.array(texts, pa.string()), *([b.column("row")] if with_row else [])]
             columns += [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*held.columns, "n_lines", "n_dropped"])
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return joined.mapInArrow(drop, out)
 

@@ -16,7 +16,7 @@ each member, and no link between different texts is lost.
 
 Defined cases: a null text, an empty one or one without words has no shingles, links with nothing and is its own
 component; one with fewer than five words is a single shingle. Rows that repeat a doc_id are judged by their own text. A
-row with a null doc_id has no say in a component's id, which is null if no other row is in it. Extra columns are ignored.
+row with a null doc_id connects no others; its component is that of rows with the same set, or null. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,8 +36,9 @@ from churnkit.llm.registry import query
 from churnkit.llm.words import Words, mix, split_words
 
 SHINGLE = 5
-LOCAL = 4
-HEAVY = 65_536
+LOCAL = 2
+HEAVY = 262_144
+_PART_ROWS = 2000
 HUBS = 3
 SMALL = 1_000_000
 _ROUNDS = 4
@@ -88,11 +89,15 @@ def class_of(tokens: np.ndarray) -> int:
 
 
 def _each_set(b: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
-    for part in by_text(b, "text", 4 << 20):
+    for part in by_text(b, "text", 1 << 19):
         own = b.slice(part.start, part.stop - part.start)
         yield from zip(own.column("doc_id").to_pylist(), shingle_sets(texts_of(own.column("text"))))
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (b.slice(i, _PART_ROWS) for b in batches for i in range(0, b.num_rows, _PART_ROWS))
+
+
 def _classes(docs: DataFrame, local: int) -> DataFrame:
     """(doc_id, n, cls) of every row; rows of n = -1 carry tokens that ``local`` classes of a part of the data have."""
     schema = pa.schema(
@@ -100,7 +105,7 @@ def _classes(docs: DataFrame, local: int) -> DataFrame:
     )
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _parts(batches):
             ids, sizes, classes, sets = [], [], [], {}
             for doc_id, tokens in _each_set(b):
                 cls = class_of(tokens) if len(tokens) else None
@@ -130,9 +135,9 @@ def _heavy_tokens(found: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
                 yield batch(schema, np.frombuffer(tokens, "<i8"), np.frombuffer(counts, "<i8"))
 
     counted = found.select("tokens", "counts").mapInArrow(unfold, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "token").limit(most).collect()
-    tokens = np.array([r.token for r in rows], np.int64).view(_U)
-    rank = np.arange(len(rows), 0, -1, dtype=np.int64)  # the most frequent comes last
+    rows = counted.orderBy(F.desc("n"), "token").limit(most).select("token").toArrow()
+    tokens = rows.column("token").combine_chunks().to_numpy().view(_U)
+    rank = np.arange(len(tokens), 0, -1, dtype=np.int64)  # the most frequent comes last
     order = np.argsort(tokens)
     return tokens[order], rank[order]
 
@@ -214,7 +219,7 @@ def _keys(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], threshold: Thre
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         turn = TaskContext.get().partitionId()
-        for b in batches:
+        for b in _parts(batches):
             rare, rare_of, rows = [_NONE], [], []
             for _, tokens in _each_set(b):
                 if not len(tokens) or (cls := class_of(tokens)) in done:
@@ -337,7 +342,7 @@ def near_duplicates(docs: DataFrame, threshold: Threshold | None = None, local:
     named = rows.where("cls is not null and doc_id is not null")
     firsts = ws.write(named.groupBy("cls").agg(F.min("doc_id").alias("first")))
     # A row without an id brings no class of its own to the comparison.
-    keys = ws.write(_keys(docs.where("doc_id is not null"), frequent, threshold, parts_for(total, 2_500_000)))
+    keys = ws.write(_keys(docs.where("doc_id is not null"), frequent, threshold, parts_for(total, 1_000_000)))
     sigs = keys.where("sig is not null").select("sig", "cls")
     sketches = keys.where("sig is null").select("cls", "n", "sketch").dropDuplicates(["cls"])
     sketches = ws.write(sketches)

@@ -8,7 +8,7 @@ from functools import cache
 import numpy as np
 
 _U = np.uint64
-_BLOCK = 1 << 21
+_BLOCK = 1 << 19
 
 # Space and U+0009 to U+000D end a word.
 _SPACE = np.zeros(256, bool)

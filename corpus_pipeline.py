@@ -61,5 +61,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         before, docs = docs, ws.write(stage(spark, docs, sf_dir))
-        ws.drop_if_own(before)
+        ws.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)

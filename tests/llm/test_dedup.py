@@ -61,6 +61,8 @@ def expected_components(rows):
 
     for i, j in combinations(range(len(rows)), 2):
         both = len(sets[i] & sets[j])
+        if None in (rows[i][0], rows[j][0]) and sets[i] != sets[j]:
+            continue  # a row without an id connects no others
         if both and 100 * both >= 75 * len(sets[i] | sets[j]):
             root[find(i)] = find(j)
     least = defaultdict(list)
