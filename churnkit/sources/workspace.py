@@ -11,7 +11,11 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# While a table is written: shuffle files go when it stands, and what Python is handed at once stays small.
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 @cache
@@ -57,15 +61,17 @@ class Workspace:
     def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """The rows of a plan as a table; filters and column choices still reach its files."""
         path = shared_folder(self.spark)
-        before = self.spark.conf.get(_CLEANUP, "false")
-        self.spark.conf.set(_CLEANUP, "true")
+        before = {k: self.spark.conf.get(k) for k in _WRITING}
+        for k, v in _WRITING.items():
+            self.spark.conf.set(k, v)
         try:
             df.write.partitionBy(*partition_by).parquet(path)
         except BaseException:
             remove(self.spark, path)
             raise
         finally:
-            self.spark.conf.set(_CLEANUP, before)
+            for k, v in before.items():
+                self.spark.conf.set(k, v)
         table = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(table)] = path
         self._tables.append(table)
