@@ -9,7 +9,8 @@ the order; and the list of frequent tokens, the ``heavy`` most frequent of those
 decides speed and not results.
 
 Documents with the same set are one class and take part once. Keys that one class alone has are dropped where they meet.
-Classes that share a key are first compared with a few hubs of it, pairs are thinned by parity sketches, which can prove
+Of keys that the very same classes share one is kept. Classes that share a key are first compared with a few hubs of it,
+pairs are thinned by parity sketches, which can prove
 that sets differ too much, and the rest are compared exactly. Classes that are then connected need no more comparison;
 of the others, all pairs with a common key are compared. A large group of near copies therefore costs a few pairs for
 each member, and no link between different texts is lost.
@@ -37,11 +38,11 @@ from churnkit.llm.words import Words, mix, split_words
 
 SHINGLE = 5
 LOCAL = 2
-HEAVY = 262_144
+HEAVY = 1_000_000
 _PART_ROWS = 2000
 HUBS = 3
 SMALL = 1_000_000
-_ROUNDS = 4
+_ROUNDS = 3
 _SPREAD = 1024
 _U = np.uint64
 _NONE = np.empty(0, _U)
@@ -137,7 +138,7 @@ def _heavy_tokens(found: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     counted = found.select("tokens", "counts").mapInArrow(unfold, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     rows = counted.orderBy(F.desc("n"), "token").limit(most).select("token").toArrow()
     tokens = rows.column("token").combine_chunks().to_numpy().view(_U)
-    rank = np.arange(len(tokens), 0, -1, dtype=np.int64)  # the most frequent comes last
+    rank = np.arange(len(tokens), 0, -1, dtype=np.int32)  # the most frequent comes last
     order = np.argsort(tokens)
     return tokens[order], rank[order]
 
@@ -273,6 +274,18 @@ def _keys(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], threshold: Thre
     return sent.groupBy("bucket").applyInArrow(meet, _KEYS)
 
 
+def _one_of_equal_keys(keys: DataFrame) -> DataFrame:
+    """Of keys that the very same classes share, as copies and passages have many, one; keys of a single class go.
+
+    Sets of classes are told apart by their number and two hashes of 64 bits.
+    """
+    members = [F.bit_xor(F.xxhash64("cls", F.lit(i))).alias(f"h{i}") for i in range(2)]
+    distinct = keys.distinct()
+    groups = distinct.groupBy("sig").agg(F.count("*").alias("m"), *members).where("m > 1")
+    kept = groups.groupBy("m", "h0", "h1").agg(F.min("sig").alias("sig")).select("sig")
+    return distinct.join(kept.hint("merge"), "sig", "left_semi")
+
+
 def _star_pairs(keys: DataFrame, salt: int) -> DataFrame:
     """Pairs of the classes of each key with its hub; a group of keys with the same classes has a few hubs in all."""
     hub = F.min(F.struct(F.xxhash64("cls", F.pmod("sig", F.lit(HUBS)), F.lit(salt)).alias("draw"), "cls"))["cls"]
@@ -343,7 +356,7 @@ def near_duplicates(docs: DataFrame, threshold: Threshold | None = None, local:
     firsts = ws.write(named.groupBy("cls").agg(F.min("doc_id").alias("first")))
     # A row without an id brings no class of its own to the comparison.
     keys = ws.write(_keys(docs.where("doc_id is not null"), frequent, threshold, parts_for(total, 1_000_000)))
-    sigs = keys.where("sig is not null").select("sig", "cls")
+    sigs = ws.write(_one_of_equal_keys(keys.where("sig is not null").select("sig", "cls")))
     sketches = keys.where("sig is null").select("cls", "n", "sketch").dropDuplicates(["cls"])
     sketches = ws.write(sketches)
 
@@ -363,7 +376,7 @@ def near_duplicates(docs: DataFrame, threshold: Threshold | None = None, local:
             rest = ws.write(named.join(open_.select("sig").hint("merge"), "sig").distinct())
             work = open_.agg(F.sum(F.col("m") * F.col("m"))).first()[0] or 0
             ws.drop(open_)
-            last = salt == _ROUNDS or work <= 8 * size
+            last = salt == _ROUNDS or work <= 64 * size
             if last:  # all pairs that share a key and are not connected
                 other = rest.select("sig", F.col("cls").alias("b"), F.col("label").alias("label_b"))
                 met = rest.select("sig", F.col("cls").alias("a"), "label").join(other.hint("merge"), "sig")
