@@ -3,7 +3,8 @@
 Each text becomes a few counts, and these a vector of transformed statistics. For every language and source a minimum
 covariance determinant estimate is fitted to the documents that pass the fixed limits: from medians and absolute
 deviations it starts, and each concentration step takes the share ``core`` of documents nearest to the centre and
-computes their mean and covariance anew. A document goes when its squared Mahalanobis distance exceeds ``cutoff``.
+computes their mean and covariance anew. A document goes when its squared Mahalanobis distance exceeds ``cutoff``, the
+chi-square quantile that one of ``1 / _TAIL`` normal documents exceeds.
 The least standard deviations ``_FLOOR`` are added, so that a statistic that hardly varies in a group can't reject
 documents for a trifle.
 
@@ -19,6 +20,7 @@ goes if any of its rows is rejected, and a row with a null doc_id if it has fewe
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from statistics import NormalDist
 
@@ -36,6 +38,7 @@ _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 _VECTOR = ("length", "symbols", "dup_lines", "repeats", "upper", "marks")
 # Least standard deviations of the transformed statistics.
 _FLOOR = (0.08, 0.12, 0.35, 0.10, 0.08, 0.12)
+_TAIL = 1e-4
 _UNITS = 1000  # statistics are whole numbers of thousandths
 _BINS_PER_DOUBLING = 8
 
@@ -204,10 +207,25 @@ def _concentrate(rows: DataFrame, models: DataFrame, core: float) -> DataFrame:
     return binned.groupBy("grp").applyInPandas(step, _MODEL)
 
 
+def chi_square_cutoff(tail: float, d: int) -> float:
+    """What the squared distance of a normal vector of ``d`` statistics, an even number, exceeds with probability ``tail``."""
+    low, high = 0.0, 1000.0
+    for _ in range(60):
+        x = (low + high) / 2
+        beyond = math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(d // 2))
+        low, high = (x, high) if beyond > tail else (low, x)
+    return high
+
+
 def judge(
-    docs: DataFrame, core: float = 0.75, cutoff: float = 45.0, steps: int = 4, min_rows: int = 200
+    docs: DataFrame, core: float = 0.75, cutoff: float | None = None, steps: int = 4, min_rows: int = 200
 ) -> DataFrame:
-    """doc_id, counts, base_failed, distance (squared; null without a model) and kept, one row per document."""
+    """doc_id, counts, base_failed, distance (squared; null without a model) and kept, one row per document.
+
+    ``cutoff`` is the chi-square quantile if it is not given.
+    """
+    if cutoff is None:
+        cutoff = chi_square_cutoff(_TAIL, len(_VECTOR))
     ws = Workspace(docs.sparkSession)
     rows = ws.write(statistics(docs))
     ready = ws.write(_grouped(rows, min_rows))

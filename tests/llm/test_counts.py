@@ -170,6 +170,21 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert all(r.kept and r.distance is None for i, r in few.items())
 
 
+def test_tables_and_navigation_of_pipes_go(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, prose(rng, int(rng.integers(30, 300)))) for i in range(1200)]
+    pipes = [(5000 + i, " | ".join(prose(rng, 60)[:-1].split())) for i in range(60)]
+    found = {r.doc_id: r for r in quality_rules.judge(table(spark, rows + pipes)).collect()}
+    assert not any(found[i].kept for i, _ in pipes)
+    assert sum(not found[i].kept for i, _ in rows) <= 2
+    assert not any(found[i].base_failed for i, _ in pipes)
+
+
+def test_the_cutoff_is_the_chi_square_quantile():
+    assert quality_rules.chi_square_cutoff(0.001, 6) == pytest.approx(22.458, abs=1e-3)
+    assert quality_rules.chi_square_cutoff(0.05, 2) == pytest.approx(5.991, abs=1e-3)
+
+
 def test_one_step_matches_a_direct_estimate(spark):
     """A concentration step against numpy, with the core taken by whole bins."""
     rng = np.random.default_rng(2)
