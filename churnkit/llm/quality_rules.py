@@ -10,8 +10,10 @@ documents for a trifle.
 
 A concentration step is one aggregate: distances fall into bins, and each group and bin keeps its count, sums
 and products, as whole numbers, so that no order of addition changes them. The bins nearest to the centre that hold the
-core are added up. A group of fewer than ``min_rows`` documents is pooled with the other small ones of its language,
-and if these are still too few, with all such rests; a pool that stays too small rejects nothing.
+core are added up. A group of fewer than ``GROUP_ROWS`` documents within the limits is judged by its whole language,
+large sources included, and if that has too few, by all documents, however few these are: so every document has a
+distance if any is within the limits. In a model of fewer than ``GROUP_ROWS`` documents the least deviations are widened.
+A caller who gives ``min_rows`` has no model fitted to fewer; what would need one has no distance and is not rejected.
 
 Defined cases: a null or empty text has no words and fails the limits. Null languages and sources are groups like any
 other; if a column is missing, all rows count as null in it. Repeated rows count each. In ``filter_quality`` a doc_id
@@ -39,6 +41,9 @@ _VECTOR = ("length", "symbols", "dup_lines", "repeats", "upper", "marks")
 # Least standard deviations of the transformed statistics.
 _FLOOR = (0.08, 0.12, 0.35, 0.10, 0.08, 0.12)
 _TAIL = 1e-4
+GROUP_ROWS = 200
+_WIDER = 20  # least variances grow by so many times 1 / n in a model of n documents
+_ALL = "all"
 _UNITS = 1000  # statistics are whole numbers of thousandths
 _BINS_PER_DOUBLING = 8
 
@@ -114,18 +119,23 @@ def statistics(docs: DataFrame) -> DataFrame:
 
 
 def _grouped(rows: DataFrame, min_rows: int) -> DataFrame:
-    """Adds ``grp``: language and source, or the pool of small groups of the language, or the pool of all rests."""
+    """Adds ``grp``, the group whose model judges the row: language and source, or the language, or all documents.
+
+    ``counts_in`` has the groups whose models the row helps to fit: its own, and the wider ones that judge some row.
+    """
     sizes = rows.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n"))
-    small = sizes.where(F.col("n") < min_rows).groupBy("lang").agg(F.sum("n").alias("n_lang"))
-    own = F.to_json(F.struct("lang", "source"))
-    named = sizes.alias("s").join(small.alias("l"), F.expr("s.lang <=> l.lang"), "left")
-    grp = (
-        F.when(F.col("n") >= min_rows, own)
-        .when(F.col("n_lang") >= min_rows, F.to_json(F.struct("lang")))
-        .otherwise(F.lit("rest"))
+    langs = sizes.groupBy("lang").agg(F.sum("n").alias("n_lang"), F.min("n").alias("least"))
+    some = not langs.where(F.col("n_lang") < min_rows).isEmpty()
+    large, enough = F.col("n") >= min_rows, F.col("n_lang") >= min_rows
+    own = F.when(large, F.to_json(F.struct("s.lang", "s.source")))
+    lang = F.when(enough, F.to_json(F.struct("s.lang")))
+    wider = [F.when(F.col("least") < min_rows, lang), F.lit(_ALL if some else None).cast("string")]
+    named = sizes.alias("s").join(langs.alias("l"), F.expr("s.lang <=> l.lang")).select(
+        F.col("s.lang").alias("l"),
+        F.col("s.source").alias("s"),
+        F.coalesce(own, lang, F.lit(_ALL)).alias("grp"),
+        F.array_compact(F.array(own, *wider)).alias("counts_in"),
     )
-    named = named.select(F.col("s.lang").alias("lang"), F.col("s.source").alias("source"), "n", "n_lang")
-    named = named.select(F.col("lang").alias("l"), F.col("source").alias("s"), grp.alias("grp"))
     return rows.join(named, F.expr("lang <=> l and source <=> s")).drop("l", "s")
 
 
@@ -147,15 +157,17 @@ def _distance(vector: list[Column]) -> Column:
 _MODEL = "grp string, n long, centre array<double>, precision array<double>"
 
 
-def _model(centre: np.ndarray, scatter: np.ndarray) -> dict:
-    precision = np.linalg.inv(scatter + np.diag(np.square(_FLOOR)))
+def _model(n: int, centre: np.ndarray, scatter: np.ndarray) -> dict:
+    wider = 1 + _WIDER * max(0.0, 1 / max(n, 1) - 1 / GROUP_ROWS)
+    precision = np.linalg.inv(scatter + wider * np.diag(np.square(_FLOOR)))
     return {"centre": centre.tolist(), "precision": precision.ravel().tolist()}
 
 
 def _start(rows: DataFrame) -> DataFrame:
     """Medians and absolute deviations, one statistic at a time."""
     median = [F.percentile_approx(c, 0.5, 10_000).alias(f"m_{c}") for c in _VECTOR]
-    medians = rows.groupBy("grp").agg(F.count("*").alias("n"), *median)
+    # Written, so that its size is known and it can be broadcast: all documents may be one group.
+    medians = Workspace(rows.sparkSession).write(rows.groupBy("grp").agg(F.count("*").alias("n"), *median))
     away = [F.percentile_approx(F.abs(F.col(c) - F.col(f"m_{c}")), 0.5, 10_000).alias(f"d_{c}") for c in _VECTOR]
     spread = rows.join(medians, "grp").groupBy("grp").agg(*away)
 
@@ -165,7 +177,7 @@ def _start(rows: DataFrame) -> DataFrame:
             for r in f.to_dict("records"):
                 centre = np.array([r[f"m_{c}"] for c in _VECTOR]) / _UNITS
                 wide = 1.4826 * np.array([r[f"d_{c}"] for c in _VECTOR]) / _UNITS
-                out.append({"grp": r["grp"], "n": r["n"], **_model(centre, np.diag(wide**2))})
+                out.append({"grp": r["grp"], "n": r["n"], **_model(r["n"], centre, np.diag(wide**2))})
             yield pd.DataFrame(out, columns=["grp", "n", "centre", "precision"])
 
     return medians.join(spread, "grp").mapInPandas(model, _MODEL)
@@ -202,7 +214,7 @@ def _concentrate(rows: DataFrame, models: DataFrame, core: float) -> DataFrame:
         for i, j in pairs:
             p = float(inside[f"p{i}_{j}"].sum()) / _UNITS**2
             scatter[i, j] = scatter[j, i] = (p - s[i] * s[j] / n) / max(n - 1, 1)
-        return pd.DataFrame([{"grp": f["grp"][0], "n": total, **_model(s / n, scatter * wider)}])
+        return pd.DataFrame([{"grp": f["grp"][0], "n": total, **_model(total, s / n, scatter * wider)}])
 
     return binned.groupBy("grp").applyInPandas(step, _MODEL)
 
@@ -218,20 +230,20 @@ def chi_square_cutoff(tail: float, d: int) -> float:
 
 
 def judge(
-    docs: DataFrame, core: float = 0.75, cutoff: float | None = None, steps: int = 4, min_rows: int = 200
+    docs: DataFrame, core: float = 0.75, cutoff: float | None = None, steps: int = 4, min_rows: int | None = None
 ) -> DataFrame:
     """doc_id, counts, base_failed, distance (squared; null without a model) and kept, one row per document.
 
-    ``cutoff`` is the chi-square quantile if it is not given.
+    ``cutoff`` is the chi-square quantile if it is not given, ``min_rows`` is ``GROUP_ROWS`` for narrow groups and 1 for all.
     """
     if cutoff is None:
         cutoff = chi_square_cutoff(_TAIL, len(_VECTOR))
     ws = Workspace(docs.sparkSession)
     rows = ws.write(statistics(docs))
-    ready = ws.write(_grouped(rows, min_rows))
+    ready = ws.write(_grouped(rows, GROUP_ROWS if min_rows is None else min_rows))
     ws.drop(rows)
-    good = ready.where(~F.col("base_failed"))
-    models = ws.write(_start(good).where(F.col("n") >= min_rows))
+    good = ready.where(~F.col("base_failed")).select(F.explode("counts_in").alias("grp"), *_VECTOR)
+    models = ws.write(_start(good).where(F.col("n") >= (min_rows or 1)))
     for _ in range(steps):
         models, old = ws.write(_concentrate(good, models, core)), models
         ws.drop(old)

@@ -180,6 +180,32 @@ def test_tables_and_navigation_of_pipes_go(spark):
     assert not any(found[i].base_failed for i, _ in pipes)
 
 
+def test_small_groups_and_tables_are_judged(spark):
+    rng = np.random.default_rng(6)
+
+    def docs(rows):
+        return spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+
+    def pages(first, n, *group):
+        return [(first + i, *group, prose(rng, 100)) for i in range(n)]
+
+    def pipes(first, n, *group):
+        return [(first + i, *group, " | ".join(prose(rng, 60)[:-1].split())) for i in range(n)]
+
+    large = pages(0, 400, "en", "a") + pages(1000, 400, "de", "a")
+    # A small source of a large language, a rare language, and a null language.
+    groups = [("en", "b"), ("xx", "a"), (None, None)]
+    small = [p for k, g in enumerate(groups) for p in pages(2000 + 100 * k, 20, *g)]
+    junk = [p for k, g in enumerate(groups) for p in pipes(5000 + 100 * k, 5, *g)]
+    for good, bad in ((large + small, junk), (pages(0, 60, "en", "a"), pipes(5000, 5, "en", "a"))):
+        found = {r.doc_id: r for r in quality_rules.judge(docs(good + bad)).collect()}
+        assert all(r.distance is not None for r in found.values())
+        assert not any(found[r[0]].kept for r in bad)
+        assert sum(not found[r[0]].kept for r in good) <= len(good) // 100
+    single = quality_rules.judge(docs(pages(0, 2, "en", "a"))).collect()
+    assert all(r.kept and r.distance is not None for r in single)
+
+
 def test_the_cutoff_is_the_chi_square_quantile():
     assert quality_rules.chi_square_cutoff(0.001, 6) == pytest.approx(22.458, abs=1e-3)
     assert quality_rules.chi_square_cutoff(0.05, 2) == pytest.approx(5.991, abs=1e-3)
