@@ -2,7 +2,7 @@
 
 Two words are alike as far as they share subsequences of three characters, each weighed down by the stretch it covers in
 both, so that gaps, inserted characters and other endings lower the likeness without removing it. Runs of single
-characters are read as one word. The kernel of two sentences adds up a power of the kernels of all pairs of their words.
+characters are read as one word, and a word with marks inside is also read without them. The kernel of two sentences adds up a power of the kernels of all pairs of their words.
 Landmarks are words and stems that the labels point to; projected onto them, a sentence is a short vector, a sum over its
 words, and the machine's margin a sum of one number per word. Each worker works that number
 out once per new word. Sentences take their document's label at first; sentences of toxic documents that the machine
@@ -18,6 +18,7 @@ is known, every score is the share of label 1 (0.5 without labels).
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -169,6 +170,23 @@ def likeness(words: list[str], landmarks: list[str], own: np.ndarray) -> np.ndar
     return out
 
 
+def without_marks(word: str) -> str:
+    """The word without punctuation, symbols and invisible characters behind its first character."""
+    if word[1:].isalnum():
+        return word
+    return word[:1] + "".join(c for c in word[1:] if unicodedata.category(c)[0] not in "PSC")
+
+
+def word_likeness(words: list[str], landmarks: list[str], own: np.ndarray) -> np.ndarray:
+    """``likeness`` of each word or of its reading without inner marks, whichever is more like the landmark."""
+    like = likeness(words, landmarks, own)
+    second = [without_marks(w) for w in words]
+    marked = [i for i, w in enumerate(words) if second[i] != w]
+    if marked:
+        like[marked] = np.maximum(like[marked], likeness([second[i] for i in marked], landmarks, own))
+    return like
+
+
 @cache
 def _distinct(size: int) -> np.ndarray:
     """The kernel with themselves of 1, 2, .. ``size`` different characters; repeated ones only add to it."""
@@ -226,7 +244,7 @@ class Machine:
         """What each word adds to its sentence's margin."""
         if not self.landmarks:
             return np.zeros(len(words))
-        return likeness(words, self.landmarks, self.own) @ self.weights
+        return word_likeness(words, self.landmarks, self.own) @ self.weights
 
     def score(self, worst: float, rest: float) -> float:
         a, b = self.slopes
@@ -358,7 +376,7 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 4) -> Machine:
     project = axes[:, keep] / np.sqrt(values[keep])  # the Nyström map
     words = sorted({w for d in split for s in d for w in s})
     number = {w: i for i, w in enumerate(words)}
-    like = likeness(words, landmarks, own)
+    like = word_likeness(words, landmarks, own)
     doc = np.array([i for i, d in enumerate(split) for _ in d])
     sums = np.array([like[[number[w] for w in s]].sum(0) for d in split for s in d]).reshape(-1, len(landmarks))
     x = sums.astype(np.float64) @ project

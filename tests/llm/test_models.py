@@ -127,3 +127,20 @@ def test_gaps_and_insertions_are_tolerated():
     exact, longer, gapped, other = toxicity.likeness(["^idiot", "^idiotic", "^id-iot", "^handle"], z, own)[:, 0]
     assert exact == pytest.approx(1, abs=1e-3) and longer == pytest.approx(1, abs=1e-3)
     assert 0 < gapped < 1 and other == 0
+
+
+@pytest.mark.parametrize("word,gapped", [("idiot", ["id.io.t", "i-d-i-o-t", "id\u200bi\u200bot"]), ("stupid", ["st.up.id"]), ("pathetic", ["pa.th.etic"])])
+def test_two_and_more_inserted_marks_are_tolerated(word, gapped):
+    z = ["^" + word]
+    own = toxicity.self_kernel(z)
+    read = toxicity.word_likeness([z[0], *("^" + w for w in gapped)], z, own)[:, 0]
+    assert read == pytest.approx(1, abs=1e-3)
+
+
+def test_gapped_insults_score_above_clean_words():
+    insults, plain = ["idiot", "moron", "stupid"], "the table stands near a window of this old house".split()
+    texts = [f"you are such {'an' if i % 2 else 'a'} {insults[i % 3]} today" if i < 60 else " ".join(plain[i % 5 : i % 5 + 6]) for i in range(120)]
+    machine = toxicity.fit(texts, np.array([1.0] * 60 + [0.0] * 60))
+    scorer = toxicity.Scorer(machine)
+    clean, *gapped = scorer.scores(["this is good", "this is id.io.t good", "this is mo.ro.n good", "this is st.up.id good"])
+    assert min(gapped) > clean
