@@ -16,7 +16,7 @@ of the others, all pairs with a common key are compared. A large group of near c
 each member, and no link between different texts is lost.
 
 Defined cases: a null text, an empty one or one without words has no shingles, links with nothing and is its own
-component; one with fewer than five words is a single shingle. Rows that repeat a doc_id are judged by their own text. A
+component; one with fewer than five words is a single shingle. Rows that repeat a doc_id are judged each by its own text. A
 row with a null doc_id connects no others; its component is that of rows with the same set, or null. Extra columns are ignored.
 """
 
@@ -100,10 +100,9 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _classes(docs: DataFrame, local: int) -> DataFrame:
-    """(doc_id, n, cls) of every row; rows of n = -1 carry tokens that ``local`` classes of a part of the data have."""
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary())]
-    )
+    """(doc_id, digest of the text, n, cls) of every row; rows of n = -1 carry tokens that ``local`` classes of a part have."""
+    numbers = [(c, pa.int64()) for c in ("doc_id", "digest", "n", "cls")]
+    schema = pa.schema([*numbers, ("tokens", pa.binary()), ("counts", pa.binary())])
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _parts(batches):
@@ -118,12 +117,13 @@ def _classes(docs: DataFrame, local: int) -> DataFrame:
             tokens, counts = np.unique(np.concatenate([*sets.values(), _NONE]), return_counts=True)
             often = counts >= local
             blank = [None] * len(ids)
-            yield batch(schema, ids, sizes, classes, blank, blank)
+            yield batch(schema, ids, b.column("digest"), sizes, classes, blank, blank)
             if often.any():
                 blobs = tokens[often].tobytes(), counts[often].astype("<i8").tobytes()
-                yield batch(schema, [None], [-1], [None], [blobs[0]], [blobs[1]])
+                yield batch(schema, [None], [None], [-1], [None], [blobs[0]], [blobs[1]])
 
-    return docs.select("doc_id", "text").mapInArrow(classify, "doc_id long, n long, cls long, tokens binary, counts binary")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
+    return rows.mapInArrow(classify, "doc_id long, digest long, n long, cls long, tokens binary, counts binary")
 
 
 def _heavy_tokens(found: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -344,12 +344,17 @@ def _links(ws: Workspace, pairs: DataFrame, docs: DataFrame, firsts: DataFrame,
     return links
 
 
-def near_duplicates(docs: DataFrame, threshold: Threshold | None = None, local: int = LOCAL, heavy: int = HEAVY) -> DataFrame:
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row of docs."""
+    return _judged(docs, **options).drop("digest", "root")
+
+
+def _judged(docs: DataFrame, threshold: Threshold | None = None, local: int = LOCAL, heavy: int = HEAVY) -> DataFrame:
+    """doc_id, digest of the text, n_shingles, component_id and root, the least class of the component, of every row."""
     threshold = threshold or Threshold()
     ws = Workspace(docs.sparkSession)
     read = ws.write(_classes(docs, local))
-    rows = read.where("n >= 0").select("doc_id", "n", "cls")
+    rows = read.where("n >= 0").select("doc_id", "digest", "n", "cls")
     frequent = _heavy_tokens(read.where("n = -1"), heavy)
     total = rows.agg(F.sum("n").alias("n")).first().n or 0
     named = rows.where("cls is not null and doc_id is not null")
@@ -399,26 +404,35 @@ def near_duplicates(docs: DataFrame, threshold: Threshold | None = None, local:
     roots = firsts.join(labels.select(F.col("node").alias("cls"), "root").hint("merge"), "cls", "left")
     roots = roots.withColumn("root", F.coalesce("root", "cls"))
     least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = roots.join(least.hint("merge"), "root").select("cls", "component_id")
+    of = roots.join(least.hint("merge"), "root").select("cls", "root", "component_id")
     done = rows.join(of.hint("merge"), "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return done.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return done.select("doc_id", "digest", F.col("n").alias("n_shingles"), component.alias("component_id"), "root")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The documents that give their component its id, with all their columns, and rows without a doc_id.
+    """One row of each component, with all its columns, and all rows without a doc_id or without words.
 
-    If several rows have that doc_id and the same text, one of them stays.
+    Each row is judged by its own text, also if its doc_id repeats: of a component stays the row of smallest doc_id, of
+    several with that doc_id the one whose text has the least hash, of rows with that text as well any one.
     """
     ws = Workspace(docs.sparkSession)
-    found = ws.write(near_duplicates(docs, **options))
-    lost = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(_small(ws.write(lost)), "doc_id", "left_anti")
-    twice = ws.write(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    if twice.isEmpty():
+    found = ws.write(_judged(docs, **options).where("doc_id is not null and n_shingles > 0").drop("n_shingles"))
+    # A component is known by its root: unlike rows of one id are components of the same component_id.
+    own = found.where("doc_id = component_id").groupBy("doc_id", "root")
+    own = own.agg(F.min("digest").alias("least"), F.count("*").alias("m"))
+    repeated = ws.write(own.where("m > 1"))
+    other = found.where("doc_id <> component_id").select("doc_id", "digest")
+    same = found.where("doc_id = component_id").join(_small(repeated), ["doc_id", "root"]).where("digest <> least")
+    lost = _small(ws.write(other.union(same.select("doc_id", "digest")).distinct()))
+    digest = F.xxhash64(docs["text"])
+    kept = docs.join(lost, (docs["doc_id"] == lost["doc_id"]) & (digest == lost["digest"]), "left_anti")
+    if repeated.isEmpty():
         return kept
-    repeated = kept.join(_small(twice), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(_small(twice), "doc_id", "left_anti").unionByName(repeated)
+    first = _small(repeated)
+    is_one = (kept["doc_id"] == first["doc_id"]) & (F.xxhash64(kept["text"]) == first["least"])
+    once = kept.join(first, is_one, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(first, is_one, "left_anti").unionByName(once)
 
 
 _SQL = r"""

@@ -16,8 +16,8 @@ distance if any is within the limits. In a model of fewer than ``GROUP_ROWS`` do
 A caller who gives ``min_rows`` has no model fitted to fewer; what would need one has no distance and is not rejected.
 
 Defined cases: a null or empty text has no words and fails the limits. Null languages and sources are groups like any
-other; if a column is missing, all rows count as null in it. Repeated rows count each. In ``filter_quality`` a doc_id
-goes if any of its rows is rejected, and a row with a null doc_id if it has fewer than 20 words. Extra columns pass through.
+other; if a column is missing, all rows count as null in it. Repeated rows count each. ``filter_quality`` judges each row by
+its own text, language and source, also if its doc_id repeats or is null. Extra columns pass through.
 """
 
 from __future__ import annotations
@@ -85,10 +85,15 @@ def counts_of(texts: list[str], repeat_window: int = 8) -> list[np.ndarray]:
     ]
 
 
+def _given(docs: DataFrame, name: str) -> Column:
+    return (docs[name] if name in docs.columns else F.lit(None)).cast("string")
+
+
 def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source, the counts, base_failed and the vector of every document."""
+    """doc_id, digest of the text, lang, source, the counts, base_failed and the vector of every document."""
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("lang", pa.string()), ("source", pa.string())] + [(c, pa.int64()) for c in _COUNTS]
+        [("doc_id", pa.int64()), ("digest", pa.int64()), ("lang", pa.string()), ("source", pa.string())]
+        + [(c, pa.int64()) for c in _COUNTS]
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,13 +101,11 @@ def statistics(docs: DataFrame) -> DataFrame:
             for part in by_text(b, "text", 1 << 20):
                 own = b.slice(part.start, part.stop - part.start)
                 found = counts_of(texts_of(own.column("text")))
-                yield batch(schema, *[own.column(c) for c in ("doc_id", "lang", "source")], *found)
-
-    def given(name: str) -> Column:
-        return (F.col(name) if name in docs.columns else F.lit(None)).cast("string").alias(name)
+                yield batch(schema, *[own.column(c) for c in ("doc_id", "digest", "lang", "source")], *found)
 
-    types = "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in _COUNTS)
-    rows = docs.select("doc_id", given("lang"), given("source"), "text").mapInArrow(count, types)
+    types = "doc_id long, digest long, lang string, source string, " + ", ".join(f"{c} long" for c in _COUNTS)
+    read = [_given(docs, c).alias(c) for c in ("lang", "source")]
+    rows = docs.select("doc_id", F.xxhash64("text").alias("digest"), *read, "text").mapInArrow(count, types)
     words = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     vector = {
         "length": F.log(F.greatest(F.col("word_chars") / words, F.lit(0.1))),
@@ -232,7 +235,7 @@ def chi_square_cutoff(tail: float, d: int) -> float:
 def judge(
     docs: DataFrame, core: float = 0.75, cutoff: float | None = None, steps: int = 4, min_rows: int | None = None
 ) -> DataFrame:
-    """doc_id, counts, base_failed, distance (squared; null without a model) and kept, one row per document.
+    """doc_id, digest, lang, source, counts, base_failed, distance (squared; null without a model) and kept of every row.
 
     ``cutoff`` is the chi-square quantile if it is not given, ``min_rows`` is ``GROUP_ROWS`` for narrow groups and 1 for all.
     """
@@ -251,16 +254,19 @@ def judge(
     distance = F.when(F.col("centre").isNotNull(), _distance([F.col(c) for c in _VECTOR]))
     judged = judged.withColumn("distance", distance)
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff)
-    return judged.select("doc_id", *_COUNTS, "base_failed", "distance", kept.alias("kept"))
+    return judged.select("doc_id", "digest", "lang", "source", *_COUNTS, "base_failed", "distance", kept.alias("kept"))
 
 
 def filter_quality(docs: DataFrame, **options) -> DataFrame:
     """The documents that ``judge`` keeps, with all their columns."""
     ws = Workspace(docs.sparkSession)
-    rejected = ws.write(judge(docs, **options).where(~F.col("kept")).select("doc_id").distinct())
-    words = F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
-    unnamed = F.col("doc_id").isNull() & (words < 20)
-    return docs.where(~unnamed).join(rejected, "doc_id", "left_anti")
+    judged = judge(docs, **options).where(~F.col("kept"))
+    rejected = ws.write(judged.select("doc_id", "digest", "lang", "source").distinct())
+    # What a verdict depends on, and the id: rows that agree in these have the same verdict.
+    same = docs["doc_id"].eqNullSafe(rejected["doc_id"]) & (F.xxhash64(docs["text"]) == rejected["digest"])
+    for name in ("lang", "source"):
+        same = same & _given(docs, name).eqNullSafe(rejected[name])
+    return docs.join(rejected, same, "left_anti")
 
 
 @query()

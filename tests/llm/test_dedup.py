@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from churnkit.llm import near_duplicates as near
 from churnkit.llm.common import Workspace
@@ -50,7 +51,8 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def expected_components(rows):
+def linked_groups(rows):
+    """The rows' sets, and the number of the group that each row belongs to."""
     sets = [shingles(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -65,15 +67,36 @@ def expected_components(rows):
             continue  # a row without an id connects no others
         if both and 100 * both >= 75 * len(sets[i] | sets[j]):
             root[find(i)] = find(j)
+    return sets, [find(i) for i in range(len(rows))]
+
+
+def expected_components(rows):
+    sets, group = linked_groups(rows)
     least = defaultdict(list)
     for i, (doc_id, _) in enumerate(rows):
         if doc_id is not None and sets[i]:
-            least[find(i)].append(doc_id)
+            least[group[i]].append(doc_id)
     return sorted(
-        ((d, len(s), min(least[find(i)], default=None) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str
+        ((d, len(s), min(least[group[i]], default=None) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str
     )
 
 
+def expected_single(spark, rows):
+    """One row of each group: the least doc_id, then the least hash of the text; and rows without an id or words."""
+    texts = sorted({t for _, t in rows if t is not None})
+    hashed = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.xxhash64("t").alias("h"))
+    digest = {r.t: r.h for r in hashed.collect()}
+    sets, group = linked_groups(rows)
+    kept, first = [], {}
+    for i, (doc_id, text) in enumerate(rows):
+        if doc_id is None or not sets[i]:
+            kept.append((doc_id, text))
+        else:
+            own = (doc_id, digest[text], text)
+            first[group[i]] = min(first.get(group[i], own), own)
+    return sorted(kept + [(d, t) for d, _, t in first.values()], key=str)
+
+
 @pytest.mark.parametrize("local,heavy", [(4, 65_536), (2, 50), (1, 65_536)])
 def test_components_are_those_of_all_pairs(docs, rows, local, heavy):
     found = near.near_duplicates(docs, local=local, heavy=heavy).collect()
@@ -90,9 +113,17 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
 def test_one_of_each_group_stays_with_all_its_columns(docs, rows):
     kept = near.keep_one(docs)
     assert kept.columns == docs.columns
-    wanted = {(d, t) for d, t in rows if d is None or d in {c for e, _, c in expected_components(rows) if e == d}}
-    found = [(r.doc_id, r.text) for r in kept.collect()]
-    assert set(found) == wanted and len(found) == len(wanted)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == expected_single(docs.sparkSession, rows)
+
+
+def test_rows_of_one_id_are_judged_each_by_its_own_text(spark):
+    a = " ".join(f"a{i}" for i in range(40))
+    b = " ".join(f"b{i}" for i in range(40))
+    near_b, c, near_c = b + " more", " ".join(f"c{i}" for i in range(40)), " ".join(f"c{i}" for i in range(39))
+    rows = [(3, b), (5, a), (5, near_b), (7, c), (7, near_c), (7, near_c), (8, ""), (8, ""), (8, a + " and more"), (None, a), (None, a)]
+    kept = sorted(((r.doc_id, r.text) for r in near.keep_one(table(spark, rows)).collect()), key=str)
+    assert kept == expected_single(spark, rows)
+    assert (5, a) in kept and (5, near_b) not in kept and len([d for d, _ in kept if d == 7]) == 1
 
 
 def test_no_documents(empty):

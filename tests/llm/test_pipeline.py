@@ -1,13 +1,12 @@
 """The stages of the pipeline over small samples, each held against what it must keep."""
 
-import re
-
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from churnkit.llm.quality_rules import judge
 from tests.llm.samples import PASSAGE, some_rows, table
-from tests.llm.test_dedup import expected_components, expected_leaks, expected_lines
+from tests.llm.test_dedup import expected_leaks, expected_lines, expected_single
 
 ITEMS = [(1, " ".join(PASSAGE.split()[5:20])), (2, "something else that no document has in it at all")]
 
@@ -27,9 +26,12 @@ def pairs(df):
 def test_each_stage_works_on_what_the_one_before_kept(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = corpus_pipeline.quality_rules(spark, docs, folder)
-    verdict = {r.doc_id for r in judge(docs).where("not kept").select("doc_id").collect()}
-    words = {(d, t): len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for d, t in pairs(docs)}
-    assert pairs(kept) == [p for p in pairs(docs) if (words[p] >= 20 if p[0] is None else p[0] not in verdict)]
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("own"), F.col("lang").alias("l"), F.col("source").alias("s"))
+    same = "d.doc_id <=> v.doc_id and own = v.digest and l <=> v.lang and s <=> v.source"
+    verdicts = judge(docs).select("doc_id", "digest", "lang", "source", "kept").distinct()
+    judged = hashed.alias("d").join(verdicts.alias("v"), F.expr(same)).select("d.doc_id", "d.text", "kept")
+    assert judged.count() == docs.count()
+    assert pairs(kept) == pairs(judged.where("kept"))
 
     lines = corpus_pipeline.line_dedup(spark, kept, folder)
     assert lines.columns == docs.columns and lines.dtypes == docs.dtypes
@@ -37,13 +39,10 @@ def test_each_stage_works_on_what_the_one_before_kept(spark, folder):
     assert all(r.n_chars == len(r.text) for r in lines.collect())
 
     single = corpus_pipeline.near_duplicates(spark, lines, folder)
-    component = {d: c for d, _, c in expected_components(pairs(lines))}
-    wanted = {(d, t) for d, t in pairs(lines) if d is None or component[d] == d}
-    assert set(pairs(single)) == wanted and single.columns == docs.columns
+    assert pairs(single) == expected_single(spark, pairs(lines)) and single.columns == docs.columns
 
     clean = corpus_pipeline.decontamination(spark, single, folder)
-    leaked = {r[0] for r in expected_leaks(pairs(single), ITEMS) if r[5]}
-    assert {d for d, _ in pairs(clean)} == {d for d, _ in pairs(single)} - leaked and clean.columns == docs.columns
+    assert pairs(clean) == [p for p in pairs(single) if not expected_leaks([p], ITEMS)[0][5]] and clean.columns == docs.columns
     assert len(pairs(clean)) < len(pairs(single)) < len(pairs(kept)) < len(pairs(docs))
 
     whole = corpus_pipeline.run(spark, folder).collect()
@@ -51,6 +50,15 @@ def test_each_stage_works_on_what_the_one_before_kept(spark, folder):
     assert sorted(r.ids_crc32 for r in whole) == sorted(r.ids_crc32 for r in corpus_pipeline.best_fit_packing(spark, clean, folder).collect())
 
 
+def test_each_row_is_judged_by_its_own_text(spark):
+    """Rows of one id, with and without a name: what is wrong with one takes no other away."""
+    good = " ".join(f"Word{i} stands here," for i in range(60))
+    bad = " ".join(["the same passage again and again for ever"] * 20)
+    docs = table(spark, [(5, good), (5, bad), (None, bad), (None, good), (6, "few words")])
+    kept = corpus_pipeline.quality_rules(spark, docs, "")
+    assert pairs(kept) == sorted([(5, good), (None, good)], key=str) and kept.columns == docs.columns
+
+
 def test_no_documents(spark, folder):
     empty = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id = -99")
     for _, stage in corpus_pipeline.STAGES:
