@@ -19,7 +19,7 @@ def test_matches_sql(spark, db, name):
     assert compare(QUERIES[name](spark, SF), db, ORACLES[name]) == ""
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES.keys() - ORACLES.keys()))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - ORACLES.keys() - {"op12_spelling_variants"}))
 def test_has_a_row_for_every_document(spark, name):
     rows = spark.read.parquet(f"{SF}/documents.parquet").count()
     assert QUERIES[name](spark, SF).select("doc_id").distinct().count() == rows
@@ -37,4 +37,4 @@ def test_native_operators_run_no_python(spark, name, monkeypatch):
 
 
 def test_each_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
