@@ -99,19 +99,52 @@ CHURN_CUSTOMERS_SQL = """raw as (
 
 
 def clear_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw customers whose label has a wide gap in one input: any sound classifier gives it back row by row."""
+    """Raw customers whose label has a wide gap in one input: any sound classifier gives it back row by row.
+
+    All customers are there; totals inside the gap are moved below it.
+    """
     raw = churn_customers(spark, sf_dir)
     balance = F.coalesce(F.col("TotalCharges").try_cast("double"), F.lit(0.0))
-    clear = raw.where((balance < 4000) | (balance >= 6000))
-    return clear.withColumn("Churn", F.when(balance >= 6000, "Yes").otherwise("No"))
+    inside = (balance >= 4000) & (balance < 6000)
+    moved = F.when(inside, F.round(balance - 4000, 2).cast("string")).otherwise(F.col("TotalCharges"))
+    label = F.when(balance >= 6000, "Yes").otherwise("No")
+    return raw.withColumns({"Churn": label, "TotalCharges": moved})
 
 
 CLEAR_SQL = f"""{CHURN_CUSTOMERS_SQL}, clear as (
   select * replace (case when TotalCharges >= 6000 then 'Yes' else 'No' end as Churn,
-                    case when TotalCharges >= 6000 then 1.0::double else 0.0::double end as label)
-  from cleaned where TotalCharges < 4000 or TotalCharges >= 6000
+                    case when TotalCharges >= 6000 then 1.0::double else 0.0::double end as label,
+                    case when TotalCharges >= 4000 and TotalCharges < 6000 then round(TotalCharges - 4000, 2)
+                         else TotalCharges end as TotalCharges)
+  from cleaned
+)"""
+
+NOISY = TableSpec(keys=("o_orderkey",), label="is_late", positive_value="Yes", numeric=("is_urgent",), categorical=())
+
+
+def noisy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders with one 0/1 input and a label that follows it, but for every seventh order key."""
+    urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    late = F.when(urgent != (F.col("o_orderkey") % 7 == 0), "Yes").otherwise("No")
+    return table(spark, sf_dir, "orders").select("o_orderkey", urgent.cast("int").alias("is_urgent"), late.alias("is_late"))
+
+
+NOISY_SQL = """noisy as (
+  select o_orderkey, o_orderpriority in ('1-URGENT', '2-HIGH') as x,
+         (o_orderpriority in ('1-URGENT', '2-HIGH')) <> (o_orderkey % 7 = 0) as y
+  from orders
 )"""
 
+LINES = TableSpec(
+    keys=("l_orderkey", "l_linenumber"), label="l_returnflag", positive_value="R", numeric=(), categorical=("order_name",)
+)
+
+
+def ordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All order lines with their order as a category: about as many values as there are orders."""
+    name = F.col("l_orderkey").cast("string").alias("order_name")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", name)
+
 
 def labelled_documents(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
     """Documents with their labels; ``how="left"`` keeps those without any."""

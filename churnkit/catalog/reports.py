@@ -221,6 +221,24 @@ def decimal_profile(spark, sf_dir):
     return _rounded(found.select("column", "n_rows", "n_null", "n_distinct", "p50", "p99_9"), "p50", "p99_9", digits=2)
 
 
+_WIDTH = 500
+
+
+@query(
+    f"""select 'c' || i as "column", count(*) as n_rows, 0::bigint as n_null, count(distinct v) as n_distinct,
+              round(avg(v), 5) as mean, round(stddev_samp(v), 5) as stddev, round(min(v)::double, 5) as min,
+              round(quantile_cont(v::double, 0.25), 5) as p25, round(quantile_cont(v::double, 0.5), 5) as p50,
+              round(quantile_cont(v::double, 0.75), 5) as p75, round(max(v)::double, 5) as max
+       from (select i, (o_orderkey * (i + 3) + o_custkey) % (2 * i + 5) as v
+             from orders cross join (select unnest(range({_WIDTH})) as i)) group by i"""
+)
+def wide_profile(spark, sf_dir):
+    """500 number columns, counted in batches of columns."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    wide = orders.selectExpr(*[f"(o_orderkey * {i + 3} + o_custkey) % {2 * i + 5} as c{i}" for i in range(_WIDTH)])
+    return _rounded(profile.column_profile(wide, wide.columns, Workspace(spark)), *_FIGURES, digits=5)
+
+
 def _values_sql(source: str, columns: list[str]) -> str:
     return " union all ".join(
         f"select '{c}' as feature, cast({c} as varchar) as value, label from {source}" for c in columns
@@ -291,6 +309,28 @@ def returns_target_rate(spark, sf_dir):
     return _rounded(explore.target_rate(counts), "target_rate")
 
 
+def _bins_sql(source: str, column: str, positive: str, bins: int) -> str:
+    return f"""select '{column}' as feature, bin::int as bin, min(v)::double as low, max(v)::double as high,
+       sum(n)::bigint as n_rows, sum(p)::bigint as n_positive, round(sum(p) / sum(n), 6)::double as target_rate
+       from (select *, (sum(n) over (order by v rows unbounded preceding) - n) * {bins} // sum(n) over () as bin
+             from (select {column} as v, count(*) as n, count(*) filter ({positive}) as p from {source} group by {column}))
+       group by bin"""
+
+
+@query(_bins_sql("cleaned", "TotalCharges", "label = 1", 10), _CUSTOMERS)
+def rate_by_charges(spark, sf_dir):
+    """Churn rate in tenths of the customers by what they paid in all; a quarter or so paid nothing and stay together."""
+    counts = profile.value_table(_cleaned(spark, sf_dir), ["TotalCharges"], label_value(CUSTOMERS))
+    return _rounded(explore.rate_by_bins(counts, 10, Workspace(spark)), "target_rate")
+
+
+@query(_bins_sql("lines", "l_extendedprice", "label = 1", 20), _LINES)
+def returns_rate_by_price(spark, sf_dir):
+    """Return rate in twentieths of the order lines by price, a column of nearly as many values as rows."""
+    counts = profile.value_table(line_returns(spark, sf_dir), ["l_extendedprice"], label_value(RETURNS))
+    return _rounded(explore.rate_by_bins(counts, 20, Workspace(spark)), "target_rate")
+
+
 def _share_sql(source: str, columns: list[str]) -> str:
     return f"""select feature, value, count(*) filter (label = 1) as n_positive,
        round(count(*) filter (label = 1) / (select sum(label) from {source}), 6) as share_of_positives,

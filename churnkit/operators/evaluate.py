@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _CELLS = {"tp": (1.0, 1.0), "fp": (0.0, 1.0), "fn": (1.0, 0.0), "tn": (0.0, 0.0)}
@@ -64,6 +64,46 @@ def with_metrics(counts: DataFrame) -> DataFrame:
     )
 
 
+def score_histogram(df: DataFrame, label: Column, scores: Mapping[str, Column], cells: int = 1000) -> DataFrame:
+    """(model, cell, n_positive, n_negative): rows by score, which is 0 to 1, in ``cells`` cells of equal width.
+
+    One scan, and at most models x cells rows whatever the input; no row is sorted. Rows without a score are left out.
+    """
+    def cell(score: Column) -> Column:
+        return F.when(score.isNotNull(), F.least(F.floor(score * cells), F.lit(cells - 1))).cast("int")
+
+    kinds = [F.struct(F.lit(name).alias("model"), cell(score).alias("cell")) for name, score in scores.items()]
+    rows = df.select(label.alias("_label"), F.inline(F.array(*kinds))).where("cell is not null and _label is not null")
+    return rows.groupBy("model", "cell").agg(
+        F.count_if(F.col("_label") == 1.0).alias("n_positive"), F.count_if(F.col("_label") == 0.0).alias("n_negative")
+    )
+
+
+def threshold_curve(histogram: DataFrame, cells: int = 1000) -> DataFrame:
+    """Per model and occupied cell: the threshold at its lower edge, and recall and precision of what scores no less.
+
+    The windows go over a model's cells, at most ``cells`` rows.
+    """
+    down = Window.partitionBy("model").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("model")
+    summed = histogram.select(
+        "model",
+        (F.col("cell") / F.lit(float(cells))).alias("threshold"),
+        F.sum("n_positive").over(down).alias("tp"),
+        F.sum("n_negative").over(down).alias("fp"),
+        F.sum("n_positive").over(whole).alias("_positive"),
+    )
+    return summed.withColumns({
+        "recall": F.try_divide("tp", "_positive"), "precision": F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
+    }).drop("_positive")
+
+
+def reaching(curve: DataFrame, min_recall: float) -> DataFrame:
+    """The highest threshold of each model that reaches the recall; no row for a model without positives."""
+    place = F.row_number().over(Window.partitionBy("model").orderBy(F.desc("threshold")))
+    return curve.where(F.col("recall") >= min_recall).withColumn("_place", place).where("_place = 1").drop("_place")
+
+
 def select_model(leaderboard: DataFrame, min_recall: float, name: str = "model") -> DataFrame:
     """The row of highest recall among those that reach the threshold; ties by weighted F1, then by name."""
     return (

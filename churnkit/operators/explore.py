@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from churnkit.functions import named, round_half_even
 from churnkit.operators.profile import value_text
+from churnkit.operators.ranking import SLICE_ROWS, equal_parts
+from churnkit.sources import Workspace
 
 
 def histogram(df: DataFrame, value: str, by: str, rounded: bool = False) -> DataFrame:
@@ -47,6 +49,24 @@ def target_rate(counts: DataFrame) -> DataFrame:
     )
 
 
+def rate_by_bins(counts: DataFrame, bins: int, ws: Workspace, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Per number column and bin of equal numbers of labelled rows: its range, rows, positives and their share.
+
+    ``counts`` is a ``value_table`` with the label. Rows of one value stay together, so a value that fills several bins
+    leaves some of them without rows, and these are not listed. Nulls are left out.
+    """
+    sums = [F.sum(c).alias(c) for c in ("n_labelled", "n_positive")]
+    numbers = counts.where("number is not null and n_labelled > 0").groupBy("feature", "number").agg(*sums)
+    cut = equal_parts(numbers, ["feature"], ["number"], "n_labelled", bins, ws, slice_rows)
+    return cut.groupBy("feature", "bin").agg(
+        F.min("number").alias("low"),
+        F.max("number").alias("high"),
+        F.sum("n_labelled").alias("n_rows"),
+        F.sum("n_positive").alias("n_positive"),
+        (F.sum("n_positive") / F.sum("n_labelled")).alias("target_rate"),
+    )
+
+
 def class_share(counts: DataFrame) -> DataFrame:
     """Per column and value: the part of all positives, and of all negatives, that has this value."""
     negative = F.col("n_labelled") - F.col("n_positive")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,11 @@ from churnkit.operators import ranking
 from churnkit.sources import Workspace
 
 
+# Columns that are counted in one scan, and counters that a task may hold for them.
+MOST_COLUMNS = 64
+MOST_VALUES = 2_000_000
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -103,6 +109,51 @@ def value_table(
     return df.select(*carried, F.inline(F.array(*cells))).groupBy("feature", "number", "text").agg(*sums)
 
 
+def column_batches(df: DataFrame, columns: Sequence[str], most_columns: int, most_values: int) -> list[list[str]]:
+    """Columns dealt into batches of at most ``most_columns``, whose estimated distinct values add up to ``most_values``.
+
+    Booleans and bytes have few values by their type; the others are estimated, narrow scans again. A column of more values
+    than that is a batch of its own.
+    """
+    tiny = {c for c in columns if isinstance(df.schema[c].dataType, (T.BooleanType, T.ByteType))}
+    asked = [c for c in columns if c not in tiny]
+    size = dict.fromkeys(tiny, 256)
+    for i in range(0, len(asked), MOST_COLUMNS):
+        own = asked[i : i + MOST_COLUMNS]
+        size |= zip(own, df.agg(*[F.approx_count_distinct(named(c)).alias(f"n{k}") for k, c in enumerate(own)]).first())
+    batches: list[list[str]] = []
+    room: list[int] = []
+    for c in sorted(columns, key=lambda c: -size[c]):  # first fit, largest first
+        at = next((i for i, b in enumerate(batches) if len(b) < most_columns and size[c] <= room[i]), None)
+        if at is None:
+            batches.append([c])
+            room.append(most_values - size[c])
+        else:
+            batches[at].append(c)
+            room[at] -= size[c]
+    return batches
+
+
+def value_counts(
+    df: DataFrame,
+    columns: Sequence[str],
+    ws: Workspace,
+    label: Column | None = None,
+    hashed: Sequence[str] = (),
+    most_columns: int = MOST_COLUMNS,
+    most_values: int = MOST_VALUES,
+) -> DataFrame:
+    """``value_table`` of a table with any number of columns: beyond ``most_columns`` one narrow scan per batch, each written.
+
+    So a row makes at most ``most_columns`` rows on its way to the counts, and a task holds at most about ``most_values``
+    counters, whatever the width of the table.
+    """
+    if len(columns) <= most_columns:
+        return value_table(df, columns, label, hashed)
+    batches = column_batches(df, columns, most_columns, most_values)
+    return reduce(DataFrame.unionByName, [ws.write(value_table(df, b, label, hashed)) for b in batches])
+
+
 def value_text() -> Column:
     """The value of a ``value_table`` row as text; null for null."""
     return F.coalesce("text", F.col("number").cast("string"))
@@ -126,7 +177,13 @@ def top_values(counts: DataFrame, k: int = 5, ws: Workspace | None = None) -> Da
 
 
 def figures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per column rows and nulls, for numbers also mean, sample deviation and extremes: one aggregate, no shuffle of rows."""
+    """Per column rows and nulls, for numbers also mean, sample deviation and extremes: one aggregate, no shuffle of rows.
+
+    A wide table is read once per ``MOST_COLUMNS`` columns, since Spark compiles no aggregate of thousands of sums.
+    """
+    if len(columns) > MOST_COLUMNS:
+        parts = [columns[i : i + MOST_COLUMNS] for i in range(0, len(columns), MOST_COLUMNS)]
+        return reduce(DataFrame.unionByName, [figures(df, p) for p in parts])
     cells, sums = [], [F.count(F.lit(1)).alias("n_rows")]
     for i, name in enumerate(columns):
         sums.append(F.count(named(name)).alias(f"filled{i}"))
@@ -155,24 +212,31 @@ def column_profile(
     quantiles: Sequence[float] = (0.25, 0.5, 0.75),
     counts: DataFrame | None = None,
     slice_rows: int = ranking.SLICE_ROWS,
+    most_slices: int = ranking.MOST_SLICES,
+    most_columns: int = MOST_COLUMNS,
 ) -> DataFrame:
     """Per column: rows, nulls, distinct values; for numbers also mean, sample deviation, extremes, quantiles.
 
     Only distinct values and quantiles, which are exact, need the value counts (``counts``, if the caller has them). These
-    are sorted into slices of bounded size, and a quantile reads only the slices that hold its rank.
+    are sorted into slices, and a quantile reads only the slices that hold its rank.
     """
-    counts = value_table(df, columns) if counts is None else counts.where(F.col("feature").isin(*columns))
-    counts = ranking.sliced(counts.select("feature", "number", "text", "n_rows"), ["feature", "number", "text"], ws, slice_rows)
+    if counts is None:
+        counts = value_counts(df, columns, ws, most_columns=most_columns)
+    else:
+        counts = counts.where(F.col("feature").isin(*columns))
+    values = counts.select("feature", "number", "text", "n_rows")
+    counts, again = ranking.cut(values, ["feature", "number", "text"], ws, slice_rows, most_slices)
     per_slice = ws.write(
         counts.groupBy("feature", "slice").agg(
             F.count_if(value_text().isNotNull()).alias("n_distinct"),
             F.sum(F.when(F.col("number").isNotNull(), F.col("n_rows"))).alias("n_numbers"),
+            F.count("number").alias("n_cells"),
         )
     )
     distinct = per_slice.groupBy(F.col("feature").alias("column")).agg(F.sum("n_distinct").alias("n_distinct"))
     names = {float(q): quantile_name(q) for q in quantiles}
     wide = (
-        _quantiles(counts.where("number is not null"), per_slice, list(names))
+        _quantiles(counts.where("number is not null"), per_slice, list(names), ws, slice_rows, most_slices, again)
         .groupBy(F.col("feature").alias("column"))
         .agg(*[F.max(F.when(F.col("quantile") == q, F.col("number"))).alias(n) for q, n in names.items()])
     )
@@ -186,36 +250,55 @@ def column_profile(
     )
 
 
-def _quantiles(counts: DataFrame, per_slice: DataFrame, quantiles: Sequence[float]) -> DataFrame:
-    """Interpolated quantiles from sliced counts of numbers: (feature, quantile, number)."""
-    whole = Window.partitionBy("feature")
+def _quantiles(
+    counts: DataFrame, per_slice: DataFrame, quantiles: Sequence[float], ws: Workspace, slice_rows: int, most: int, again: bool
+) -> DataFrame:
+    """Interpolated quantiles from sliced counts of numbers: (feature, quantile, number).
+
+    While slices are too large, those that hold a wanted rank are taken out and cut again by themselves; ``base`` is
+    the number of rows before the range that a slice was cut from. Each round makes the slices ``most`` times smaller.
+    """
+    numbers = per_slice.where("n_numbers > 0")
     position = F.col("quantile") * (F.col("all") - 1).cast("double")
-    wanted = (
-        per_slice.where("n_numbers > 0")
-        .select(
-            "feature",
-            "slice",
-            F.sum("n_numbers").over(whole.orderBy("slice")).alias("until"),
-            F.sum("n_numbers").over(whole).alias("all"),
-            (F.sum("n_numbers").over(whole.orderBy("slice")) - F.col("n_numbers")).alias("before"),
-        )
+    # Two rows per column and quantile.
+    targets = (
+        numbers.groupBy("feature")
+        .agg(F.sum("n_numbers").alias("all"))
         .withColumn("quantile", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])))
         .withColumn("weight", position - F.floor(position))
-        .withColumn("rank", F.explode(F.array(F.floor(position), F.ceil(position))))
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("until")))
-        .groupBy("feature", "slice", "before")
-        .agg(F.collect_set(F.struct("quantile", "weight", "rank")).alias("targets"))
-    )
-    upto = F.sum("n_rows").over(
-        Window.partitionBy("feature", "slice").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
+        .select("feature", "quantile", "weight", F.explode(F.array(F.floor(position), F.ceil(position))).alias("rank"))
     )
+    table, sizes = counts.withColumn("base", F.lit(0).cast("long")), numbers.withColumn("base", F.lit(0).cast("long"))
+    largest = None
+    while True:
+        until = F.sum("n_numbers").over(Window.partitionBy("feature", "base").orderBy("slice")) + F.col("base")
+        placed = sizes.withColumn("until", until).withColumn("before", F.col("until") - F.col("n_numbers"))
+        wanted = (
+            placed.join(F.broadcast(targets), "feature")
+            .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("until")))
+            .groupBy("feature", "base", "slice", "before", "n_cells")
+            .agg(F.collect_set(F.struct("quantile", "weight", "rank")).alias("targets"))
+        )
+        if not again:
+            break
+        wanted = ws.write(wanted)
+        size = wanted.agg(F.max("n_cells").alias("n")).first().n or 0
+        if size <= 2 * slice_rows or size == largest:  # rows of one number can't be cut further, and need not be
+            break
+        largest = size
+        ranges = F.broadcast(wanted.select("feature", "base", "slice", "before"))
+        part = table.join(ranges, ["feature", "base", "slice"]).select("feature", F.col("before").alias("base"), "number", "n_rows")
+        table, _ = ranking.cut(part, ["feature", "base", "number"], ws, slice_rows, most)
+        sums = [F.sum("n_rows").alias("n_numbers"), F.count(F.lit(1)).alias("n_cells")]
+        sizes = ws.write(table.groupBy("feature", "base", "slice").agg(*sums))
+    inside = Window.partitionBy("feature", "base", "slice").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
     hits = F.filter(
         "targets", lambda t: (t["rank"] < F.col("last")) & (t["rank"] >= F.col("last") - F.col("n_rows"))
     )
     # At most two slices per column and quantile are wanted, so the list of them is broadcast.
     found = (
-        counts.join(F.broadcast(wanted), ["feature", "slice"])
-        .withColumn("last", F.col("before") + upto)
+        table.join(F.broadcast(wanted), ["feature", "base", "slice"])
+        .withColumn("last", F.col("before") + F.sum("n_rows").over(inside))
         .select("feature", "number", F.inline(hits))
     )
     low, high = F.min("number"), F.max("number")

@@ -10,30 +10,66 @@ from pyspark.sql import functions as F
 from churnkit.sources import Workspace
 
 SLICE_ROWS = 100_000
+# A table has at most so many folders, however many rows.
+MOST_SLICES = 1000
 
 
-def sliced(df: DataFrame, order: Sequence[Column | str], ws: Workspace, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Rows in the stated order, cut into numbered slices of about ``slice_rows`` rows each and written by slice.
+def cut(
+    df: DataFrame, order: Sequence[Column | str], ws: Workspace, slice_rows: int = SLICE_ROWS, most: int = MOST_SLICES
+) -> tuple[DataFrame, bool]:
+    """Rows in the stated order, cut into numbered slices of about ``slice_rows`` rows, at most ``most`` of them.
 
-    The number of slices follows the number of rows, so that a task's share does not grow with the data. Every slice
-    is a partition of the written table: a query for some slices opens no other files.
+    Every slice is a folder of the written table: a query for some slices opens no other files. The second result tells
+    whether more slices were needed, so that these are larger and what is wanted of them has to be cut again.
     """
     rows = ws.write(df)
-    slices = max(1, -(-rows.count() // slice_rows))
-    ranged = rows.repartitionByRange(slices, *order).withColumn("slice", F.spark_partition_id())
+    needed = max(1, -(-rows.count() // slice_rows))
+    ranged = rows.repartitionByRange(min(most, needed), *order).withColumn("slice", F.spark_partition_id())
     table = ws.write(ranged, ["slice"])
     ws.drop(rows)
-    return table
+    return table, needed > most
+
+
+def sliced(df: DataFrame, order: Sequence[Column | str], ws: Workspace, slice_rows: int = SLICE_ROWS, most: int = MOST_SLICES) -> DataFrame:
+    return cut(df, order, ws, slice_rows, most)[0]
+
+
+def _with_earlier(
+    df: DataFrame, groups: Sequence[str], order: Sequence[Column | str], weight: Column, ws: Workspace, slice_rows: int
+) -> DataFrame:
+    """Adds ``_upto``, the weights of the group up to and with the row, from slices that grow in number, not in size.
+
+    All slices are read, so they are a column and no folders. ``order`` has to tell the rows of a group apart.
+    """
+    rows = ws.write(df)
+    slices = max(1, -(-rows.count() // slice_rows))
+    ranged = rows.repartitionByRange(slices, *groups, *order).withColumns({"slice": F.spark_partition_id(), "_weight": weight})
+    table = ws.write(ranged)
+    ws.drop(rows)
+    earlier = Window.partitionBy(*groups).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = table.groupBy(*groups, "slice").agg(F.sum("_weight").alias("_sum"))
+    before = sizes.select(*groups, "slice", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*groups, "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = table.withColumn("_inside", F.sum("_weight").over(inside)).join(before, [*groups, "slice"])
+    return placed.withColumn("_upto", F.col("_inside") + F.col("_before")).drop("slice", "_inside", "_before")
 
 
 def ranked(
     df: DataFrame, group: str, order: Sequence[Column], ws: Workspace, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Adds ``rank`` from 1 in each group: the place inside a slice, plus the rows of earlier slices."""
-    table = sliced(df, [group, *order], ws, slice_rows)
-    earlier = Window.partitionBy(group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = table.groupBy(group, "slice").agg(F.count(F.lit(1)).alias("_rows"))
-    before = sizes.select(group, "slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy(group, "slice").orderBy(*order))
-    placed = table.withColumn("_inside", inside).join(before, [group, "slice"])
-    return placed.withColumn("rank", F.col("_inside") + F.col("_before")).drop("slice", "_inside", "_before")
+    return _with_earlier(df, [group], order, F.lit(1), ws, slice_rows).withColumnRenamed("_upto", "rank").drop("_weight")
+
+
+def equal_parts(
+    df: DataFrame, groups: Sequence[str], order: Sequence[Column | str], weight: str, parts: int, ws: Workspace,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Adds ``bin``, 0 .. parts - 1: each group's rows in order, cut into parts of equal total weight.
+
+    A row is never divided; it belongs to the part in which its first unit of weight lies.
+    """
+    placed = _with_earlier(df, groups, order, F.col(weight).cast("long"), ws, slice_rows)
+    totals = df.groupBy(*groups).agg(F.sum(weight).alias("_total"))
+    cut = F.expr(f"cast((_upto - _weight) * {parts} div _total as int)")
+    return placed.join(totals, list(groups)).withColumn("bin", cut).drop("_upto", "_weight", "_total")

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnkit.functions import named
 from churnkit.operators.evaluate import confusion_counts, with_metrics
-from churnkit.operators.features import FEATURES, widest_code
+from churnkit.operators.features import FEATURES, tree_vector, widest_code
 from churnkit.operators.split import FOLD, LABEL, SAMPLE, kept_by_undersampling
 from churnkit.spec import SplitSpec, TrainSpec
 
@@ -26,12 +28,17 @@ ALGORITHMS: dict[str, type[Estimator]] = {
 
 @dataclass(frozen=True)
 class Search:
-    """The refitted best model and the mean score of every cell, in grid order."""
+    """The refitted best model and the mean score of every cell, in grid order.
+
+    ``folds`` has the scores of all cells fold by fold, ``fits`` how many models were fitted to get them.
+    """
 
     model: Model
     cells: list[dict[str, object]]
     scores: list[float | None]
     best: int
+    folds: list[list[float]] = field(default_factory=list)
+    fits: int = 0
 
     @property
     def params(self) -> dict[str, str]:
@@ -81,41 +88,110 @@ def training_rows(train: DataFrame, spec: TrainSpec) -> DataFrame:
 def search(
     train: DataFrame, spec: TrainSpec, split: SplitSpec, parallelism: int = 2, validate: bool = True
 ) -> Search:
-    """Mean weighted F1 over the hash folds, first best cell wins, refit on all rows given.
+    """Mean weighted F1 over the hash folds, first best cell wins, refit on all rows given."""
+    return search_all(train, [spec], split, parallelism, validate)[0]
+
 
-    Folds are filters on the stored fold, so nothing is cached; a fold's held-out rows are read once for all cells. With
-    ``validate=False`` a grid of one cell is fitted without scoring it.
+def search_all(
+    train: DataFrame, specs: Sequence[TrainSpec], split: SplitSpec, parallelism: int = 2, validate: bool = True
+) -> list[Search]:
+    """``search`` for several specs, ``parallelism`` fits at a time whichever spec and fold they belong to.
+
+    Folds are filters on the stored fold, so nothing is cached; a fold's held-out rows are read once for all cells of a
+    spec. With ``validate=False`` grids of one cell are fitted without scoring them.
     """
-    rows = training_rows(train, spec)
-    estimator = estimator_for(spec, split.seed)
-    if estimator.hasParam("maxBins"):
-        codes, bins = widest_code(train), estimator.getOrDefault("maxBins")
-        if codes > bins:
-            raise ValueError(f"a category has {codes} codes but maxBins is {bins}; set it in TrainSpec.fixed")
-    grid = param_grid(estimator, spec.grid)
-    cells = [{p.name: v for p, v in cell.items()} for cell in grid]
-    if not validate:
-        if len(grid) > 1:
-            raise ValueError("a grid of several cells needs validation")
-        return Search(estimator.fit(rows, grid[0]), cells, [None], 0)
-    folds = [_fold_scores(rows, estimator, grid, k, parallelism) for k in range(split.folds)]
-    scores = [sum(s) / len(folds) for s in zip(*folds)]
-    best = max(range(len(scores)), key=scores.__getitem__)
-    return Search(estimator.fit(rows, grid[best]), cells, scores, best)
-
-
-def _fold_scores(rows: DataFrame, estimator: Estimator, grid: list[dict], fold: int, parallelism: int) -> list[float]:
-    """Weighted F1 of every cell on the fold's rows, fitted on the others; all cells are counted in one scan."""
-    fitted, held = rows.where(F.col(FOLD) != fold), rows.where(F.col(FOLD) == fold)
+    runs = [_Run.of(train, spec, split) for spec in specs]
+    if not validate and any(len(run.grid) > 1 for run in runs):
+        raise ValueError("a grid of several cells needs validation")
     with ThreadPoolExecutor(parallelism) as pool:
-        models = list(pool.map(lambda cell: estimator.fit(fitted, cell), grid))
-    scored = held.select(LABEL, FEATURES)
-    for i, model in enumerate(models):
-        scored = predict(model, scored, f"prediction_{i}")
-    said = {str(i): F.col(f"prediction_{i}") for i in range(len(models))}
-    counts = with_metrics(confusion_counts(scored, F.col(LABEL), said))
-    found = {r["model"]: r["f1_weighted"] for r in counts.select("model", "f1_weighted").collect()}  # a row per cell
-    return [found[str(i)] or 0.0 for i in range(len(models))]
+        folds: dict[tuple[int, int], list[float]] = {}
+        fits = [0] * len(runs)
+        if validate:
+            tasks = [(i, k, cells) for i, run in enumerate(runs) for k in range(split.folds) for cells in run.alike()]
+            fitted = pool.map(lambda t: runs[t[0]].fit_alike(t[1], t[2]), tasks)
+            models: dict[tuple[int, int], dict[int, Model]] = {}
+            for (i, k, _), found in zip(tasks, fitted):
+                models.setdefault((i, k), {}).update(found)
+                fits[i] += len({id(m) for m in found.values()})
+            scored = pool.map(lambda at: runs[at[0]].scores(at[1], models[at]), models)
+            folds = dict(zip(models, scored))
+        means, best = [], []
+        for i, run in enumerate(runs):
+            own = [folds[i, k] for k in range(split.folds)] if validate else []
+            means.append([sum(s) / len(own) for s in zip(*own)] if own else [None])
+            best.append(max(range(len(means[i])), key=means[i].__getitem__) if own else 0)
+        refitted = list(pool.map(lambda i: runs[i].estimator.fit(runs[i].rows, runs[i].grid[best[i]]), range(len(runs))))
+    return [
+        Search(refitted[i], run.cells, means[i], best[i], [folds[i, k] for k in range(split.folds)] if validate else [], fits[i])
+        for i, run in enumerate(runs)
+    ]
+
+
+def iterations(model: Model) -> int | None:
+    """Steps after which an iterative fit ended; None for a model that has no such number."""
+    if not getattr(model, "hasSummary", False):
+        return None
+    summary = model.summary() if callable(model.summary) else model.summary
+    return len(summary.objectiveHistory) - 1
+
+
+@dataclass(frozen=True)
+class _Run:
+    """One spec with its rows and grid."""
+
+    rows: DataFrame
+    estimator: Estimator
+    grid: list[dict]
+
+    @classmethod
+    def of(cls, train: DataFrame, spec: TrainSpec, split: SplitSpec) -> _Run:
+        estimator = estimator_for(spec, split.seed)
+        if estimator.hasParam("maxBins"):
+            bins = min(spec.grid.get("maxBins", [estimator.getOrDefault("maxBins")]))
+            estimator.setFeaturesCol(tree_vector(train, bins))
+            codes = widest_code(train, estimator.getFeaturesCol())
+            if codes > bins:
+                raise ValueError(f"a category has {codes} codes but maxBins is {bins}; set it in TrainSpec.fixed")
+        return cls(training_rows(train, spec), estimator, param_grid(estimator, spec.grid))
+
+    @property
+    def cells(self) -> list[dict[str, object]]:
+        return [{p.name: v for p, v in cell.items()} for cell in self.grid]
+
+    def alike(self) -> list[list[int]]:
+        """Cells by what they have besides ``maxIter``, those of a group by falling ``maxIter``."""
+        groups: dict[str, list[int]] = {}
+        for i, cell in enumerate(self.cells):
+            groups.setdefault(repr(sorted((k, v) for k, v in cell.items() if k != "maxIter")), []).append(i)
+        return [sorted(g, key=lambda i: -self.cells[i].get("maxIter", 0)) for g in groups.values()]
+
+    def fit_alike(self, fold: int, cells: list[int]) -> dict[int, Model]:
+        """A model for each of the cells, fitted on the other folds.
+
+        A fit that ends after n steps ends there under any limit above n, so it stands for all cells of such limits.
+        """
+        rows = self.rows.where(F.col(FOLD) != fold)
+        found: dict[int, Model] = {}
+        for i in cells:
+            if i in found:
+                continue
+            found[i] = self.estimator.fit(rows, self.grid[i])
+            ended = iterations(found[i])
+            if ended is not None:
+                found.update({j: found[i] for j in cells if j not in found and ended < self.cells[j].get("maxIter", 0)})
+        return found
+
+    def scores(self, fold: int, models: dict[int, Model]) -> list[float]:
+        """Weighted F1 of every cell on the fold's rows; all different models are counted in one scan."""
+        features = self.estimator.getFeaturesCol()
+        scored = self.rows.where(F.col(FOLD) == fold).select(LABEL, features)
+        different = {id(m): m for m in models.values()}
+        for name, model in different.items():
+            scored = predict(model, scored, f"prediction_{name}")
+        said = {str(name): F.col(f"prediction_{name}") for name in different}
+        counts = with_metrics(confusion_counts(scored, F.col(LABEL), said))
+        found = {r["model"]: r["f1_weighted"] for r in counts.select("model", "f1_weighted").collect()}  # a row per model
+        return [found[str(id(models[i]))] or 0.0 for i in range(len(self.grid))]
 
 
 def predict(model: Model, df: DataFrame, column: str = "prediction") -> DataFrame:
@@ -125,3 +201,13 @@ def predict(model: Model, df: DataFrame, column: str = "prediction") -> DataFram
         if quiet.hasParam(name):
             quiet = quiet.copy({quiet.getParam(name): ""})
     return quiet.transform(df)
+
+
+def positive_score(model: Model, df: DataFrame, column: str = "score") -> DataFrame:
+    """Adds how likely class 1 is, 0 to 1: the model's probability, or a logistic function of a machine's margin."""
+    scored = model.transform(df)
+    if model.hasParam("probabilityCol"):
+        score = vector_to_array(F.col(model.getProbabilityCol()))[1]
+    else:
+        score = F.lit(1.0) / (F.lit(1.0) + F.exp(-vector_to_array(F.col(model.getRawPredictionCol()))[1]))
+    return scored.select(*[named(c) for c in df.columns], score.alias(column))

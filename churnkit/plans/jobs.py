@@ -13,7 +13,7 @@ from churnkit.functions import label_value, named, required_label
 from churnkit.operators import evaluate, explore, features, profile
 from churnkit.operators.clean import clean
 from churnkit.operators.split import FOLD, LABEL, SAMPLE, SPLIT, in_test, in_train, with_markers
-from churnkit.operators.train import Search, chosen_cell, predict, search
+from churnkit.operators.train import Search, chosen_cell, positive_score, predict, search, search_all
 from churnkit.sources import Workspace
 from churnkit.spec import BENCHMARK, CHOSEN, MIN_RECALL, SplitSpec, TableSpec, TrainSpec
 
@@ -77,7 +77,7 @@ def analyse(raw: DataFrame, spec: TableSpec) -> Reports:
     """Every report on one table, by name.
 
     The raw table is read for nulls and blanks, the cleaned one for figures, for histograms, for associations, and for the
-    counts per value that all other reports are taken from. Keys are not profiled. Text that is no category is
+    counts per value that all other reports are taken from, of wide tables in batches of columns. Keys are not profiled. Text that is no category is
     counted by digest. Each report reads its own part of this when it is used.
     """
     cleaned = clean(raw, spec)
@@ -88,7 +88,7 @@ def analyse(raw: DataFrame, spec: TableSpec) -> Reports:
     free = [c for c in profile.string_columns(cleaned) if c not in kept]
     try:
         quality = ws.write(profile.column_quality(raw))
-        counts = ws.write(profile.value_table(cleaned, columns, label_value(spec), free))
+        counts = ws.write(profile.value_counts(cleaned, columns, ws, label_value(spec), free))
         columns_profile = profile.column_profile(cleaned, columns, ws, counts=counts)
     except BaseException:
         ws.close()
@@ -119,14 +119,14 @@ def prepare(raw: DataFrame, spec: TableSpec, split: SplitSpec, max_categories: i
     """
     cleaned = clean(raw, spec)
     spec = spec.resolve(cleaned)
-    clash = sorted({LABEL, SPLIT, SAMPLE, FOLD, features.FEATURES, PREDICTION} & set(cleaned.columns))
+    clash = sorted({LABEL, SPLIT, SAMPLE, FOLD, features.FEATURES, features.BINNED, PREDICTION} & set(cleaned.columns))
     if clash:
         raise ValueError(f"columns with names of the job's own: {', '.join(clash)}")
     marked = with_markers(cleaned.select("*", required_label(spec).alias(LABEL)), spec, split)
     ws = Workspace(raw.sparkSession)
     try:
         written = ws.write(marked)
-        model = features.fit_features(written.where(in_train(split)), spec, ws, max_categories)
+        model = features.fit_features(written.where(in_train(split)), spec, ws, max_categories, split=split)
     except BaseException:
         ws.close()
         raise
@@ -136,7 +136,7 @@ def prepare(raw: DataFrame, spec: TableSpec, split: SplitSpec, max_categories: i
 def evaluated(searches: Sequence[tuple[TrainSpec, Search]], prepared: Prepared) -> DataFrame:
     """One row per trained model; all models score the held-out rows in a single scan."""
     spark = prepared.rows.sparkSession
-    scored = prepared.test.select(LABEL, features.FEATURES)
+    scored = prepared.test.select(LABEL, *prepared.model.outputs)
     predictions = {}
     for i, (_, found) in enumerate(searches):
         scored = predict(found.model, scored, f"prediction_{i}")
@@ -171,12 +171,12 @@ def benchmark(
 ) -> DataFrame:
     """Leaderboard: every spec searched on the training rows and measured on the same held-out rows.
 
-    The training vectors are written by fold, as every fit of every grid reads them. Nothing written is left behind:
-    the result is a row per spec.
+    The training vectors are written by fold, as every fit of every grid reads them, in files of about the advisory
+    partition size: an iteration of a fit is a task per file. Nothing written is left behind: the result is a row per spec.
     """
     with prepare(raw, spec, split, max_categories) as prepared:
-        train = prepared.workspace.write(prepared.train, [FOLD])
-        board = evaluated([(s, search(train, s, split, parallelism)) for s in train_specs], prepared)
+        train = prepared.workspace.write(prepared.train.hint("rebalance", F.col(FOLD)), [FOLD])
+        board = evaluated(list(zip(train_specs, search_all(train, train_specs, split, parallelism))), prepared)
         return raw.sparkSession.createDataFrame(board.collect(), board.schema)
 
 
@@ -188,6 +188,17 @@ def choose(
     return row and chosen_cell(train_specs[row["position"]], row["params"])
 
 
+def recall_threshold(scored: Scored, min_recall: float = MIN_RECALL) -> DataFrame:
+    """Where to cut the trained model's score so that the held-out rows reach the recall, instead of at one half.
+
+    One row: threshold, tp, fp, recall and precision; none if there are no positives. Lowering the threshold is another way
+    to the recall than choosing among finished models.
+    """
+    held = positive_score(scored.search.model, scored.prepared.test.select(LABEL, *scored.prepared.model.outputs))
+    histogram = evaluate.score_histogram(held, F.col(LABEL), {scored.prepared.spec.label: F.col("score")})
+    return evaluate.reaching(evaluate.threshold_curve(histogram), min_recall).drop("model")
+
+
 def read_leaderboard(spark: SparkSession, path: str, label: str) -> DataFrame:
     """What ``write_leaderboard`` wrote; ``label`` is the label column of the benchmarked table."""
     matrix = f"array<struct<`{label}`: double, prediction: double, count: bigint>>"

@@ -83,3 +83,19 @@ def test_absent_class_gives_zero_cells_and_no_recall(spark):
 def test_no_rows_give_no_metrics(spark):
     row = measured(scored(spark, [(0, 0)]).where("false")).first()
     assert (row.tp, row.accuracy, row.recall, row.f1_weighted) == (0, None, None, None)
+
+
+def test_thresholds_are_those_of_all_rows(spark):
+    rows = [(float(y), s) for y, s in [(1, 0.95), (1, 0.95), (0, 0.9), (1, 0.72), (0, 0.715), (1, 0.31), (0, 0.3), (0, 1.0), (1, 0.0)]]
+    df = spark.createDataFrame(rows + [(1.0, None), (None, 0.5)], "y double, s double")
+    scores = {"whole": F.col("s"), "half": F.col("s") / 2}
+    curve = evaluate.threshold_curve(evaluate.score_histogram(df, F.col("y"), scores, 100), 100)
+    for r in curve.where("model = 'whole'").collect():
+        above = [y for y, s in rows if s >= r.threshold]
+        assert (r.tp, r.fp) == (sum(above), len(above) - sum(above))
+        assert r.recall == sum(above) / 5 and r.precision == sum(above) / len(above)
+    found = {r.model: (r.threshold, r.recall) for r in evaluate.reaching(curve, 0.6).collect()}
+    assert found == {"whole": (0.72, 0.6), "half": (0.36, 0.6)}
+    assert evaluate.reaching(curve, 1.1).isEmpty()
+    nobody = df.where("y = 0")
+    assert evaluate.reaching(evaluate.threshold_curve(evaluate.score_histogram(nobody, F.col("y"), scores)), 0.5).isEmpty()

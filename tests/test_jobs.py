@@ -130,6 +130,7 @@ def test_commands_write_their_results(spark, telco_csv, tmp_path, monkeypatch):
         return type("Found", (), {"model": found.model, "scores": found.scores, "best": 0, "params": params})()
 
     monkeypatch.setattr(jobs, "search", fit_small)
+    monkeypatch.setattr(jobs, "search_all", lambda rows, specs, split, n: [fit_small(rows, s, split, n) for s in specs])
 
     command.main(["analyse", telco_csv, str(tmp_path / "a")])
     assert spark.read.json(str(tmp_path / "a/target_rate")).count() > 0

@@ -92,6 +92,40 @@ def test_profile_agrees_with_brute_force(spark, skewed, ws, slice_rows):
     assert found["word"]["n_distinct"] == 3 and found["word"]["mean"] is None
 
 
+@pytest.mark.parametrize("most", [2, 3, 50])
+def test_slices_that_are_cut_again_change_nothing(spark, skewed, ws, most, monkeypatch):
+    """A bounded number of folders however many values; quantiles are those of small slices."""
+    written = []
+    write = Workspace.write
+    monkeypatch.setattr(Workspace, "write", lambda self, df, by=(): (written.append((t := write(self, df, by), by)), t)[1])
+    df = skewed_table(spark, skewed)
+    quantiles = (0.01, 0.25, 0.5, 0.75, 0.999)
+    names = [profile.quantile_name(q) for q in quantiles]
+    whole = profile.column_profile(df, df.columns, ws, quantiles).select("column", "n_distinct", *names).collect()
+    written.clear()
+    found = profile.column_profile(df, df.columns, ws, quantiles, slice_rows=60, most_slices=most).select("column", "n_distinct", *names)
+    assert sorted(found.collect(), key=str) == sorted(whole, key=str)
+    folders = [len({f.rsplit("/", 2)[1] for f in t.inputFiles()}) for t, by in written if by]
+    assert len(folders) >= 2 and max(folders) <= most
+
+
+def test_wide_tables_are_counted_in_batches_of_columns(spark, ws):
+    df = spark.range(2000).selectExpr(*[f"id % {i + 2} as c{i}" for i in range(60)], "id as key", "id % 2 = 0 as even")
+    batches = profile.column_batches(df, df.columns, 25, 3000)
+    assert sorted(c for b in batches for c in b) == sorted(df.columns) and max(map(len, batches)) <= 25
+    values = {f"c{i}": i + 2 for i in range(60)} | {"key": 2000, "even": 2}
+    assert all(sum(values[c] for c in b) <= 3000 * 1.2 for b in batches)
+    assert [b for b in profile.column_batches(df, df.columns, 25, 1000) if "key" in b] == [["key"]]
+    written = []
+    ws_write = ws.write
+    ws.write = lambda t, *a: (written.append(t), ws_write(t, *a))[1]
+    counts = profile.value_counts(df, df.columns, ws, most_columns=25)
+    plans = [t._jdf.queryExecution().optimizedPlan().toString() for t in written]
+    assert len(plans) >= 3 and all(p.count("struct(feature") <= 25 for p in plans)
+    key = lambda r: str(tuple(r))
+    assert sorted(counts.collect(), key=key) == sorted(profile.value_table(df, df.columns).collect(), key=key)
+
+
 def test_profile_does_not_depend_on_partitions(spark, skewed, ws):
     tables = [skewed_table(spark, skewed, n) for n in (1, 3, 8)]
     exact = ["column", "n_rows", "n_null", "n_distinct", "min", "p25", "p50", "p75", "max"]

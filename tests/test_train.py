@@ -94,6 +94,50 @@ def test_scores_are_those_of_the_cross_validator(spark):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
+def test_one_fit_stands_for_all_limits_that_it_ends_below(spark):
+    df = rows(spark, 0.2)
+    spec = TrainSpec("LogisticRegression", {"maxIter": (2, 75, 100, 250), "regParam": (1.0, 0.001)})
+    found = train.search(df, spec, SPLIT, parallelism=4)
+    estimator = train.estimator_for(spec, SPLIT.seed)
+    evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName="f1")
+    separate = CrossValidator(
+        estimator=estimator, estimatorParamMaps=train.param_grid(estimator, spec.grid), evaluator=evaluator, numFolds=2, foldCol="fold"
+    ).fit(df)
+    assert found.scores == pytest.approx(separate.avgMetrics, abs=1e-12)
+    # Per fold and penalty: one fit for the limits that it ends below, and one more if it is cut off by a limit of 2.
+    assert found.fits < len(found.cells) * SPLIT.folds and 4 <= found.fits <= 8
+    assert [sum(f) / 2 for f in zip(*found.folds)] == found.scores
+
+
+def test_reused_machines_are_those_of_separate_fits(spark):
+    df = rows(spark, 0.2)
+    spec = TrainSpec("SVM", {"maxIter": (3, 100, 200), "regParam": (0.1,)})
+    run = train._Run.of(df, spec, SPLIT)
+    models = run.fit_alike(0, run.alike()[0])
+    for i, cell in enumerate(run.grid):
+        own = run.estimator.fit(df.where("fold <> 0"), cell)
+        assert models[i].coefficients == own.coefficients and models[i].intercept == own.intercept
+    assert len({id(m) for m in models.values()}) == 2
+
+
+def test_specs_searched_together_are_those_searched_alone(spark):
+    df = rows(spark, 0.2)
+    specs = [TrainSpec("LogisticRegression", {"regParam": (0.1, 1.0)}), TrainSpec("RandomForest", {"numTrees": (2,)}, undersample=0.5)]
+    for spec, found in zip(specs, train.search_all(df, specs, SPLIT, parallelism=6)):
+        alone = train.search(df, spec, SPLIT)
+        assert (found.scores, found.best, found.cells, found.folds) == (alone.scores, alone.best, alone.cells, alone.folds)
+
+
+def test_scores_of_models_without_probabilities_are_between_0_and_1(spark):
+    df = rows(spark, 0.2)
+    for algorithm, grid in KINDS.items():
+        model = train.search(df, TrainSpec(algorithm, grid), SPLIT).model
+        scored = train.positive_score(model, df)
+        assert scored.columns == [*df.columns, "score"] and scored.where("score <= 0 or score >= 1").isEmpty()
+        said = train.predict(model, scored)
+        assert said.where("(score > 0.5) <> (prediction = 1)").isEmpty()
+
+
 def test_one_cell_is_scored_unless_told_otherwise(spark):
     df, one = rows(spark, 0.0), TrainSpec("LogisticRegression")
     assert train.search(df, one, SPLIT).scores == [1.0]
