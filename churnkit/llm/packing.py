@@ -8,7 +8,8 @@ bins handled together. The outcome is a table that says, for the r-th piece of a
 it gets. Pieces get their r in parallel: their rank in the task that tokenised them plus the counts of earlier tasks.
 
 Defined cases: a null text is an empty one and gives one piece that holds the end token alone. A row with a null
-doc_id is packed like any other. Repeated rows are packed as often as they occur. Extra columns are ignored.
+doc_id is packed like any other. A text that spells the name of one of the tokenizer's added tokens has that token's id there.
+Repeated rows are packed as often as they occur. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 import base64
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -30,17 +31,32 @@ from churnkit.llm.common import Workspace, batch, read_table, texts_of
 from churnkit.llm.registry import query
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task long, place long"
 
 
 @cache
-def encoder(ranks_path: str = RANKS):
-    """The byte-level BPE as tiktoken runs it: the ids of byte_bpe_50k.json, several times faster."""
+def encoder(ranks_path: str = RANKS, json_path: str = TOKENIZER) -> Callable[[str], list[int]]:
+    """The ids that ``tokenizers`` gives with the JSON file and ``add_special_tokens=False``.
+
+    A text without an added token's name goes through tiktoken with the ranks of the same vocabulary, several times
+    faster; a text with one, which becomes a single id there, goes through ``tokenizers`` itself.
+    """
     import tiktoken
+    from tokenizers import Tokenizer
 
     with open(ranks_path, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    whole = Tokenizer.from_file(json_path)
+    added = [t.content for t in whole.get_added_tokens_decoder().values()]
+
+    def encode(text: str) -> list[int]:
+        if any(name in text for name in added):
+            return whole.encode(text, add_special_tokens=False).ids
+        return fast.encode_ordinary(text)
+
+    return encode
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -52,7 +68,7 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, head)] * (head > 0) + [(s, capacity) for s in starts]
 
 
-def tokenised_pieces(docs: DataFrame, capacity: int, end_id: int, ranks_path: str) -> DataFrame:
+def tokenised_pieces(docs: DataFrame, capacity: int, end_id: int, ranks_path: str, json_path: str) -> DataFrame:
     """One row per piece. ``place`` counts the earlier pieces of the same length in the same ``task``."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("piece", pa.int32())]
@@ -60,7 +76,7 @@ def tokenised_pieces(docs: DataFrame, capacity: int, end_id: int, ranks_path: st
     )
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_path).encode_ordinary
+        encode = encoder(ranks_path, json_path)
         task = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
         for b in batches:
@@ -203,13 +219,15 @@ def _slots(plan: list[tuple[int, tuple[int, ...]]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 4)
 
 
-def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, ranks_path: str = RANKS) -> DataFrame:
+def pack(
+    docs: DataFrame, capacity: int = 2048, end_id: int = 0, ranks_path: str = RANKS, json_path: str = TOKENIZER
+) -> DataFrame:
     """Pieces of all documents with their sequence and their place in it.
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id and offset.
     """
     ws = Workspace(docs.sparkSession)
-    pieces = ws.write(tokenised_pieces(docs, capacity, end_id, ranks_path))
+    pieces = ws.write(tokenised_pieces(docs, capacity, end_id, ranks_path, json_path))
     tallies = ws.write(pieces.groupBy("length", "task").count())
     counts = np.zeros(capacity + 1, np.int64)
     for row in tallies.groupBy("length").agg(F.sum("count").alias("n")).collect():  # at most one row per length

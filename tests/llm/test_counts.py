@@ -74,10 +74,21 @@ def test_no_texts(empty):
 # ---- packing ---------------------------------------------------------------------------------------------------
 
 
+def test_names_of_added_tokens_are_their_ids():
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    names = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    assert names
+    for name in names:
+        for text in (name, f"a{name}b", f"a {name} {name}", f" {name}\n", name[:-1], name.upper()):
+            assert packing.encoder()(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    assert packing.encoder()("a<|endoftext|>b") == [64, 50256, 65]
+
+
 @pytest.mark.parametrize("capacity", [64, 2048])
-def test_pieces_fill_sequences_without_gaps(docs, rows, capacity):
+def test_pieces_fill_sequences_without_gaps(spark, rows, capacity):
+    rows = [*rows, (800, "one<|endoftext|> two <|endoftext|>"), (801, "<|endoftext|>" * 70), (802, "<|endoftext")]
+    docs = table(spark, rows)
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     found = packing.pack(docs, capacity).collect()
     wanted = Counter()
     for doc_id, text in rows:
