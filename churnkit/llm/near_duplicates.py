@@ -4,16 +4,21 @@ A document is the set of its runs of five words; runs are the tokens, in a globa
 whose similarity reaches the threshold share so many tokens that the beginnings of both, in that order, must meet. How
 long a beginning has to be depends on what is indexed from it: a rare token alone is a key, frequent tokens are keys in
 pairs. Frequent tokens fall into classes, and only pairs within a class are keys; a beginning with tokens of c classes is
-extended by c tokens, since c + 1 common ones put two into the same class. So documents linked share a key, whatever
-the order; and the list of frequent tokens, the ``heavy`` most frequent of those that stand out in some part of the data,
-decides speed and not results.
-
-Documents with the same set are one class and take part once. Keys that one class alone has are dropped where they meet.
-Of keys that the very same classes share one is kept. Classes that share a key are first compared with a few hubs of it,
-pairs are thinned by parity sketches, which can prove
-that sets differ too much, and the rest are compared exactly. Classes that are then connected need no more comparison;
-of the others, all pairs with a common key are compared. A large group of near copies therefore costs a few pairs for
-each member, and no link between different texts is lost.
+extended by c tokens, since c + 1 common ones put two into the same class. The beginning of the smaller of two sets may be
+shorter than that of the larger, so each key tells in which of the two parts its set has it.
+
+The order is that of the exact number of sets that have a token. Documents are read in parts of ``_PART_ROWS``; a part
+sends each of its tokens once, with the number of its sets that have it, so a token that a third of all documents have
+costs one entry a part. Where a token's entries meet, its number is known, and tokens of a single set end there. Back at
+its part a set knows how many of its tokens any other set has: if these are too few to reach the threshold it is done.
+Most documents are. A pair that shares a key is compared only if its sizes, and the tokens that either shares with any set
+at all, leave a link possible; a passage that stands in thousands of otherwise unlike documents makes no pairs thereby.
+
+Documents with the same set are one class and take part once. Classes that share a key are first compared with the
+smallest of it, for some keys and then for those that hold unconnected classes; parity sketches prove that
+sets differ too much, and the rest are compared exactly. At last all possible pairs of keys with unconnected
+classes are compared. A large group of near copies therefore costs a few pairs for each member, and no link between different
+texts is lost.
 
 Defined cases: a null text, an empty one or one without words has no shingles, links with nothing and is its own
 component; one with fewer than five words is a single shingle. Rows that repeat a doc_id are judged each by its own text. A
@@ -28,7 +33,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.llm.common import Workspace, batch, by_text, pack, parts_for, read_table, texts_of, unpack
@@ -37,13 +42,13 @@ from churnkit.llm.registry import query
 from churnkit.llm.words import Words, mix, split_words
 
 SHINGLE = 5
-LOCAL = 2
-HEAVY = 1_000_000
-_PART_ROWS = 2000
-HUBS = 3
+RARE = 64
 SMALL = 1_000_000
-_ROUNDS = 3
-_SPREAD = 1024
+_PART_ROWS = 2000
+_PART_TOKENS = 1_000_000
+_BUCKET_TOKENS = 1_000_000
+_SEVERAL = 0xFFFF
+_SOME_KEYS = 8
 _U = np.uint64
 _NONE = np.empty(0, _U)
 
@@ -58,6 +63,10 @@ class Threshold:
         """Tokens that a set of n has in common with any set that it links with, at least."""
         return max(1, -(-self.num * n // self.den))
 
+    def least_as_smaller(self, n: int) -> int:
+        """Tokens that a set of n has in common with any set that is no smaller and that it links with, at least."""
+        return max(1, -(-2 * self.num * n // (self.num + self.den)))
+
     def linked(self, common: int, n: int, m: int) -> bool:
         return self.den * common >= self.num * (n + m - common)
 
@@ -95,52 +104,18 @@ def _each_set(b: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
         yield from zip(own.column("doc_id").to_pylist(), shingle_sets(texts_of(own.column("text"))))
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return (b.slice(i, _PART_ROWS) for b in batches for i in range(0, b.num_rows, _PART_ROWS))
-
-
-def _classes(docs: DataFrame, local: int) -> DataFrame:
-    """(doc_id, digest of the text, n, cls) of every row; rows of n = -1 carry tokens that ``local`` classes of a part have."""
-    numbers = [(c, pa.int64()) for c in ("doc_id", "digest", "n", "cls")]
-    schema = pa.schema([*numbers, ("tokens", pa.binary()), ("counts", pa.binary())])
+def _classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest of the text, n, cls) of every row."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "digest", "n", "cls")])
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _parts(batches):
-            ids, sizes, classes, sets = [], [], [], {}
-            for doc_id, tokens in _each_set(b):
-                cls = class_of(tokens) if len(tokens) else None
-                ids.append(doc_id)
-                sizes.append(len(tokens))
-                classes.append(cls)
-                if cls is not None:
-                    sets[cls] = tokens
-            tokens, counts = np.unique(np.concatenate([*sets.values(), _NONE]), return_counts=True)
-            often = counts >= local
-            blank = [None] * len(ids)
-            yield batch(schema, ids, b.column("digest"), sizes, classes, blank, blank)
-            if often.any():
-                blobs = tokens[often].tobytes(), counts[often].astype("<i8").tobytes()
-                yield batch(schema, [None], [None], [-1], [None], [blobs[0]], [blobs[1]])
-
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
-    return rows.mapInArrow(classify, "doc_id long, digest long, n long, cls long, tokens binary, counts binary")
-
-
-def _heavy_tokens(found: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """At most ``most`` frequent tokens, ascending, and their ranks by frequency: a bound whatever the input."""
-    schema = pa.schema([("token", pa.int64()), ("n", pa.int64())])
-
-    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for tokens, counts in zip(b.column("tokens").to_pylist(), b.column("counts").to_pylist()):
-                yield batch(schema, np.frombuffer(tokens, "<i8"), np.frombuffer(counts, "<i8"))
+            ids, sets = zip(*_each_set(b)) if b.num_rows else ((), ())
+            classes = [class_of(t) if len(t) else None for t in sets]
+            yield batch(schema, list(ids), b.column("digest"), [len(t) for t in sets], classes)
 
-    counted = found.select("tokens", "counts").mapInArrow(unfold, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "token").limit(most).select("token").toArrow()
-    tokens = rows.column("token").combine_chunks().to_numpy().view(_U)
-    rank = np.arange(len(tokens), 0, -1, dtype=np.int32)  # the most frequent comes last
-    order = np.argsort(tokens)
-    return tokens[order], rank[order]
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
+    return rows.mapInArrow(classify, "doc_id long, digest long, n long, cls long")
 
 
 def _bands(n: int, least: int) -> list[int]:
@@ -149,27 +124,29 @@ def _bands(n: int, least: int) -> list[int]:
     return [own] if least >= 4**own or own == 0 else [own, own - 1]
 
 
-def keys_of(tokens: np.ndarray, rank: np.ndarray, threshold: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a set: rare tokens, and pairs of frequent ones. ``rank`` is 0 for rare tokens."""
-    n = len(tokens)
-    least = threshold.least_common(n)
-    order = np.argsort(rank, kind="stable")  # rare ones first, in the order of their hashes
-    tokens, rank = tokens[order], rank[order]
-    n_rare = int((rank == 0).sum())
-    single = tokens[: min(n_rare, n - least + 1)]
-    pairs = []
-    if n - least + 1 > n_rare:
-        for band in _bands(n, least):
+def _beginning(tokens: np.ndarray, n_rare: int, n: int, least: int, bands: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a set of n for partners with ``least`` common tokens: rare tokens, and pairs of frequent ones.
+
+    ``tokens`` are those that other sets have, in the global order; the others come before them. ``n_rare`` tokens of
+    the set are rare.
+    """
+    alone = n - len(tokens)
+    long = n - least + 1
+    single = tokens[: max(0, min(long, n_rare) - alone)]
+    pairs = [_NONE]
+    if long > n_rare:
+        frequent = tokens[n_rare - alone :]
+        for band in bands:
             classes = max(1, 4 ** (band - 1)) if band else 1
-            of = (mix(tokens[n_rare:]) % _U(classes)).astype(np.int64)
+            of = (mix(frequent) % _U(classes)).astype(np.int64)
             new = np.zeros(len(of), np.int64)
             new[np.unique(of, return_index=True)[1]] = 1
             seen = np.concatenate([np.zeros(n_rare, np.int64), np.cumsum(new)])  # classes among the first tokens
             # The beginning grows until it is longer than n - least by more than the classes in it.
-            sizes = np.arange(n - least + 1, n + 1)
+            sizes = np.arange(long, n + 1)
             enough = seen[sizes - 1] <= sizes - (n - least) - 1
             end = int(sizes[np.argmax(enough)]) if enough.any() else n
-            own, of = tokens[n_rare:end], of[: end - n_rare]
+            own, of = frequent[: end - n_rare], of[: end - n_rare]
             by = np.argsort(of, kind="stable")
             own, of = own[by], of[by]
             for step in range(1, len(own)):
@@ -179,7 +156,26 @@ def keys_of(tokens: np.ndarray, rank: np.ndarray, threshold: Threshold) -> tuple
                 a, b = own[step:][same], own[:-step][same]
                 with np.errstate(over="ignore"):
                     pairs.append(mix(np.minimum(a, b) * _U(0x9E3779B97F4A7C15) ^ mix(np.maximum(a, b))))
-    return single, np.unique(np.concatenate(pairs)) if pairs else _NONE
+    return single, np.unique(np.concatenate(pairs))
+
+
+def keys_of(tokens: np.ndarray, sets: np.ndarray, n: int, threshold: Threshold, rare: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a set of n and whether it has them as the smaller of two as well.
+
+    ``tokens`` are those that several sets have, ``sets`` how many have each, both in the global order. A token that at
+    most ``rare`` sets have is rare.
+    """
+    shared = len(tokens)
+    if shared < threshold.least_common(n):
+        return _NONE, np.empty(0, bool)
+    n_rare = n - shared + int(np.searchsorted(sets, rare, "right"))
+    least = threshold.least_common(n)
+    large = np.concatenate(_beginning(tokens, n_rare, n, least, _bands(n, least)))
+    least = threshold.least_as_smaller(n)
+    if shared < least:
+        return large, np.zeros(len(large), bool)
+    small = np.concatenate(_beginning(tokens, n_rare, n, least, _bands(n, least)[:1]))
+    return large, np.isin(large, small)
 
 
 def sketch_of(tokens: np.ndarray) -> bytes:
@@ -199,99 +195,164 @@ def least_difference(x: bytes, y: bytes) -> int:
     return (number ^ int.from_bytes(x, "little")).bit_count()
 
 
-_KEYS = "sig long, cls long, n long, sketch binary"
+_SENT = "part long, bucket long, tokens binary, own binary, counts binary, classes binary, sizes binary, sketches array<binary>"
 
 
-def _keys(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], threshold: Threshold, buckets: int) -> DataFrame:
-    """(sig, cls) of keys that several classes may share; rows without sig carry a class's n and sketch."""
-    sent_schema = pa.schema(
-        [("bucket", pa.int64()), ("sigs", pa.binary()), ("classes", pa.binary()), ("n", pa.int64()), ("sketch", pa.binary())]
-    )
-    schema = pa.schema([("sig", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
-    shared = docs.sparkSession.sparkContext.broadcast(heavy)
+def _sent(docs: DataFrame, buckets: int) -> DataFrame:
+    """What parts of the documents send: per bucket their tokens, and once what they need when the answers come.
 
-    def rank_of(tokens: np.ndarray) -> np.ndarray:
-        known, rank = shared.value
-        if not len(known):
-            return np.zeros(len(tokens), np.int64)
-        at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-        return np.where(known[at] == tokens, rank[at], 0)
+    ``own`` has the number, within the part, of the one set that has a token, or ``_SEVERAL``; ``counts`` how many have it.
+    The row without a bucket has the classes, sizes and sketches of the part's sets, and the tokens that several have
+    with the numbers of these sets one after another.
+    """
+    schema = pa.schema([
+        ("part", pa.int64()), ("bucket", pa.int64()), ("tokens", pa.binary()), ("own", pa.binary()), ("counts", pa.binary()),
+        ("classes", pa.binary()), ("sizes", pa.binary()), ("sketches", pa.list_(pa.binary())),
+    ])
+
+    def rows_of(part: int, sets: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        sizes = np.array([len(t) for t in sets.values()], np.int64)
+        tokens = np.concatenate(list(sets.values()))
+        order = np.argsort(tokens, kind="stable")
+        own = np.repeat(np.arange(len(sizes)), sizes)[order].astype("<u2")
+        tokens, first, counts = np.unique(tokens[order], return_index=True, return_counts=True)
+        several = counts > 1
+        lists = np.repeat(several, counts)
+        yield batch(
+            schema, [part], [None], [pack(tokens[several])], [own[lists].tobytes()], [counts[several].astype("<u2").tobytes()],
+            [np.array(list(sets), np.int64).tobytes()], [sizes.tobytes()], [[sketch_of(t) for t in sets.values()]],
+        )
+        one = np.where(several, _SEVERAL, own[first]).astype("<u2")
+        counts = counts.astype("<u2")
+        bucket = ((tokens >> _U(32)) * _U(buckets)) >> _U(32)
+        edges = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(tokens)]
+        spans = [slice(x, y) for x, y in zip(edges, edges[1:])]
+        blank = [None] * len(spans)
+        yield batch(
+            schema, [part] * len(spans), [int(bucket[s.start]) for s in spans], [pack(tokens[s]) for s in spans],
+            [one[s].tobytes() for s in spans], [counts[s].tobytes() for s in spans], blank, blank, blank,
+        )
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
-        turn = TaskContext.get().partitionId()
-        for b in _parts(batches):
-            rare, rare_of, rows = [_NONE], [], []
+        part = TaskContext.get().partitionId() << 32
+        sets: dict[int, np.ndarray] = {}
+        held = 0
+        for b in batches:
             for _, tokens in _each_set(b):
-                if not len(tokens) or (cls := class_of(tokens)) in done:
+                if not len(tokens):
                     continue
-                done.add(cls)  # a class once a task
-                single, pairs = keys_of(tokens, rank_of(tokens), threshold)
-                rare.append(single)
-                rare_of.append(np.full(len(single), cls, np.int64))
-                # Pairs of frequent tokens have partners: nothing to drop, so nothing needs to meet.
-                turn += 1
-                rows.append((-1 - turn % _SPREAD, pairs.tobytes(), cls, len(tokens), sketch_of(tokens)))
-            if rows:
-                bucket, pairs, classes, n, sketch = map(list, zip(*rows))
-                yield batch(sent_schema, bucket, pairs, [np.int64(c).tobytes() for c in classes], n, sketch)
-            sigs = np.concatenate(rare)
-            if len(sigs):
-                order = np.argsort(sigs, kind="stable")
-                sigs, classes = sigs[order], np.concatenate(rare_of)[order]
-                part = ((sigs >> _U(32)) * _U(buckets)) >> _U(32)
-                edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(sigs)]
-                spans = [slice(x, y) for x, y in zip(edges, edges[1:])]
-                blank = [None] * len(spans)
-                blobs = [pack(sigs[s]) for s in spans], [classes[s].tobytes() for s in spans]
-                yield batch(sent_schema, [int(part[s.start]) for s in spans], *blobs, blank, blank)
-
-    def meet(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        sigs_in, classes_in = rows.column("sigs").to_pylist(), rows.column("classes").to_pylist()
-        if key[0].as_py() < 0:
-            pairs = [np.frombuffer(x, _U) for x in sigs_in]
-            own = np.concatenate([np.frombuffer(x, "<i8") for x in classes_in])
-            sigs, classes = np.concatenate(pairs), np.repeat(own, [len(p) for p in pairs])
-            n, sketch = rows.column("n").to_pylist(), rows.column("sketch").to_pylist()
-        else:
-            own, n, sketch = np.empty(0, np.int64), [], []
-            sigs = np.concatenate([unpack(x) for x in sigs_in])
-            classes = np.concatenate([np.frombuffer(x, "<i8") for x in classes_in])
-            order = np.lexsort((classes, sigs))
-            sigs, classes = sigs[order], classes[order]
-            new = np.concatenate([[True], (sigs[1:] != sigs[:-1]) | (classes[1:] != classes[:-1])])
-            sigs, classes = sigs[new], classes[new]
-            same = sigs[1:] == sigs[:-1]
-            some = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-            sigs, classes = sigs[some], classes[some]
-        blank = [None] * len(sigs)
-        return pa.Table.from_batches([
-            batch(schema, sigs.view(np.int64), classes, blank, blank),
-            batch(schema, [None] * len(own), own, n, sketch),
-        ])
-
-    sent = docs.select("doc_id", "text").mapInArrow(send, "bucket long, sigs binary, classes binary, n long, sketch binary")
-    return sent.groupBy("bucket").applyInArrow(meet, _KEYS)
-
-
-def _one_of_equal_keys(keys: DataFrame) -> DataFrame:
-    """Of keys that the very same classes share, as copies and passages have many, one; keys of a single class go.
-
-    Sets of classes are told apart by their number and two hashes of 64 bits.
-    """
-    members = [F.bit_xor(F.xxhash64("cls", F.lit(i))).alias(f"h{i}") for i in range(2)]
-    distinct = keys.distinct()
-    groups = distinct.groupBy("sig").agg(F.count("*").alias("m"), *members).where("m > 1")
-    kept = groups.groupBy("m", "h0", "h1").agg(F.min("sig").alias("sig")).select("sig")
-    return distinct.join(kept.hint("merge"), "sig", "left_semi")
-
-
-def _star_pairs(keys: DataFrame, salt: int) -> DataFrame:
-    """Pairs of the classes of each key with its hub; a group of keys with the same classes has a few hubs in all."""
-    hub = F.min(F.struct(F.xxhash64("cls", F.pmod("sig", F.lit(HUBS)), F.lit(salt)).alias("draw"), "cls"))["cls"]
-    hubs = keys.groupBy("sig").agg(hub.alias("hub"))
-    joined = keys.join(hubs.hint("merge"), "sig").where("cls <> hub")
-    return joined.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
+                sets.setdefault(class_of(tokens), tokens)
+                held += len(tokens)
+                if len(sets) == _PART_ROWS or held > _PART_TOKENS:
+                    yield from rows_of(part, sets)
+                    part, sets, held = part + 1, {}, 0
+        if sets:
+            yield from rows_of(part, sets)
+
+    return docs.select("doc_id", "text").mapInArrow(send, _SENT)
+
+
+def _shared_tokens(sent: DataFrame) -> DataFrame:
+    """The answers: per part and bucket the tokens that several sets have, and how many sets have each (``counts``)."""
+    schema = pa.schema([("part", pa.int64()), ("tokens", pa.binary()), ("own", pa.binary()), ("counts", pa.binary())])
+
+    def meet(rows: pa.Table) -> pa.Table:
+        parts = rows.column("part").to_pylist()
+        tokens = [unpack(x) for x in rows.column("tokens").to_pylist()]
+        counts = np.concatenate([np.frombuffer(x, "<u2") for x in rows.column("counts").to_pylist()]).astype(np.int64)
+        own = [np.frombuffer(x, "<u2") for x in rows.column("own").to_pylist()]
+        whole = np.concatenate(tokens)
+        order = np.argsort(whole, kind="stable")
+        first = np.concatenate([[True], whole[order][1:] != whole[order][:-1]])
+        sums = np.add.reduceat(counts[order], np.flatnonzero(first))
+        total = np.empty(len(whole), np.int64)
+        total[order] = sums[np.cumsum(first) - 1]
+        out, at = [], 0
+        for part, t, o in zip(parts, tokens, own):
+            n = total[at : at + len(t)]
+            at += len(t)
+            some = n > 1
+            if some.any():
+                out.append((part, pack(t[some]), o[some].tobytes(), n[some].astype("<i8").tobytes()))
+        return pa.Table.from_batches([batch(schema, *map(list, zip(*out)))] if out else [], schema=schema)
+
+    dealt = sent.where("bucket is not null").select("bucket", "part", "tokens", "own", "counts")
+    return dealt.groupBy("bucket").applyInArrow(meet, "part long, tokens binary, own binary, counts binary")
+
+
+_KEYS = "sig long, cls long, n long, shared long, smaller boolean, sketch binary"
+
+
+def _keys(sent: DataFrame, threshold: Threshold, rare: int) -> DataFrame:
+    """Keys of all classes that can link; rows without sig carry their n and sketch."""
+    schema = pa.schema([
+        ("sig", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("smaller", pa.bool_()), ("sketch", pa.binary()),
+    ])
+
+    def assemble(rows: pa.Table) -> pa.Table:
+        own_rows = rows.column("classes").is_valid().to_pylist()
+        own = rows.slice(own_rows.index(True), 1).to_pylist()[0]
+        answers = rows.filter(pa.array([not x for x in own_rows]))
+        classes, sizes = np.frombuffer(own["classes"], "<i8"), np.frombuffer(own["sizes"], "<i8")
+        of, tokens, sets = [np.empty(0, np.int64)], [_NONE], [np.empty(0, np.int64)]
+        several, times = unpack(own["tokens"]), np.frombuffer(own["counts"], "<u2").astype(np.int64)
+        lists, begin = np.frombuffer(own["own"], "<u2").astype(np.int64), np.cumsum(times) - times
+        for t, o, n in zip(*(answers.column(c).to_pylist() for c in ("tokens", "own", "counts"))):
+            t, o, n = unpack(t), np.frombuffer(o, "<u2").astype(np.int64), np.frombuffer(n, "<i8")
+            one = o != _SEVERAL
+            of.append(o[one])
+            tokens.append(t[one])
+            sets.append(n[one])
+            at = np.searchsorted(several, t[~one])
+            many = times[at]
+            place = np.repeat(begin[at] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+            of.append(lists[place])
+            tokens.append(np.repeat(t[~one], many))
+            sets.append(np.repeat(n[~one], many))
+        of, tokens, sets = (np.concatenate(x) for x in (of, tokens, sets))
+        order = np.lexsort((tokens, sets, of))
+        of, tokens, sets = of[order], tokens[order], sets[order]
+        edges = np.searchsorted(of, np.arange(len(classes) + 1)).tolist()
+        out = []
+        for i, (a, b, n) in enumerate(zip(edges, edges[1:], sizes.tolist())):
+            sig, smaller = keys_of(tokens[a:b], sets[a:b], n, threshold, rare)
+            m = len(sig)
+            if m:
+                cls = int(classes[i])
+                out.append(batch(schema, sig.view(np.int64), [cls] * m, [n] * m, [b - a] * m, smaller, [None] * m))
+                out.append(batch(schema, [None], [cls], [n], [b - a], [None], [own["sketches"][i]]))
+        return pa.Table.from_batches(out, schema=schema).combine_chunks()
+
+    blank = [F.lit(None).cast(t).alias(c) for c, t in (("classes", "binary"), ("sizes", "binary"), ("sketches", "array<binary>"))]
+    answers = _shared_tokens(sent).select("part", "tokens", "own", "counts", *blank)
+    both = sent.where("bucket is null").drop("bucket").unionByName(answers)
+    return both.groupBy("part").applyInArrow(assemble, _KEYS)
+
+
+def _possible(threshold: Threshold) -> Column:
+    """Whether the sets of a joined row can link, a as the smaller: by their sizes and what each shares with any set."""
+    near = (F.col("na") <= F.col("nb")) & (F.col("nb") * threshold.num <= F.col("na") * threshold.den)
+    most = F.least("sa", "sb") * (threshold.num + threshold.den)
+    return near & (most >= (F.col("na") + F.col("nb")) * threshold.num) & (F.col("a") != F.col("b"))
+
+
+def _side(keys: DataFrame, side: str) -> DataFrame:
+    """sig, class, size and shared tokens, and the label if there is one, named for one side of a pair."""
+    names = {"cls": side, "n": f"n{side}", "shared": f"s{side}", "label": f"label_{side}"}
+    return keys.select("sig", *[F.col(c).alias(n) for c, n in names.items() if c in keys.columns])
+
+
+def _met(smaller: DataFrame, larger: DataFrame, condition: Column) -> DataFrame:
+    """Different pairs of classes that share a key and meet the condition."""
+    joined = _side(smaller, "a").join(_side(larger, "b").hint("merge"), "sig").where(condition)
+    return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _star_pairs(keys: DataFrame, threshold: Threshold) -> DataFrame:
+    """Possible pairs of the classes of each key with the smallest class that has it as a smaller one."""
+    smaller = keys.where("smaller")
+    hubs = smaller.groupBy("sig").agg(F.min_by("cls", "n").alias("cls"))
+    return _met(smaller.join(hubs.hint("merge"), ["sig", "cls"]), keys, _possible(threshold))
 
 
 def _thinned(pairs: DataFrame, sketches: DataFrame, threshold: Threshold) -> DataFrame:
@@ -349,57 +410,56 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     return _judged(docs, **options).drop("digest", "root")
 
 
-def _judged(docs: DataFrame, threshold: Threshold | None = None, local: int = LOCAL, heavy: int = HEAVY) -> DataFrame:
+def _judged(docs: DataFrame, threshold: Threshold | None = None, rare: int = RARE) -> DataFrame:
     """doc_id, digest of the text, n_shingles, component_id and root, the least class of the component, of every row."""
     threshold = threshold or Threshold()
     ws = Workspace(docs.sparkSession)
-    read = ws.write(_classes(docs, local))
-    rows = read.where("n >= 0").select("doc_id", "digest", "n", "cls")
-    frequent = _heavy_tokens(read.where("n = -1"), heavy)
-    total = rows.agg(F.sum("n").alias("n")).first().n or 0
+    rows = ws.write(_classes(docs))
     named = rows.where("cls is not null and doc_id is not null")
-    firsts = ws.write(named.groupBy("cls").agg(F.min("doc_id").alias("first")))
-    # A row without an id brings no class of its own to the comparison.
-    keys = ws.write(_keys(docs.where("doc_id is not null"), frequent, threshold, parts_for(total, 1_000_000)))
-    sigs = ws.write(_one_of_equal_keys(keys.where("sig is not null").select("sig", "cls")))
-    sketches = keys.where("sig is null").select("cls", "n", "sketch").dropDuplicates(["cls"])
-    sketches = ws.write(sketches)
-
-    tried = links = labels = None
-    size = sigs.count()
-    for salt in range(_ROUNDS + 1):
-        if labels is None:
-            pairs = _star_pairs(sigs, salt)
-        else:
-            # Keys whose classes are not all connected yet.
-            named = sigs.join(labels.select(F.col("node").alias("cls"), "root").hint("merge"), "cls", "left")
-            named = named.select("sig", "cls", F.coalesce("root", "cls").alias("label"))
-            open_ = named.groupBy("sig").agg(
-                F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").cast("double").alias("m")
-            )
-            open_ = ws.write(open_.where("low <> high"))
-            rest = ws.write(named.join(open_.select("sig").hint("merge"), "sig").distinct())
-            work = open_.agg(F.sum(F.col("m") * F.col("m"))).first()[0] or 0
-            ws.drop(open_)
-            last = salt == _ROUNDS or work <= 64 * size
-            if last:  # all pairs that share a key and are not connected
-                other = rest.select("sig", F.col("cls").alias("b"), F.col("label").alias("label_b"))
-                met = rest.select("sig", F.col("cls").alias("a"), "label").join(other.hint("merge"), "sig")
-                pairs = met.where("a < b and label <> label_b").select("a", "b").distinct()
-            else:
-                pairs = _star_pairs(rest.select("sig", "cls"), salt)
-            pairs = pairs.join(tried.hint("merge"), ["a", "b"], "left_anti")
-        pairs = ws.write(pairs)
-        tried = pairs if tried is None else tried.union(pairs)
+    firsts = ws.write(named.groupBy("cls").agg(F.min("doc_id").alias("first"), F.min("n").alias("n")))
+    # Of equal sets one takes part, and a row without an id brings none of its own to the comparison.
+    others = ws.write(named.select("doc_id").distinct().join(firsts.hint("merge"), F.col("doc_id") == F.col("first"), "left_anti"))
+    total = firsts.agg(F.sum("n").alias("n")).first().n or 0
+    taking_part = docs.where("doc_id is not null").select("doc_id", "text").join(_small(others), "doc_id", "left_anti")
+    sent = ws.write(_sent(taking_part, parts_for(total, _BUCKET_TOKENS)))
+    keys = ws.write(_keys(sent, threshold, rare))
+    ws.drop(sent, others)
+    sigs = keys.where("sig is not null").drop("sketch").distinct()
+    met = sigs.groupBy("sig").agg(F.count("*").alias("m")).where("m > 1").select("sig")
+    sigs = ws.write(sigs.join(met.hint("merge"), "sig", "left_semi"))
+    sketches = ws.write(keys.where("sig is null").select("cls", "n", "sketch").dropDuplicates(["cls"]))
+    ws.drop(keys)
+
+    def compared(pairs: DataFrame) -> DataFrame:
         thin = ws.write(_thinned(pairs, sketches, threshold))
-        found = _links(ws, thin, docs, firsts, threshold)
+        found = pairs.limit(0) if thin.isEmpty() else _links(ws, thin, docs, firsts, threshold)
         ws.drop(thin)
-        if labels is not None:
-            ws.drop(rest)
-        links = found if links is None else links.union(found)
-        labels = components(ws, links)
-        if salt and last:
+        return found
+
+    def open_keys(labels: DataFrame) -> DataFrame:
+        """Keys whose classes are not all connected yet, with the labels of their classes."""
+        joined = sigs.join(labels.select(F.col("node").alias("cls"), "root").hint("merge"), "cls", "left")
+        joined = joined.withColumn("label", F.coalesce("root", "cls")).drop("root")
+        apart = joined.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        return ws.write(joined.join(apart.select("sig").hint("merge"), "sig", "left_semi"))
+
+    tried = ws.write(_star_pairs(sigs.where(F.pmod(F.xxhash64("sig"), F.lit(_SOME_KEYS)) == 0), threshold))
+    links = compared(tried)
+    labels = components(ws, links)
+    for step in ("smallest", "all"):
+        rest = open_keys(labels)
+        if rest.isEmpty():
             break
+        if step == "smallest":
+            pairs = _star_pairs(rest.drop("label"), threshold)
+        else:
+            pairs = _met(rest.where("smaller"), rest, _possible(threshold) & (F.col("label_a") != F.col("label_b")))
+        pairs = ws.write(pairs.join(tried.hint("merge"), ["a", "b"], "left_anti"))
+        ws.drop(rest)
+        found = compared(pairs)
+        tried, links = tried.union(pairs), links.union(found)
+        if not found.isEmpty():
+            labels = components(ws, links)
 
     roots = firsts.join(labels.select(F.col("node").alias("cls"), "root").hint("merge"), "cls", "left")
     roots = roots.withColumn("root", F.coalesce("root", "cls"))

@@ -97,9 +97,11 @@ def expected_single(spark, rows):
     return sorted(kept + [(d, t) for d, _, t in first.values()], key=str)
 
 
-@pytest.mark.parametrize("local,heavy", [(4, 65_536), (2, 50), (1, 65_536)])
-def test_components_are_those_of_all_pairs(docs, rows, local, heavy):
-    found = near.near_duplicates(docs, local=local, heavy=heavy).collect()
+@pytest.mark.parametrize("rare,part", [(64, 2000), (3, 5), (1, 13)])
+def test_components_are_those_of_all_pairs(docs, rows, rare, part, monkeypatch):
+    """Few rare tokens make pairs of frequent ones the keys; in small parts most tokens are counted across parts."""
+    monkeypatch.setattr(near, "_PART_ROWS", part)
+    found = near.near_duplicates(docs, rare=rare).collect()
     assert sorted((tuple(r) for r in found), key=str) == expected_components(rows)
 
 
@@ -131,6 +133,17 @@ def test_no_documents(empty):
     assert near.keep_one(empty).collect() == []
 
 
+def test_a_passage_in_many_unlike_documents_links_none_of_them(spark):
+    """Nearly three quarters of each text are the same passage, and still they are not alike enough, but for a few."""
+    passage = " ".join(f"shared{j}" for j in range(80))
+    rows = [(i, passage + " " + " ".join(f"own{i}x{j}" for j in range(30 + i % 3))) for i in range(150)]
+    rows += [(200 + i, " ".join(f"base{j}" for j in range(90)) + f" tail{i}") for i in range(150)]
+    rows += [(400 + i, passage + f" end{i}") for i in range(20)] + [(500, passage), (501, passage + " " + " ".join(f"u{j}" for j in range(12)))]
+    found = near.near_duplicates(table(spark, rows)).collect()
+    assert sorted(tuple(r) for r in found) == sorted(expected_components(rows))
+    assert len({r.component_id for r in found}) == 152
+
+
 TOKENS = st.sets(st.integers(0, 60), min_size=1, max_size=40)
 
 
@@ -141,15 +154,19 @@ def test_linked_sets_share_a_key_whatever_tokens_are_frequent(x, change, data):
     limit = near.Threshold()
     if not y or x == y or not limit.linked(len(x & y), len(x), len(y)):
         return
-    ranks = {t: data.draw(st.sampled_from([0, 1 + t])) for t in x | y}
+    # How many sets have a token: one if only this one has it, any number from two if other sets may.
+    sets = {t: data.draw(st.integers(2, 5)) if t in x & y else data.draw(st.integers(1, 5)) for t in x | y}
     keys = []
-    for s in (x, y):
+    for s in sorted((x, y), key=len):
         tokens = near.mix(np.array(sorted(s), np.uint64))
-        order = np.argsort(tokens)
-        own = np.array([ranks[t] for t in sorted(s)])[order]
-        single, pairs = near.keys_of(tokens[order], own, limit)
-        keys.append({("one", int(k)) for k in single} | {("two", int(k)) for k in pairs})
-    assert keys[0] & keys[1]
+        count = np.array([sets[t] for t in sorted(s)])
+        order = np.lexsort((tokens, count))
+        order = order[count[order] > 1]
+        found, smaller = near.keys_of(tokens[order], count[order], len(s), limit, 3)
+        keys.append((set(found[smaller].tolist()), set(found.tolist())))
+    assert keys[0][0] & keys[1][1]
+    if len(x) == len(y):
+        assert keys[1][0] & keys[0][1]
 
 
 @given(st.sets(st.integers(0, 2**64 - 1), max_size=300), st.sets(st.integers(0, 2**64 - 1), max_size=20))
