@@ -1,8 +1,10 @@
 """Toxicity by a support vector machine over a subsequence string kernel with Nyström landmarks.
 
 Two words are alike as far as they share subsequences of three characters, each weighed down by the stretch it covers in
-both, so that gaps, inserted characters and other endings lower the likeness without removing it. Runs of single
-characters are read as one word, and a word with marks inside is also read without them. The kernel of two sentences adds up a power of the kernels of all pairs of their words.
+both, so that gaps, inserted characters and other endings lower the likeness without removing it. A second kernel counts the
+subsequence that is the whole landmark, weighed down by each of up to ``INSERTED`` characters between its own: it sees an insult
+through inserted letters that break up all short subsequences. Runs of single characters are read as one word, and a word
+with marks inside is also read without them. The kernel of two sentences adds up a power of the kernels of all pairs of their words.
 Landmarks are words and stems that the labels point to; projected onto them, a sentence is a short vector, a sum over its
 words, and the machine's margin a sum of one number per word. Each worker works that number
 out once per new word. Sentences take their document's label at first; sentences of toxic documents that the machine
@@ -10,8 +12,10 @@ finds clean are then relabelled, but for the worst of each, and it is fitted aga
 sentence's margin, and what the other sentences add, through a logistic function fitted to the training documents.
 
 It learns from at most ``most`` labelled documents (a bound that does not grow), on the driver; every document is
-scored where it lies. Defined cases: a null or empty text has no sentence and scores as a clea sentence of no words. A
-null doc_id is never learnt from and its held_out is null. Repeated rows are scored each. If no label or only one kind
+scored where it lies. A word of more than ``STRETCH`` characters is read in stretches of that length that overlap by half,
+and is as like a landmark as the stretch that is most like it, so that time and memory grow with its length alone.
+
+Defined cases: a null or empty text has no sentence and scores as a clean sentence of no words. A null doc_id is never learnt from and its held_out is null. Repeated rows are scored each. If no label or only one kind
 is known, every score is the share of label 1 (0.5 without labels).
 """
 
@@ -38,6 +42,9 @@ ORDER = 3
 DECAY = 0.6
 POWER = 4
 LEAST = 0.6
+INSERTED = 2
+INSERT_DECAY = 0.9
+STRETCH = 64
 LANDMARKS = 32
 START = "^"
 _STEMS = (5, 6, 7, 8)
@@ -177,14 +184,57 @@ def without_marks(word: str) -> str:
     return word[:1] + "".join(c for c in word[1:] if unicodedata.category(c)[0] not in "PSC")
 
 
+def inserted_likeness(words: list[str], landmarks: list[str]) -> np.ndarray:
+    """The kernel of each whole landmark: ``INSERT_DECAY`` to the power of the characters inserted into it, if few.
+
+    A word holds the landmark from its first character on; taking each character as early as possible ends earliest.
+    """
+    out = np.zeros((len(words), len(landmarks)), np.float32)
+    for k in range(0, len(words), _BLOCK):
+        part = words[k : k + _BLOCK]
+        for j, z in enumerate(landmarks):
+            block = codes([w[: len(z) + INSERTED] for w in part], -1)
+            place = np.arange(block.shape[1])
+            at = np.full(len(part), -1)
+            rows = np.arange(len(part))
+            for c in z:  # only words that hold the landmark so far go on
+                match = (block[rows] == ord(c)) & (place > at[rows, None])
+                rows, match = rows[match.any(1)], match[match.any(1)]
+                at[rows] = match.argmax(1)
+            inserted = at[rows] + 1 - len(z)
+            out[k + rows, j] = np.power(INSERT_DECAY, inserted)
+    return out**POWER
+
+
+def _whole_likeness(words: list[str], landmarks: list[str], own: np.ndarray) -> np.ndarray:
+    """Likeness by either kernel, of words no longer than a stretch."""
+    return np.maximum(likeness(words, landmarks, own), inserted_likeness(words, landmarks))
+
+
+def stretches(word: str) -> list[str]:
+    """The word, or if it is long its stretches, each beginning half a stretch behind the one before."""
+    if len(word) <= STRETCH:
+        return [word]
+    return [word[i : i + STRETCH] for i in range(0, len(word) - STRETCH // 2, STRETCH // 2)]
+
+
 def word_likeness(words: list[str], landmarks: list[str], own: np.ndarray) -> np.ndarray:
-    """``likeness`` of each word or of its reading without inner marks, whichever is more like the landmark."""
-    like = likeness(words, landmarks, own)
-    second = [without_marks(w) for w in words]
-    marked = [i for i, w in enumerate(words) if second[i] != w]
-    if marked:
-        like[marked] = np.maximum(like[marked], likeness([second[i] for i in marked], landmarks, own))
-    return like
+    """Likeness of each word, read as it is and without inner marks, at its stretch that is most like the landmark."""
+    out = np.zeros((len(words), len(landmarks)), np.float32)
+    readings: list[str] = []
+    of: list[int] = []
+    for i, w in enumerate(words):
+        plain = without_marks(w)
+        for reading in (w,) if plain == w else (w, plain):
+            for part in stretches(reading):
+                readings.append(part)
+                of.append(i)
+                if len(readings) == 1 << 15:  # one word may have any number of stretches
+                    np.maximum.at(out, of, _whole_likeness(readings, landmarks, own))
+                    readings, of = [], []
+    if readings:
+        np.maximum.at(out, of, _whole_likeness(readings, landmarks, own))
+    return out
 
 
 @cache
@@ -274,7 +324,11 @@ class Scorer:
             self.known.update(zip(part, self.machine.values(part).tolist()))
         value, bias = self.known.__getitem__, self.machine.bias
         margins = ([sum(map(value, s)) + bias for s in doc] for doc in split)
-        return [self.machine.score(*worst_margins(m, bias)) for m in margins]
+        out = [self.machine.score(*worst_margins(m, bias)) for m in margins]
+        for w in fresh:
+            if len(w) > STRETCH:  # what is remembered is bounded in length as well
+                del self.known[w]
+        return out
 
 
 def choose_landmarks(docs: list[set[str]], labels: np.ndarray, most: int = LANDMARKS) -> list[str]:
@@ -341,11 +395,11 @@ def support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: flo
 def logistic_plane(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Slopes (never below 0) and shift of a logistic regression, lightly held back so that it stays finite.
 
-    The rarer label weighs more, by the square root of how much rarer it is.
+    Both labels weigh the same in all, however rare one of them is.
     """
     z = np.hstack([x, np.ones((len(x), 1))])
     share = y.mean()
-    weight = np.where(y > 0, np.sqrt((1 - share) / share), 1.0)
+    weight = np.where(y > 0, (1 - share) / share, 1.0)
     held = np.array([1e-2] * x.shape[1] + [1e-4])
     w = np.zeros(z.shape[1])
     for _ in range(100):

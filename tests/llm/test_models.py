@@ -1,5 +1,6 @@
 """The two classifiers: their arithmetic, their held-out accuracy, and the defined cases."""
 
+import time
 import zlib
 from itertools import combinations
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from churnkit.llm import quality_model, toxicity
 from churnkit.llm.common import read_table
+from churnkit.llm.training import labelled_sample
 from tests.llm.samples import some_rows, table
 from tests.oracle import DATA
 
@@ -137,6 +139,57 @@ def test_two_and_more_inserted_marks_are_tolerated(word, gapped):
     assert read == pytest.approx(1, abs=1e-3)
 
 
+@pytest.mark.parametrize("word", ["idxiot", "idxixot", "ixdixot"])
+def test_inserted_letters_are_tolerated(word):
+    z = ["^idiot", "^moron"]
+    own = toxicity.self_kernel(z)
+    like, other = toxicity.word_likeness(["^" + word], z, own)[0]
+    assert like >= (toxicity.INSERT_DECAY ** (len(word) - 5)) ** toxicity.POWER - 1e-6 and other == 0
+    assert not toxicity.inserted_likeness(["^ixxxdiot", "^idio", "^handle", "^"], z).any()
+
+
+@settings(deadline=None)
+@given(WORD, st.text(alphabet="abcd", min_size=3, max_size=5))
+def test_the_whole_landmark_is_found_through_few_inserted_characters(word, z):
+    found = toxicity.inserted_likeness([word], [z])[0, 0]
+    ways = [at for n in [len(z)] for at in combinations(range(len(word)), n) if "".join(word[i] for i in at) == z]
+    inserted = min((at[-1] + 1 - len(z) for at in ways), default=99)
+    wanted = (toxicity.INSERT_DECAY**inserted) ** toxicity.POWER if inserted <= toxicity.INSERTED else 0
+    assert found == pytest.approx(wanted, abs=1e-5)
+
+
+def test_very_long_words_take_time_by_their_length_alone():
+    z = ["^idiot"]
+    own = toxicity.self_kernel(z)
+    words = ["^" + "x" * 1_000_000, "^idiot" + "y" * 200_000, "^" + "ab" * 5000] + [f"^short{i}" for i in range(3000)]
+    began = time.perf_counter()
+    like = toxicity.word_likeness(words, z, own)[:, 0]
+    assert time.perf_counter() - began < 30
+    assert like[0] == 0 and like[1] == pytest.approx(1, abs=1e-3) and not like[2:].any()
+    parts = toxicity.stretches(words[2])
+    assert set(map(len, parts[:-1])) == {toxicity.STRETCH} and len(parts) < 2 * len(words[2]) / toxicity.STRETCH + 2
+    assert all(a[toxicity.STRETCH // 2 :] == b[: toxicity.STRETCH // 2] for a, b in zip(parts, parts[1:-1]))
+    assert words[2].endswith(parts[-1])
+
+
+def test_held_out_recall_at_the_contracts_threshold(spark):
+    labels = read_table(spark, SF, "labels")
+    known = {r.doc_id: r.toxic for r in labels.collect()}
+    found = [r for r in toxicity.score_toxicity(read_table(spark, SF, "documents"), labels).collect() if r.held_out]
+    toxic, clean = ([r.score >= 0.7 for r in found if known.get(r.doc_id) == y] for y in (1, 0))
+    assert sum(toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.03 * len(clean)
+
+
+def test_a_sample_is_bounded_in_rows_and_in_length(spark):
+    rows = [(i % 5, f"text {i % 7}") for i in range(3000)] + [(9, "x" * 300), (10, None), (11, "one")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)] + [(11, 0)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = labelled_sample(docs, labels, "toxic", F.lit(True), 6, 200).collect()
+    assert len(found) == 6 and len({(r.doc_id, r.text) for r in found}) == 6
+    whole = labelled_sample(docs, labels, "toxic", F.lit(True), 1000, 200).collect()
+    assert len(whole) == 36 and {(r.doc_id, r.label) for r in whole} == {(i, i % 2) for i in (0, 1, 2, 3, 4, 10)}
+
+
 def test_gapped_insults_score_above_clean_words():
     insults, plain = ["idiot", "moron", "stupid"], "the table stands near a window of this old house".split()
     texts = [f"you are such {'an' if i % 2 else 'a'} {insults[i % 3]} today" if i < 60 else " ".join(plain[i % 5 : i % 5 + 6]) for i in range(120)]
