@@ -27,9 +27,9 @@ def parts_for(size: int, each: int) -> int:
     return max(1, -(-size // each))
 
 
-def chunk_of(key: Column, chunks: int) -> Column:
-    """A document's chunk: a function of its id alone, so that every pass and every retry forms the same chunks."""
-    return F.coalesce(F.pmod(F.xxhash64(key), F.lit(chunks)), F.lit(0)).cast("long")
+def chunk_of(chunks: int, *key: str) -> Column:
+    """A row's chunk: a function of these columns alone, so that every pass and every retry forms the same chunks."""
+    return F.pmod(F.xxhash64(*key), F.lit(chunks)).cast("long")
 
 
 def by_text(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[slice]:

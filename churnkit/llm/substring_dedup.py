@@ -3,10 +3,11 @@
 Every document is cut into blocks of ``BLOCK`` words that do not overlap; these are the reference blocks. Every rolling
 window of as many words probes them. A passage of 2 * BLOCK - 1 = 13 words holds a whole block of its reference wherever
 it begins, so no repeated window of ``WINDOW`` words is missed. A hash that is a reference block of one document and a
-window of another is an anchor. Windows of 13 words around anchors are compared exactly, by the smallest doc_id
+window of another is an anchor. Windows of 13 words around anchors are compared by hashes of 63 bits, by the smallest doc_id
 that has them, and neighbouring ones extend to maximal repeats.
 
-Documents are handled in chunks of about ``chunk_bytes`` of text, formed from a hash of their id. A chunk sends every
+Documents are handled in chunks of about ``chunk_bytes`` of text, formed from a hash of their id and text, so that rows
+without an id or with the same one are spread. A chunk sends every
 hash once, whatever number of its documents repeat it, ascending and packed, so that a window that a third of all documents
 hold costs one number per chunk; what comes back to a chunk are its own anchors, then its own repeated windows. Hashes
 have 16 bits more than it takes to number the words of the input, and full length where windows are compared.
@@ -184,7 +185,7 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = 8 << 20, bucket_bytes: in
     size = text_bytes(docs)
     chunks, buckets = parts_for(size, chunk_bytes), parts_for(size, bucket_bytes)
     bits = min(62, max(1, size // 2).bit_length() + 16)
-    keyed = docs.select(chunk_of(F.col("doc_id"), chunks).alias("chunk"), "doc_id", "text")
+    keyed = docs.select(chunk_of(chunks, "doc_id", "text").alias("chunk"), "doc_id", "text")
     anchors = ws.write(_anchors(keyed, chunks, buckets, bits))
     repeats = ws.write(_repeats(keyed, anchors, buckets, bits))
     ws.drop(anchors)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 
 _U = np.uint64
 _BLOCK = 1 << 19
+_LONG = 256
 
 # Space and U+0009 to U+000D end a word.
 _SPACE = np.zeros(256, bool)
@@ -62,7 +64,10 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
     def hashes(self) -> np.ndarray:
-        """One number per word: a polynomial of its bytes, from running sums, mixed with its length."""
+        """One number per word: a polynomial of its bytes, from running sums, mixed with its length.
+
+        Of long words, for which different ones are known that agree in any such polynomial, a cryptographic hash.
+        """
         if not len(self.start):
             return np.empty(0, _U)
         out = np.empty(len(self.start), _U)
@@ -78,6 +83,9 @@ class Words:
                 s, e = self.start[lo:hi] - a, self.end[lo:hi] - a
                 out[lo:hi] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(_U))
             lo = hi
+        for i in np.flatnonzero(self.end - self.start > _LONG).tolist():
+            word = self.data[self.start[i] : self.end[i]].tobytes()
+            out[i] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
         return out
 
     def windows(self, k: int, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:

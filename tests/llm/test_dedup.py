@@ -251,6 +251,16 @@ def test_repeated_passages_stay_in_the_first_document(docs, rows, chunk, bucket)
         assert all(a.end < b.start for a, b in zip(r.spans, r.spans[1:]))
 
 
+def test_long_words_and_rows_without_ids_in_many_chunks(spark):
+    def morse(i, first, second):
+        return "".join((first, second)[bin(k).count("1") & 1] for k in range(1024 + i))
+
+    rows = [(1, " ".join(morse(i, "a", "b") for i in range(13))), (2, " ".join(morse(i, "b", "a") for i in range(13)))]
+    rows += [(None, PASSAGE)] * 40 + [(7, PASSAGE), (8, PASSAGE), (8, "more " + PASSAGE), (8, PASSAGE)]
+    found = remove_repeats(table(spark, rows), 500, 3000).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.text) for r in found), key=str) == expected_passages(rows)
+
+
 def test_no_passages(empty):
     assert remove_repeats(empty).collect() == []
 

@@ -64,3 +64,14 @@ def test_slices_cover_a_batch_once(limit):
 
     b = pa.record_batch({"text": ["aaa", None, "", "b" * 50, "cc"]})
     assert [i for s in by_text(b, "text", limit) for i in range(s.start, s.stop)] == list(range(5))
+
+
+def thue_morse(n, first, second):
+    return "".join((first, second)[bin(i).count("1") & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [257, 1024, 2048, 4096])
+def test_long_words_that_agree_in_polynomials_are_told_apart(size):
+    words = [thue_morse(size, "a", "b"), thue_morse(size, "b", "a"), thue_morse(size, "a", "b")]
+    a, b, c = split_words([" ".join(words).encode()]).hashes().tolist()
+    assert a != b and a == c
