@@ -380,6 +380,40 @@ def target_association(spark, sf_dir):
     return _rounded(found, "strength")
 
 
+def _associations_sql(source: str, numbers: list[str], categories: list[str]) -> str:
+    parts = [
+        f"select '{a}' as feature, '{b}' as other, 'correlation' as measure, round(corr({a}, {b}), 6) as strength from {source}"
+        for i, a in enumerate(numbers)
+        for b in numbers[i + 1 :]
+    ]
+    parts += [
+        f"""select '{x}', '{g}', 'correlation_ratio', round(sqrt(sum(n * (m - a) * (m - a)) / sum(s)), 6)
+            from (select count({x}) as n, avg({x}) as m, sum(({x} - a) * ({x} - a)) as s, any_value(a) as a
+                  from {source}, (select avg({x}) as a from {source}) group by {g})"""
+        for x in numbers
+        for g in categories
+    ]
+    parts += [
+        f"""select '{a}', '{b}', 'cramers_v', round(sqrt((sum(n * n / (n_a * n_b)) - 1)
+              / (least(count(distinct a), count(distinct b)) - 1)), 6)
+            from (select a, b, n, sum(n) over (partition by a) as n_a, sum(n) over (partition by b) as n_b
+                  from (select {a} as a, {b} as b, count(*)::double as n from {source} group by all))"""
+        for i, a in enumerate(categories)
+        for b in categories[i + 1 :]
+    ]
+    return " union all ".join(parts)
+
+
+@query(
+    _associations_sql("cleaned", ["SeniorCitizen", "Tenure", "MonthlyCharges", "TotalCharges"], ["Segment", "Contract", "Churn"]),
+    _CUSTOMERS,
+)
+def feature_associations(spark, sf_dir):
+    """How strongly any two columns of the customers go together."""
+    found = explore.associations(_cleaned(spark, sf_dir), CUSTOMERS.numeric, [*CUSTOMERS.categorical, CUSTOMERS.label])
+    return _rounded(found, "strength")
+
+
 @query(_association_sql("lines", list(RETURNS.numeric), list(RETURNS.categorical)), _LINES)
 def returns_association(spark, sf_dir):
     df = line_returns(spark, sf_dir)

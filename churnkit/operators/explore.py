@@ -132,3 +132,94 @@ def target_association(df: DataFrame, numeric: Sequence[str], categorical: Seque
     found = F.array(row(F.try_element_at(names, F.col("at") + 1), "cramers_v", v))
     of_row = F.when(F.col("at") >= 0, found)
     return sums.select(F.inline(of_row.otherwise(F.array(*correlations)) if correlations else of_row))
+
+
+def associations(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """(feature, other, measure, strength) for all pairs of columns, in three scans.
+
+    Two numbers: Pearson's correlation, from one aggregate of all second moments. A number and a category: the correlation
+    ratio, the square root of the part of the number's variance that lies between the category's values. Two categories: Cramér's
+    V, from the contingency counts of all pairs. Rows where either of a pair is null are left out of it. Null if one is constant.
+    Every pair's values are summed inside each task before the shuffle; what is shuffled is a row per task and value, or pair
+    of values, never one of the data.
+    """
+    return _correlations(df, numeric).unionByName(_ratios(df, numeric, categorical)).unionByName(_cramers(df, categorical))
+
+
+def _pair(feature: str, other: str, measure: str, strength: Column) -> Column:
+    return F.struct(
+        F.lit(feature).alias("feature"), F.lit(other).alias("other"), F.lit(measure).alias("measure"), strength.cast("double").alias("strength")
+    )
+
+
+def _none(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], "feature string, other string, measure string, strength double")
+
+
+def _correlations(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
+    pairs = [(a, b) for i, a in enumerate(numeric) for b in numeric[i + 1 :]]
+    if not pairs:
+        return _none(df)
+
+    def moment(a: str, b: str) -> Column:
+        x, y = named(a).cast("double"), named(b).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        x, y = F.when(both, x), F.when(both, y)
+        strength = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+        return F.when((F.min(x) < F.max(x)) & (F.min(y) < F.max(y)), strength)
+
+    found = df.agg(*[moment(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    return found.select(F.inline(F.array(*[_pair(a, b, "correlation", F.col(f"r{i}")) for i, (a, b) in enumerate(pairs)])))
+
+
+def _ratios(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    if not numeric or not categorical:
+        return _none(df)
+    cells = [F.struct(F.lit(i).alias("at"), named(c).cast("string").alias("value")) for i, c in enumerate(categorical)]
+    numbers = [named(c).cast("double").alias(f"x{i}") for i, c in enumerate(numeric)]
+    rows = df.select(*numbers, F.inline(F.array(*cells))).where("value is not null")
+    sums = []
+    for i, _ in enumerate(numeric):
+        x = F.col(f"x{i}")
+        sums += [F.count(x).cast("double").alias(f"n{i}"), F.avg(x).alias(f"m{i}"), (F.var_pop(x) * F.count(x)).alias(f"v{i}")]
+    values = rows.groupBy("at", "value").agg(*sums)
+    totals = []
+    for i, _ in enumerate(numeric):
+        n, m, v = F.col(f"n{i}"), F.col(f"m{i}"), F.col(f"v{i}")
+        between = F.sum(n * m * m) - F.try_divide(F.sum(n * m) * F.sum(n * m), F.sum(n))
+        ratio = F.try_divide(between, between + F.sum(v))
+        varied = (F.count_if(n > 0) > 1) & ((F.sum(v) > 0) | (F.min(m) < F.max(m)))
+        totals.append(F.when(varied, F.sqrt(F.greatest(ratio, F.lit(0.0)))).alias(f"e{i}"))
+    found = values.groupBy("at").agg(*totals)
+    names = F.array(*[F.lit(c) for c in categorical])
+    cells = [
+        F.struct(
+            F.lit(c).alias("feature"), F.element_at(names, F.col("at") + 1).alias("other"),
+            F.lit("correlation_ratio").alias("measure"), F.col(f"e{i}").alias("strength"),
+        )
+        for i, c in enumerate(numeric)
+    ]
+    return found.select(F.inline(F.array(*cells)))
+
+
+def _cramers(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
+    pairs = [(a, b) for i, a in enumerate(categorical) for b in categorical[i + 1 :]]
+    if not pairs:
+        return _none(df)
+    cells = [
+        F.struct(F.lit(i).alias("at"), named(a).cast("string").alias("a"), named(b).cast("string").alias("b"))
+        for i, (a, b) in enumerate(pairs)
+    ]
+    rows = df.select(F.inline(F.array(*cells))).where("a is not null and b is not null")
+    counts = rows.groupBy("at", "a", "b").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    left = counts.groupBy("at", "a").agg(F.sum("n").alias("n_a"))
+    right = counts.groupBy("at", "b").agg(F.sum("n").alias("n_b"))
+    # chi-squared over N is the sum of n_ab^2 / (n_a n_b), less 1.
+    whole = counts.join(left, ["at", "a"]).join(right, ["at", "b"]).groupBy("at")
+    whole = whole.agg(F.sum(F.col("n") * F.col("n") / (F.col("n_a") * F.col("n_b"))).alias("s"))
+    kinds = left.groupBy("at").agg(F.count(F.lit(1)).alias("k_a")).join(right.groupBy("at").agg(F.count(F.lit(1)).alias("k_b")), "at")
+    least = F.least("k_a", "k_b") - 1
+    v = F.when(least > 0, F.sqrt(F.greatest(F.col("s") - 1, F.lit(0.0)) / least))
+    names = F.array(*[F.struct(F.lit(a).alias("feature"), F.lit(b).alias("other")) for a, b in pairs])
+    found = whole.join(kinds, "at").select(F.element_at(names, F.col("at") + 1).alias("of"), v.alias("strength"))
+    return found.select("of.feature", "of.other", F.lit("cramers_v").alias("measure"), "strength")

@@ -16,6 +16,28 @@ from churnkit.sources.workspace import Workspace, shared_folder  # noqa: F401
 # Nulls are empty cells and empty texts are quoted. The reader needs a text for nulls that no cell has.
 _CSV = {"header": True, "escape": '"'}
 _CSV_NULL = "\x00\x00"
+# What stands for a line break in a cell, and for the mark itself.
+_MARK = "\\"
+_BREAKS = {"\n": _MARK + "n", "\r": _MARK + "r"}
+
+
+def escaped(cell: Column) -> Column:
+    """The text on one line: marks doubled, line breaks spelt out."""
+    for plain, spelt in {_MARK: _MARK * 2, **_BREAKS}.items():
+        cell = F.replace(cell, F.lit(plain), F.lit(spelt))
+    return cell
+
+
+def unescaped(cell: Column) -> Column:
+    """``escaped`` undone. Between doubled marks a single one begins a line break that is spelt out."""
+
+    def with_breaks(part: Column) -> Column:
+        for plain, spelt in _BREAKS.items():
+            part = F.replace(part, F.lit(spelt), F.lit(plain))
+        return part
+
+    parts = F.split(cell, r"\\\\", -1)
+    return F.array_join(F.transform(parts, with_breaks), _MARK)
 
 
 def read_csv(
@@ -23,13 +45,12 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header row. Without a schema the types are inferred, which reads the input once more.
 
-    An empty cell is null, a quoted empty one is an empty text. ``line_breaks`` says that cells may hold some; a file is
-    then read by one task.
+    An empty cell is null, a quoted empty one is an empty text. ``line_breaks`` says that ``write_csv`` has spelt out those in
+    text cells. A row is one line either way, so large files are read by many tasks.
     """
-    reader = spark.read.options(**_CSV, nullValue=_CSV_NULL, emptyValue="", multiLine=line_breaks)
-    if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+    reader = spark.read.options(**_CSV, nullValue=_CSV_NULL, emptyValue="")
+    read = reader.option("inferSchema", True).csv(path) if schema is None else reader.schema(schema).csv(path)
+    return read.withColumns({c: unescaped(named(c)) for c in _text_columns(read)}) if line_breaks else read
 
 
 def rows_table(spark: SparkSession, rows: Sequence[Mapping], schema: T.StructType | str) -> DataFrame:
@@ -38,8 +59,9 @@ def rows_table(spark: SparkSession, rows: Sequence[Mapping], schema: T.StructTyp
 
 
 def _writer(df: DataFrame, files: int | None, mode: str):
-    # Spreading over `files` tasks keeps the work before it parallel; coalesce would pull that in, too.
-    return (df if files is None else df.repartition(files)).write.mode(mode)
+    # Spreading over `files` tasks keeps the work before it parallel; coalesce would pull that in, too. Without a number
+    # files get about ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` each, whatever partitions the plan ends with.
+    return (df.hint("rebalance") if files is None else df.repartition(files)).write.mode(mode)
 
 
 def write_json(df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite") -> None:
@@ -51,15 +73,14 @@ def write_csv(
 ) -> None:
     """CSV with a header row that ``read_csv`` gives back cell for cell. Vector columns are refused.
 
-    A cell with a line break fails the job unless ``line_breaks`` allows them, since a reader that takes each line for a
-    row would not notice.
+    A cell with a line break fails the job unless ``line_breaks`` has them spelt out as ``\\n`` and ``\\r`` (and ``\\`` doubled) in
+    text cells, since a reader that takes each line for a row would not notice.
     """
     vectors = _vector_columns(df)
     if vectors:
         raise ValueError(f"CSV cannot hold vector columns: {', '.join(vectors)}")
-    if not line_breaks:
-        text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-        df = df.withColumns({c: _single_line(c) for c in text})
+    on_one_line = (lambda c: escaped(named(c))) if line_breaks else _single_line
+    df = df.withColumns({c: on_one_line(c) for c in _text_columns(df)})
     _writer(df, files, mode).options(**_CSV, nullValue="", emptyValue='""').csv(
         path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
@@ -83,6 +104,10 @@ def write_parquet(
     _writer(df, files, mode).parquet(path)
 
 
+def _text_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
 def _vector_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, VectorUDT)]
 

@@ -171,6 +171,31 @@ def test_association_agrees_with_brute_force(spark, skewed):
     assert found["word"]["strength"] == pytest.approx(v, rel=1e-9)
 
 
+def test_associations_of_all_columns_agree_with_brute_force(spark, skewed):
+    df = skewed_table(spark, skewed).selectExpr("*", "if(yes = 1, 'y', 'n') as answer", "'one' as fixed", "if(gaps = 3, null, word) as holes")
+    found = {(r.feature, r.other): (r.measure, r.strength) for r in explore.associations(df, ["hot", "spread", "same", "gaps"], ["word", "answer", "fixed", "holes"]).collect()}
+    pdf = skewed.assign(answer=np.where(skewed.yes == 1, "y", "n"), gaps=skewed.gaps.astype(float))
+    pdf["holes"] = pdf.word.where(pdf.gaps != 3, None)
+    assert len(found) == 6 + 16 + 6
+    for a, b in (("hot", "spread"), ("spread", "gaps")):
+        both = pdf[[a, b]].dropna().astype(float)
+        assert found[a, b] == ("correlation", pytest.approx(np.corrcoef(both[a], both[b])[0, 1], rel=1e-7, abs=1e-12))
+    for a, b in (("spread", "word"), ("gaps", "holes"), ("hot", "answer")):
+        both = pdf[[a, b]].dropna()
+        x = both[a].astype(float)
+        mean = x.groupby(both[b]).transform("mean")
+        eta = np.sqrt(((mean - x.mean()) ** 2).sum() / ((x - x.mean()) ** 2).sum())
+        assert found[a, b] == ("correlation_ratio", pytest.approx(eta, rel=1e-4, abs=1e-6))
+    for a, b in (("word", "answer"), ("answer", "holes")):
+        observed = pd.crosstab(pdf[a], pdf[b]).to_numpy().astype(float)
+        expected = observed.sum(1, keepdims=True) * observed.sum(0, keepdims=True) / observed.sum()
+        v = np.sqrt(((observed - expected) ** 2 / expected).sum() / observed.sum() / (min(observed.shape) - 1))
+        assert found[a, b] == ("cramers_v", pytest.approx(v, rel=1e-6))
+    assert found["word", "holes"][1] == pytest.approx(1.0)
+    assert all(v is None for (a, b), (_, v) in found.items() if "same" in (a, b) or "fixed" in (a, b))
+    assert explore.associations(df, ["hot"], []).collect() == [] == explore.associations(df, [], ["word"]).collect()
+
+
 def test_constant_label_or_column_has_no_association(spark):
     for rows in ([("a", 1.0, 1), ("b", 1.0, 2)], [("a", 1.0, 3), ("a", 0.0, 3)]):
         df = spark.createDataFrame(rows, "g string, y double, n int")

@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import functions as F
 
 from churnkit import sources
 
@@ -27,6 +28,42 @@ def test_csv_gives_back_every_cell(spark, tmp_path):
     assert sorted(map(tuple, back.collect()), key=str) == sorted(CELLS, key=str)
 
 
+def test_spelt_out_line_breaks_are_undone(spark):
+    import itertools
+
+    rows = [("".join(c),) for n in range(6) for c in itertools.product("\\n\n\r", repeat=n)] + [(None,)]
+    df = spark.createDataFrame(rows, "t string").select("t", sources.escaped(F.col("t")).alias("e"))
+    assert df.where("e rlike '[\\r\\n]'").isEmpty()
+    assert df.where(~sources.unescaped(F.col("e")).eqNullSafe(F.col("t"))).isEmpty()
+
+
+def test_csv_with_line_breaks_is_read_by_many_tasks(spark, tmp_path):
+    df = spark.range(3000).selectExpr("id", "concat('first ', id, '\n', repeat('second ', 20)) as text")
+    sources.write_csv(df, str(tmp_path / "c"), files=1, line_breaks=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")
+    try:
+        back = sources.read_csv(spark, str(tmp_path / "c"), df.schema, line_breaks=True)
+        assert back.rdd.getNumPartitions() > 3 and back.exceptAll(df).isEmpty() and back.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_files_follow_the_bytes(spark, tmp_path):
+    """Of 64 partitions a filter leaves one with rows: one file, and no empty ones."""
+    df = spark.range(0, 64_000, 1, 64).selectExpr("id", "sha2(cast(id as string), 512) as text")
+    sources.write_parquet(df.where("id < 900"), str(tmp_path / "p"))
+    assert len(list((tmp_path / "p").glob("part-*"))) == 1
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        sources.write_parquet(df, str(tmp_path / "q"))
+        assert 3 <= len(list((tmp_path / "q").glob("part-*"))) <= 200
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert spark.read.parquet(str(tmp_path / "q")).count() == 64_000
+
+
 def test_csv_refuses_line_breaks_unless_asked(spark, tmp_path):
     df = spark.createDataFrame(CELLS, "k string, text string")
     with pytest.raises(Exception, match="line break in a cell of k"):
