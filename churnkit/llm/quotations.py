@@ -111,29 +111,68 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     )
 
 
-def as_mail(messages: DataFrame) -> DataFrame:
-    """Turns as mail would carry them: above its own text each quotes the two turns before it, one and two levels deep."""
+DEPTH = 4
+
 
-    def earlier(back: int, mark: str) -> DataFrame:
-        quoted = F.regexp_replace("text", "(?m)^", mark)
-        return messages.select("conv_id", (F.col("turn") + back).alias("turn"), quoted.alias(f"back{back}"))
+def answered(turn: Column) -> Column:
+    """The turn that a turn is taken to answer: one, two or three before it, by a rule that mixes conversation and turn."""
+    return turn - 1 - F.pmod(F.col("conv_id") * 31 + turn * 17, F.lit(3))
 
-    joined = messages.join(earlier(1, "> "), ["conv_id", "turn"], "left").join(earlier(2, ">> "), ["conv_id", "turn"], "left")
-    return joined.withColumn("text", F.concat_ws("\n", "back2", "back1", "text")).drop("back1", "back2")
 
+def as_mail(messages: DataFrame) -> DataFrame:
+    """Turns as mail would carry them: above its own text each quotes the turn it answers, with what that answered, and so on.
 
-_SQL = """
-with n as (
-  select conv_id, turn, role, text, len(string_split(text, chr(10))) as lines,
-    len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) as filled from conversations
+    Quotes are up to ``DEPTH`` levels deep, the deepest first. A turn whose answered one is not there quotes nothing.
+    """
+    chain = messages.withColumn("_at", answered(F.col("turn")).cast("long"))
+    for level in range(1, DEPTH + 1):
+        earlier = messages.select(
+            F.col("conv_id"),
+            F.col("turn").cast("long").alias("_at"),
+            F.regexp_replace("text", "(?m)^", ">" * level + " ").alias(f"_quote{level}"),
+            answered(F.col("turn")).cast("long").alias("_next"),
+        )
+        chain = chain.join(earlier, ["conv_id", "_at"], "left").drop("_at").withColumnRenamed("_next", "_at")
+    quotes = [f"_quote{level}" for level in range(DEPTH, 0, -1)]
+    return chain.withColumn("text", F.concat_ws("\n", *quotes, "text")).drop("_at", *quotes)
+
+
+_SQL = r"""
+with recursive chain as (
+  select n.conv_id, n.turn, 1 as level, a.turn as at, a.text
+  from conversations n join conversations a on a.conv_id = n.conv_id and a.turn = n.turn - 1 - (n.conv_id * 31 + n.turn * 17) % 3
+  union all
+  select c.conv_id, c.turn, c.level + 1, a.turn, a.text
+  from chain c join conversations a on a.conv_id = c.conv_id and a.turn = c.at - 1 - (c.conv_id * 31 + c.at * 17) % 3
+  where c.level < 4
+), line as (
+  select conv_id, turn, lower(trim(regexp_replace(l, '\s+', ' ', 'g'))) as l
+  from (select conv_id, turn, unnest(string_split(text, chr(10))) as l from conversations)
+), quoted as (
+  select conv_id, turn, level, lower(trim(regexp_replace(l, '\s+', ' ', 'g'))) as l
+  from (select conv_id, turn, level, unnest(string_split(text, chr(10))) as l from chain)
+), source as (
+  select q.conv_id, q.turn, q.level, q.l, count(distinct q.l) as n, max(o.turn) as source
+  from (select distinct conv_id, turn, level, l from quoted where l <> '') q
+    join line o on o.conv_id = q.conv_id and o.l = q.l and o.turn < q.turn
+  group by q.conv_id, q.turn, q.level, q.l
+), vote as (
+  select q.conv_id, q.turn, q.level, s.source, count(*) as votes
+  from quoted q join source s on s.conv_id = q.conv_id and s.turn = q.turn and s.level = q.level and s.l = q.l
+  group by q.conv_id, q.turn, q.level, s.source
+), answers as (
+  select conv_id, turn, source
+  from (select *, row_number() over (partition by conv_id, turn order by level, votes desc, source desc) as place from vote)
+  where place = 1
+), counted as (
+  select conv_id, turn, count(*) as lines, count(*) filter (l <> '') as filled from quoted group by conv_id, turn
 )
 select n.conv_id, n.turn, n.role,
   (row_number() over (partition by n.conv_id order by n.turn) - 1)::bigint as position,
-  lag(n.turn) over (partition by n.conv_id order by n.turn) as reply_to,
-  (coalesce(a.lines, 0) + coalesce(b.lines, 0))::bigint as n_quoted,
-  (coalesce(a.filled, 0) + coalesce(b.filled, 0))::bigint as n_linked, n.text
-from n left join n a on a.conv_id = n.conv_id and a.turn = n.turn - 1
-  left join n b on b.conv_id = n.conv_id and b.turn = n.turn - 2
+  coalesce(a.source, lag(n.turn) over (partition by n.conv_id order by n.turn)) as reply_to,
+  coalesce(c.lines, 0)::bigint as n_quoted, coalesce(c.filled, 0)::bigint as n_linked, n.text
+from conversations n left join answers a on a.conv_id = n.conv_id and a.turn = n.turn
+  left join counted c on c.conv_id = n.conv_id and c.turn = n.turn
 """
 
 
@@ -141,6 +180,7 @@ from n left join n a on a.conv_id = n.conv_id and a.turn = n.turn - 1
 def op2_chat_formatting(spark, sf_dir):
     """All conversations, given the quotes that mail would carry, and rebuilt from these.
 
-    The table has no quote marks of its own, so its turns are first written the way mail quotes them.
+    The table has no quote marks of its own, so its turns are first written the way mail quotes them: each answers one of
+    the three turns before it, and only its quotes tell which.
     """
     return link_quotations(as_mail(read_table(spark, sf_dir, "conversations")))

@@ -1,6 +1,10 @@
 import pytest
 
-from churnkit.llm.quotations import link_quotations
+from pyspark.sql import functions as F
+
+from churnkit.llm.common import read_table
+from churnkit.llm.quotations import answered, as_mail, link_quotations
+from tests.oracle import DATA
 
 SCHEMA = "conv_id long, turn int, role string, text string, hash string, position string, source string"
 
@@ -69,3 +73,12 @@ def test_long_conversations_are_looked_up_across_stretches(spark, n):
         assert found[n + i][4] == n - 1  # of one line each, the later source
         assert found[n + i][6] == 2
     assert [found[t][3] for t in sorted(found)] == list(range(len(found)))
+
+
+def test_replies_follow_the_quotes_and_not_the_turn_before(spark):
+    talks = read_table(spark, f"{DATA}/sf0.001", "conversations")
+    found = link_quotations(as_mail(talks))
+    told = found.join(talks.select("conv_id", "turn", answered(F.col("turn")).alias("meant")), ["conv_id", "turn"])
+    away = told.where("meant >= 0 and reply_to <> turn - 1").count()
+    assert away > 0.3 * talks.count()
+    assert told.where("meant >= 0 and n_quoted = 0").isEmpty() and talks.where("text like '%>%'").isEmpty()
