@@ -14,10 +14,10 @@ its part a set knows how many of its tokens any other set has: if these are too
 Most documents are. A pair that shares a key is compared only if its sizes, and the tokens that either shares with any set
 at all, leave a link possible; a passage that stands in thousands of otherwise unlike documents makes no pairs thereby.
 
-Documents with the same set are one class and take part once. Classes that share a key are first compared with the
-smallest of it, for some keys and then for those that hold unconnected classes; parity sketches prove that
-sets differ too much, and the rest are compared exactly. At last all possible pairs of keys with unconnected
-classes are compared. A large group of near copies therefore costs a few pairs for each member, and no link between different
+Documents with the same set are one class and take part once. For some of the keys the classes that share one are
+compared with that of them which has fewest tokens of its own alone; then all possible pairs of keys with unconnected classes
+are. Parity sketches prove that sets differ too much, inside the join and again at their full size, and the rest
+are compared exactly. A large group of near copies therefore costs a few pairs for each member, and no link between different
 texts is lost.
 
 Defined cases: a null text, an empty one or one without words has no shingles, links with nothing and is its own
@@ -48,7 +48,9 @@ _PART_ROWS = 2000
 _PART_TOKENS = 1_000_000
 _BUCKET_TOKENS = 1_000_000
 _SEVERAL = 0xFFFF
-_SOME_KEYS = 8
+_SENT_BITS = 48
+_WORDS = 8
+_SOME_KEYS = 4
 _U = np.uint64
 _NONE = np.empty(0, _U)
 
@@ -159,32 +161,44 @@ def _beginning(tokens: np.ndarray, n_rare: int, n: int, least: int, bands: list[
     return single, np.unique(np.concatenate(pairs))
 
 
-def keys_of(tokens: np.ndarray, sets: np.ndarray, n: int, threshold: Threshold, rare: int) -> tuple[np.ndarray, np.ndarray]:
+def keys_of(
+    tokens: np.ndarray, sets: np.ndarray, n: int, threshold: Threshold, rare: int, merged: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
     """Keys of a set of n and whether it has them as the smaller of two as well.
 
     ``tokens`` are those that several sets have, ``sets`` how many have each, both in the global order. A token that at
-    most ``rare`` sets have is rare.
+    most ``rare`` sets have is rare. Of the set's tokens ``merged`` fell together with another when they were shortened:
+    so many fewer may be found in common.
     """
-    shared = len(tokens)
-    if shared < threshold.least_common(n):
+    shared, short = len(tokens), n - merged
+    least = max(1, threshold.least_common(n) - merged)
+    if shared < least:
         return _NONE, np.empty(0, bool)
-    n_rare = n - shared + int(np.searchsorted(sets, rare, "right"))
-    least = threshold.least_common(n)
-    large = np.concatenate(_beginning(tokens, n_rare, n, least, _bands(n, least)))
-    least = threshold.least_as_smaller(n)
+    n_rare = short - shared + int(np.searchsorted(sets, rare, "right"))
+    bands = _bands(n, threshold.least_common(n))
+    large = np.concatenate(_beginning(tokens, n_rare, short, least, bands))
+    least = max(1, threshold.least_as_smaller(n) - merged)
     if shared < least:
         return large, np.zeros(len(large), bool)
-    small = np.concatenate(_beginning(tokens, n_rare, n, least, _bands(n, least)[:1]))
+    small = np.concatenate(_beginning(tokens, n_rare, short, least, bands[:1]))
     return large, np.isin(large, small)
 
 
 def sketch_of(tokens: np.ndarray) -> bytes:
-    """Parities of tokens by their last bits, as many bits as the next power of two above their number, 64 or more."""
-    bits = 1 << max(6, len(tokens).bit_length())
+    """Parities of tokens by their last bits, as many bits as the next power of two above their number, 64 * _WORDS or more."""
+    bits = max(64 * _WORDS, 1 << len(tokens).bit_length())
     odd = np.bincount((tokens & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def folded(sketch: bytes) -> list[int]:
+    """The sketch as ``_WORDS`` numbers of 64 bits: halves of a longer one added up."""
+    bits = np.frombuffer(sketch, "<i8")
+    while len(bits) > _WORDS:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits.tolist()
+
+
 def least_difference(x: bytes, y: bytes) -> int:
     """A number of tokens by which two sets differ at least: parities that disagree. Halves of a sketch add up to a shorter one."""
     x, y = (x, y) if len(x) <= len(y) else (y, x)
@@ -195,7 +209,9 @@ def least_difference(x: bytes, y: bytes) -> int:
     return (number ^ int.from_bytes(x, "little")).bit_count()
 
 
-_SENT = "part long, bucket long, tokens binary, own binary, counts binary, classes binary, sizes binary, sketches array<binary>"
+_SENT = (
+    "part long, bucket long, tokens binary, own binary, counts binary, classes binary, sizes binary, merged binary, sketches array<binary>"
+)
 
 
 def _sent(docs: DataFrame, buckets: int) -> DataFrame:
@@ -203,34 +219,37 @@ def _sent(docs: DataFrame, buckets: int) -> DataFrame:
 
     ``own`` has the number, within the part, of the one set that has a token, or ``_SEVERAL``; ``counts`` how many have it.
     The row without a bucket has the classes, sizes and sketches of the part's sets, and the tokens that several have
-    with the numbers of these sets one after another.
+    with the numbers of these sets one after another. Tokens travel with ``_SENT_BITS`` bits; ``merged`` tells how many of a
+    set's then fell together.
     """
-    schema = pa.schema([
-        ("part", pa.int64()), ("bucket", pa.int64()), ("tokens", pa.binary()), ("own", pa.binary()), ("counts", pa.binary()),
-        ("classes", pa.binary()), ("sizes", pa.binary()), ("sketches", pa.list_(pa.binary())),
-    ])
+    binary = [(c, pa.binary()) for c in ("tokens", "own", "counts", "classes", "sizes", "merged")]
+    schema = pa.schema([("part", pa.int64()), ("bucket", pa.int64()), *binary, ("sketches", pa.list_(pa.binary()))])
 
     def rows_of(part: int, sets: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(t) for t in sets.values()], np.int64)
-        tokens = np.concatenate(list(sets.values()))
+        short = [t >> _U(64 - _SENT_BITS) for t in sets.values()]  # still ascending
+        short = [t[np.concatenate([[True], t[1:] != t[:-1]])] for t in short]
+        left = np.array([len(t) for t in short], np.int64)
+        tokens = np.concatenate(short)
         order = np.argsort(tokens, kind="stable")
-        own = np.repeat(np.arange(len(sizes)), sizes)[order].astype("<u2")
+        own = np.repeat(np.arange(len(sizes)), left)[order].astype("<u2")
         tokens, first, counts = np.unique(tokens[order], return_index=True, return_counts=True)
         several = counts > 1
         lists = np.repeat(several, counts)
         yield batch(
             schema, [part], [None], [pack(tokens[several])], [own[lists].tobytes()], [counts[several].astype("<u2").tobytes()],
-            [np.array(list(sets), np.int64).tobytes()], [sizes.tobytes()], [[sketch_of(t) for t in sets.values()]],
+            [np.array(list(sets), np.int64).tobytes()], [sizes.tobytes()], [(sizes - left).tobytes()],
+            [[sketch_of(t) for t in sets.values()]],
         )
         one = np.where(several, _SEVERAL, own[first]).astype("<u2")
         counts = counts.astype("<u2")
-        bucket = ((tokens >> _U(32)) * _U(buckets)) >> _U(32)
+        bucket = ((tokens >> _U(_SENT_BITS - 32)) * _U(buckets)) >> _U(32)
         edges = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(tokens)]
         spans = [slice(x, y) for x, y in zip(edges, edges[1:])]
         blank = [None] * len(spans)
         yield batch(
             schema, [part] * len(spans), [int(bucket[s.start]) for s in spans], [pack(tokens[s]) for s in spans],
-            [one[s].tobytes() for s in spans], [counts[s].tobytes() for s in spans], blank, blank, blank,
+            [one[s].tobytes() for s in spans], [counts[s].tobytes() for s in spans], blank, blank, blank, blank,
         )
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,20 +299,21 @@ def _shared_tokens(sent: DataFrame) -> DataFrame:
     return dealt.groupBy("bucket").applyInArrow(meet, "part long, tokens binary, own binary, counts binary")
 
 
-_KEYS = "sig long, cls long, n long, shared long, smaller boolean, sketch binary"
+_KEYS = "sig long, cls long, n long, shared long, smaller boolean, sketch binary, words array<long>"
 
 
 def _keys(sent: DataFrame, threshold: Threshold, rare: int) -> DataFrame:
-    """Keys of all classes that can link; rows without sig carry their n and sketch."""
+    """Keys of all classes that can link; rows without sig carry their n and their sketches, of any and of fixed size."""
     schema = pa.schema([
-        ("sig", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("smaller", pa.bool_()), ("sketch", pa.binary()),
+        ("sig", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("smaller", pa.bool_()),
+        ("sketch", pa.binary()), ("words", pa.list_(pa.int64())),
     ])
 
     def assemble(rows: pa.Table) -> pa.Table:
         own_rows = rows.column("classes").is_valid().to_pylist()
         own = rows.slice(own_rows.index(True), 1).to_pylist()[0]
         answers = rows.filter(pa.array([not x for x in own_rows]))
-        classes, sizes = np.frombuffer(own["classes"], "<i8"), np.frombuffer(own["sizes"], "<i8")
+        classes, sizes, merged = (np.frombuffer(own[c], "<i8") for c in ("classes", "sizes", "merged"))
         of, tokens, sets = [np.empty(0, np.int64)], [_NONE], [np.empty(0, np.int64)]
         several, times = unpack(own["tokens"]), np.frombuffer(own["counts"], "<u2").astype(np.int64)
         lists, begin = np.frombuffer(own["own"], "<u2").astype(np.int64), np.cumsum(times) - times
@@ -315,44 +335,56 @@ def _keys(sent: DataFrame, threshold: Threshold, rare: int) -> DataFrame:
         edges = np.searchsorted(of, np.arange(len(classes) + 1)).tolist()
         out = []
         for i, (a, b, n) in enumerate(zip(edges, edges[1:], sizes.tolist())):
-            sig, smaller = keys_of(tokens[a:b], sets[a:b], n, threshold, rare)
+            fell = int(merged[i])
+            sig, smaller = keys_of(tokens[a:b], sets[a:b], n, threshold, rare, fell)
             m = len(sig)
             if m:
-                cls = int(classes[i])
-                out.append(batch(schema, sig.view(np.int64), [cls] * m, [n] * m, [b - a] * m, smaller, [None] * m))
-                out.append(batch(schema, [None], [cls], [n], [b - a], [None], [own["sketches"][i]]))
+                cls, blank, sketch = int(classes[i]), [None] * m, own["sketches"][i]
+                out.append(batch(schema, sig.view(np.int64), [cls] * m, [n] * m, [b - a + fell] * m, smaller, blank, blank))
+                out.append(batch(schema, [None], [cls], [n], [None], [None], [sketch], [folded(sketch)]))
         return pa.Table.from_batches(out, schema=schema).combine_chunks()
 
-    blank = [F.lit(None).cast(t).alias(c) for c, t in (("classes", "binary"), ("sizes", "binary"), ("sketches", "array<binary>"))]
+    blank = [F.lit(None).cast(t).alias(c) for c, t in (("classes", "binary"), ("sizes", "binary"), ("merged", "binary"), ("sketches", "array<binary>"))]
     answers = _shared_tokens(sent).select("part", "tokens", "own", "counts", *blank)
     both = sent.where("bucket is null").drop("bucket").unionByName(answers)
     return both.groupBy("part").applyInArrow(assemble, _KEYS)
 
 
 def _possible(threshold: Threshold) -> Column:
-    """Whether the sets of a joined row can link, a as the smaller: by their sizes and what each shares with any set."""
-    near = (F.col("na") <= F.col("nb")) & (F.col("nb") * threshold.num <= F.col("na") * threshold.den)
+    """Whether the sets of a joined row can link by their sizes and by what each shares with any set."""
+    near = F.greatest("na", "nb") * threshold.num <= F.least("na", "nb") * threshold.den
     most = F.least("sa", "sb") * (threshold.num + threshold.den)
     return near & (most >= (F.col("na") + F.col("nb")) * threshold.num) & (F.col("a") != F.col("b"))
 
 
+def _alike(threshold: Threshold) -> Column:
+    """Whether sets can link by their folded sketches: each parity that disagrees is a token of one of them alone."""
+    differing = F.lit(0)
+    for i in range(_WORDS):
+        differing = differing + F.bit_count(F.col("wa")[i].bitwiseXOR(F.col("wb")[i]))
+    both = F.col("na") + F.col("nb")
+    return (both - differing) * (threshold.num + threshold.den) >= both * (2 * threshold.num)
+
+
 def _side(keys: DataFrame, side: str) -> DataFrame:
-    """sig, class, size and shared tokens, and the label if there is one, named for one side of a pair."""
-    names = {"cls": side, "n": f"n{side}", "shared": f"s{side}", "label": f"label_{side}"}
+    """sig, class, size and shared tokens, and label and sketch if there are any, named for one side of a pair."""
+    names = {"cls": side, "n": f"n{side}", "shared": f"s{side}", "label": f"label_{side}", "words": f"w{side}"}
     return keys.select("sig", *[F.col(c).alias(n) for c, n in names.items() if c in keys.columns])
 
 
-def _met(smaller: DataFrame, larger: DataFrame, condition: Column) -> DataFrame:
+def _met(one: DataFrame, other: DataFrame, condition: Column) -> DataFrame:
     """Different pairs of classes that share a key and meet the condition."""
-    joined = _side(smaller, "a").join(_side(larger, "b").hint("merge"), "sig").where(condition)
+    joined = _side(one, "a").join(_side(other, "b").hint("merge"), "sig").where(condition)
     return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _star_pairs(keys: DataFrame, threshold: Threshold) -> DataFrame:
-    """Possible pairs of the classes of each key with the smallest class that has it as a smaller one."""
-    smaller = keys.where("smaller")
-    hubs = smaller.groupBy("sig").agg(F.min_by("cls", "n").alias("cls"))
-    return _met(smaller.join(hubs.hint("merge"), ["sig", "cls"]), keys, _possible(threshold))
+    """Possible pairs of the classes of each key with the one that has fewest tokens of its own alone.
+
+    Near copies are most like what they were copied from, and that shares nearly all it has.
+    """
+    hubs = keys.groupBy("sig").agg(F.min_by("cls", F.col("n") - F.col("shared")).alias("cls"))
+    return _met(keys.join(hubs.hint("merge"), ["sig", "cls"]), keys, _possible(threshold))
 
 
 def _thinned(pairs: DataFrame, sketches: DataFrame, threshold: Threshold) -> DataFrame:
@@ -424,10 +456,11 @@ def _judged(docs: DataFrame, threshold: Threshold | None = None, rare: int = RAR
     sent = ws.write(_sent(taking_part, parts_for(total, _BUCKET_TOKENS)))
     keys = ws.write(_keys(sent, threshold, rare))
     ws.drop(sent, others)
-    sigs = keys.where("sig is not null").drop("sketch").distinct()
-    met = sigs.groupBy("sig").agg(F.count("*").alias("m")).where("m > 1").select("sig")
-    sigs = ws.write(sigs.join(met.hint("merge"), "sig", "left_semi"))
-    sketches = ws.write(keys.where("sig is null").select("cls", "n", "sketch").dropDuplicates(["cls"]))
+    sigs = keys.where("sig is not null").drop("sketch", "words")
+    met = sigs.groupBy("sig").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).where("low <> high")
+    sigs = ws.write(sigs.join(met.select("sig").hint("merge"), "sig", "left_semi"))
+    sketches = keys.where("sig is null").select("cls", "n", "sketch", "words").dropDuplicates(["cls"])
+    sketches = ws.write(sketches)
     ws.drop(keys)
 
     def compared(pairs: DataFrame) -> DataFrame:
@@ -446,20 +479,15 @@ def _judged(docs: DataFrame, threshold: Threshold | None = None, rare: int = RAR
     tried = ws.write(_star_pairs(sigs.where(F.pmod(F.xxhash64("sig"), F.lit(_SOME_KEYS)) == 0), threshold))
     links = compared(tried)
     labels = components(ws, links)
-    for step in ("smallest", "all"):
-        rest = open_keys(labels)
-        if rest.isEmpty():
-            break
-        if step == "smallest":
-            pairs = _star_pairs(rest.drop("label"), threshold)
-        else:
-            pairs = _met(rest.where("smaller"), rest, _possible(threshold) & (F.col("label_a") != F.col("label_b")))
+    rest = open_keys(labels)
+    if not rest.isEmpty():
+        rest = rest.join(sketches.select("cls", "words").hint("merge"), "cls")
+        smaller = (F.col("na") <= F.col("nb")) & (F.col("label_a") != F.col("label_b"))
+        pairs = _met(rest.where("smaller"), rest, smaller & _possible(threshold) & _alike(threshold))
         pairs = ws.write(pairs.join(tried.hint("merge"), ["a", "b"], "left_anti"))
-        ws.drop(rest)
         found = compared(pairs)
-        tried, links = tried.union(pairs), links.union(found)
         if not found.isEmpty():
-            labels = components(ws, links)
+            labels = components(ws, links.union(found))
 
     roots = firsts.join(labels.select(F.col("node").alias("cls"), "root").hint("merge"), "cls", "left")
     roots = roots.withColumn("root", F.coalesce("root", "cls"))

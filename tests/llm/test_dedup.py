@@ -162,17 +162,40 @@ def test_linked_sets_share_a_key_whatever_tokens_are_frequent(x, change, data):
         count = np.array([sets[t] for t in sorted(s)])
         order = np.lexsort((tokens, count))
         order = order[count[order] > 1]
-        found, smaller = near.keys_of(tokens[order], count[order], len(s), limit, 3)
+        tokens, count = tokens[order], count[order]
+        found, smaller = near.keys_of(tokens, count, len(s), limit, 3)
         keys.append((set(found[smaller].tolist()), set(found.tolist())))
     assert keys[0][0] & keys[1][1]
     if len(x) == len(y):
         assert keys[1][0] & keys[0][1]
 
 
-@given(st.sets(st.integers(0, 2**64 - 1), max_size=300), st.sets(st.integers(0, 2**64 - 1), max_size=20))
+@settings(deadline=None)
+@given(st.sets(st.integers(0, 2**64 - 1), max_size=400), st.sets(st.integers(0, 2**64 - 1), max_size=20))
 def test_sketches_never_tell_sets_apart_more_than_they_are(x, change):
     a, b = (np.array(sorted(s), np.uint64) for s in (x, x ^ change))
     assert near.least_difference(near.sketch_of(a), near.sketch_of(b)) <= len(change)
+    x, y = (np.array(near.folded(near.sketch_of(t))) for t in (a, b))
+    assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(change)
+
+
+def test_tokens_that_fall_together_when_sent_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(near, "_SENT_BITS", 34)
+    monkeypatch.setattr(near, "shingle_sets", crowded_sets)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(base[:k] + [f"new{i}"] + base[k + 1 :])) for i in range(60) for k in [i * 7 % 60]]
+    assert len({r.component_id for r in near.near_duplicates(table(spark, rows)).collect()}) == 1
+
+
+def crowded_sets(texts, size=5):
+    """Token hashes of which many agree in their first 34 bits."""
+    out = []
+    for text in texts:
+        words = split(low(text))
+        runs = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+        hashes = [int.from_bytes(hashlib.blake2b(repr(r).encode(), digest_size=8).digest(), "little") for r in runs]
+        out.append(np.unique(np.array([h % 40 << 57 | h % (1 << 28) for h in hashes], np.uint64)))
+    return out
 
 
 def test_components_of_a_long_chain(spark):
