@@ -101,20 +101,21 @@ CHURN_CUSTOMERS_SQL = """raw as (
 def clear_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw customers whose label has a wide gap in one input: any sound classifier gives it back row by row.
 
-    All customers are there; totals inside the gap are moved below it.
+    All customers are there; totals inside the gap are moved to the nearer side of it.
     """
     raw = churn_customers(spark, sf_dir)
     balance = F.coalesce(F.col("TotalCharges").try_cast("double"), F.lit(0.0))
-    inside = (balance >= 4000) & (balance < 6000)
-    moved = F.when(inside, F.round(balance - 4000, 2).cast("string")).otherwise(F.col("TotalCharges"))
-    label = F.when(balance >= 6000, "Yes").otherwise("No")
-    return raw.withColumns({"Churn": label, "TotalCharges": moved})
+    moved = F.when((balance >= 4000) & (balance < 5000), F.round(balance - 4000, 2).cast("string"))
+    moved = moved.when((balance >= 5000) & (balance < 6000), F.round(balance + 2000, 2).cast("string"))
+    label = F.when(balance >= 5000, "Yes").otherwise("No")
+    return raw.withColumns({"Churn": label, "TotalCharges": moved.otherwise(F.col("TotalCharges"))})
 
 
 CLEAR_SQL = f"""{CHURN_CUSTOMERS_SQL}, clear as (
-  select * replace (case when TotalCharges >= 6000 then 'Yes' else 'No' end as Churn,
-                    case when TotalCharges >= 6000 then 1.0::double else 0.0::double end as label,
-                    case when TotalCharges >= 4000 and TotalCharges < 6000 then round(TotalCharges - 4000, 2)
+  select * replace (case when TotalCharges >= 5000 then 'Yes' else 'No' end as Churn,
+                    case when TotalCharges >= 5000 then 1.0::double else 0.0::double end as label,
+                    case when TotalCharges >= 4000 and TotalCharges < 5000 then round(TotalCharges - 4000, 2)
+                         when TotalCharges >= 5000 and TotalCharges < 6000 then round(TotalCharges + 2000, 2)
                          else TotalCharges end as TotalCharges)
   from cleaned
 )"""
