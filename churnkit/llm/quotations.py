@@ -18,6 +18,8 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,30 +113,32 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     )
 
 
-DEPTH = 4
+DEPTH = 2
+_BACK = 3
 
 
 def answered(turn: Column) -> Column:
     """The turn that a turn is taken to answer: one, two or three before it, by a rule that mixes conversation and turn."""
-    return turn - 1 - F.pmod(F.col("conv_id") * 31 + turn * 17, F.lit(3))
+    return turn - 1 - F.pmod(F.col("conv_id") * 31 + turn * 17, F.lit(_BACK))
 
 
 def as_mail(messages: DataFrame) -> DataFrame:
-    """Turns as mail would carry them: above its own text each quotes the turn it answers, with what that answered, and so on.
+    """Turns as mail would carry them: above its own text each quotes the turn it answers, and what that answered.
 
-    Quotes are up to ``DEPTH`` levels deep, the deepest first. A turn whose answered one is not there quotes nothing.
+    Quotes are up to ``DEPTH`` levels deep, the deepest first. A turn whose answered one is not there quotes nothing. Each
+    text goes to the turns that quote it, so that all levels meet by conversation and turn.
     """
-    chain = messages.withColumn("_at", answered(F.col("turn")).cast("long"))
+    mail, there, quotes = messages, F.lit(True), []
     for level in range(1, DEPTH + 1):
-        earlier = messages.select(
-            F.col("conv_id"),
-            F.col("turn").cast("long").alias("_at"),
-            F.regexp_replace("text", "(?m)^", ">" * level + " ").alias(f"_quote{level}"),
-            answered(F.col("turn")).cast("long").alias("_next"),
-        )
-        chain = chain.join(earlier, ["conv_id", "_at"], "left").drop("_at").withColumnRenamed("_next", "_at")
-    quotes = [f"_quote{level}" for level in range(DEPTH, 0, -1)]
-    return chain.withColumn("text", F.concat_ws("\n", *quotes, "text")).drop("_at", *quotes)
+        near = F.sequence(F.col("turn") + level, F.col("turn") + _BACK * level)
+        later = F.filter(near, lambda t: reduce(lambda x, _: answered(x), range(level), t) == F.col("turn"))
+        marked = F.regexp_replace("text", "(?m)^", ">" * level + " ")
+        earlier = messages.select("conv_id", F.explode(later).alias("turn"), marked.alias(f"_quote{level}"), F.lit(True).alias(f"_has{level}"))
+        mail = mail.join(earlier, ["conv_id", "turn"], "left")
+        there = there & F.coalesce(f"_has{level}", F.lit(False))
+        quotes.insert(0, F.when(there, F.col(f"_quote{level}")))
+    text = F.concat_ws("\n", *quotes, "text")
+    return mail.select(*[text.alias(c) if c == "text" else F.col(c) for c in messages.columns])
 
 
 _SQL = r"""
@@ -144,7 +148,7 @@ with recursive chain as (
   union all
   select c.conv_id, c.turn, c.level + 1, a.turn, a.text
   from chain c join conversations a on a.conv_id = c.conv_id and a.turn = c.at - 1 - (c.conv_id * 31 + c.at * 17) % 3
-  where c.level < 4
+  where c.level < 2
 ), line as (
   select conv_id, turn, lower(trim(regexp_replace(l, '\s+', ' ', 'g'))) as l
   from (select conv_id, turn, unnest(string_split(text, chr(10))) as l from conversations)
