@@ -44,9 +44,9 @@ from churnkit.llm.words import Words, mix, split_words
 SHINGLE = 5
 RARE = 64
 SMALL = 1_000_000
-_PART_ROWS = 2000
-_PART_TOKENS = 1_000_000
-_BUCKET_TOKENS = 1_000_000
+_PART_ROWS = 1000
+_PART_TOKENS = 500_000
+_BUCKET_TOKENS = 500_000
 _SEVERAL = 0xFFFF
 _SENT_BITS = 48
 _WORDS = 8
@@ -333,16 +333,21 @@ def _keys(sent: DataFrame, threshold: Threshold, rare: int) -> DataFrame:
         order = np.lexsort((tokens, sets, of))
         of, tokens, sets = of[order], tokens[order], sets[order]
         edges = np.searchsorted(of, np.arange(len(classes) + 1)).tolist()
-        out = []
-        for i, (a, b, n) in enumerate(zip(edges, edges[1:], sizes.tolist())):
-            fell = int(merged[i])
+        found, flags, times = [_NONE], [np.empty(0, bool)], np.zeros(len(classes), np.int64)
+        for i, (a, b, n, fell) in enumerate(zip(edges, edges[1:], sizes.tolist(), merged.tolist())):
             sig, smaller = keys_of(tokens[a:b], sets[a:b], n, threshold, rare, fell)
-            m = len(sig)
-            if m:
-                cls, blank, sketch = int(classes[i]), [None] * m, own["sketches"][i]
-                out.append(batch(schema, sig.view(np.int64), [cls] * m, [n] * m, [b - a + fell] * m, smaller, blank, blank))
-                out.append(batch(schema, [None], [cls], [n], [None], [None], [sketch], [folded(sketch)]))
-        return pa.Table.from_batches(out, schema=schema).combine_chunks()
+            times[i] = len(sig)
+            found.append(sig)
+            flags.append(smaller)
+        shared = np.diff(edges) + merged
+        some = np.flatnonzero(times)
+        sketches = [own["sketches"][i] for i in some.tolist()]
+        blank = [None] * int(times.sum())
+        rows_of = [np.repeat(x, times) for x in (classes, sizes, shared)]
+        keys = batch(schema, np.concatenate(found).view(np.int64), *rows_of, np.concatenate(flags), blank, blank)
+        blank = [None] * len(some)
+        told = batch(schema, blank, classes[some], sizes[some], blank, blank, sketches, [folded(x) for x in sketches])
+        return pa.Table.from_batches([keys, told]).combine_chunks()
 
     blank = [F.lit(None).cast(t).alias(c) for c, t in (("classes", "binary"), ("sizes", "binary"), ("merged", "binary"), ("sketches", "array<binary>"))]
     answers = _shared_tokens(sent).select("part", "tokens", "own", "counts", *blank)

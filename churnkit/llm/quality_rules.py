@@ -42,6 +42,7 @@ _VECTOR = ("length", "symbols", "dup_lines", "repeats", "upper", "marks")
 _FLOOR = (0.08, 0.12, 0.35, 0.10, 0.08, 0.12)
 _TAIL = 1e-4
 GROUP_ROWS = 200
+_SMALL = 1_000_000
 _WIDER = 20  # least variances grow by so many times 1 / n in a model of n documents
 _ALL = "all"
 _UNITS = 1000  # statistics are whole numbers of thousandths
@@ -258,17 +259,26 @@ def judge(
 
 
 def filter_quality(docs: DataFrame, **options) -> DataFrame:
-    """The documents that ``judge`` keeps, with all their columns."""
+    """The documents that ``judge`` keeps, with all their columns.
+
+    What a verdict depends on, and the id, make two numbers of a rejected row: up to ``_SMALL`` rows, 16 MB, are broadcast,
+    so that no text is shuffled; more are merged.
+    """
     ws = Workspace(docs.sparkSession)
     judged = judge(docs, **options).where(~F.col("kept"))
-    rejected = ws.write(judged.select("doc_id", "digest", "lang", "source").distinct())
-    # What a verdict depends on, and the id: rows that agree in these have the same verdict.
-    same = docs["doc_id"].eqNullSafe(rejected["doc_id"]) & (F.xxhash64(docs["text"]) == rejected["digest"])
-    for name in ("lang", "source"):
-        same = same & _given(docs, name).eqNullSafe(rejected[name])
+    rejected = judged.select("doc_id", _verdict_key(F.col("digest"), F.col("lang"), F.col("source")).alias("verdict_key"))
+    rejected = ws.write(rejected.distinct())
+    rejected = F.broadcast(rejected) if rejected.count() <= _SMALL else rejected.hint("merge")
+    own = _verdict_key(F.xxhash64(docs["text"]), _given(docs, "lang"), _given(docs, "source"))
+    same = docs["doc_id"].eqNullSafe(rejected["doc_id"]) & (own == rejected["verdict_key"])
     return docs.join(rejected, same, "left_anti")
 
 
+def _verdict_key(digest: Column, lang: Column, source: Column) -> Column:
+    """A number for all that a verdict depends on; a hash passes over nulls, so these are told apart by flags."""
+    return F.xxhash64(digest, lang, source, lang.isNull(), source.isNull())
+
+
 @query()
 def op7_quality_rules(spark, sf_dir):
     """Counts, limits and verdict of every document."""
