@@ -27,7 +27,8 @@ from churnkit.llm.common import Workspace, read_table
 from churnkit.llm.registry import query
 
 STRETCH = 64
-_MARKS = r"^((?:[ \t]*>)*)[ \t]?"
+_MARKS = r"^(?:[ \t]*>)*"
+_QUOTED = r"^[ \t]*>"
 
 
 def _before(df: DataFrame, keys: list[str], order: str, value: Column, name: str) -> DataFrame:
@@ -45,23 +46,39 @@ def _before(df: DataFrame, keys: list[str], order: str, value: Column, name: str
     return joined.withColumn(name, F.coalesce("_local", "_earlier")).drop("_value", "_stretch", "_local", "_earlier")
 
 
-def _lines(messages: DataFrame) -> DataFrame:
-    """One row per line: message, number, level, content and the hash of the normalised content (null if blank)."""
-    rows = messages.select("conv_id", "turn", "digest", F.posexplode(F.split("text", "\n", -1)).alias("number", "line"))
-    marks = F.regexp_extract("line", _MARKS, 1)
-    level = F.length(F.regexp_replace(marks, "[^>]", ""))
-    content = F.when(level > 0, F.regexp_replace("line", _MARKS, "")).otherwise(F.col("line"))
-    plain = F.lower(F.trim(F.regexp_replace(content, r"\s+", " ")))
-    rows = rows.select("conv_id", "turn", "digest", "number", level.alias("level"), content.alias("content"), plain.alias("plain"))
-    return rows.withColumn("hash", F.when(F.col("plain") != "", F.xxhash64("plain"))).drop("plain")
+def _parsed(messages: DataFrame) -> DataFrame:
+    """Each message with its lines as (level, hash of the normalised content, null if blank), and its text without quotes.
+
+    Lines are read inside their message; to find where they come from, only hashes move.
+    """
+    lines = F.split("text", "\n", -1)
+    marked = F.transform(lines, lambda l: F.struct(l.alias("line"), F.regexp_extract(l, _MARKS, 0).alias("marks")))
+
+    def entry(m: Column) -> Column:
+        level = F.length(m["marks"]) - F.length(F.translate(m["marks"], ">", ""))
+        plain = F.lower(F.trim(F.regexp_replace(F.substr(m["line"], F.length(m["marks"]) + 1), r"\s+", " ")))
+        return F.struct(level.alias("level"), F.when(plain != "", F.xxhash64(plain)).alias("hash"))
+
+    bare = F.array_join(F.filter(lines, lambda l: ~l.rlike(_QUOTED)), "\n")
+    placed = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    return messages.select(
+        "conv_id",
+        "turn",
+        "role",
+        F.xxhash64("text").alias("digest"),
+        F.when(placed, F.transform(marked, entry)).alias("lines"),
+        F.when(placed, bare).otherwise(F.col("text")).alias("text"),
+    )
 
 
 def link_quotations(messages: DataFrame) -> DataFrame:
     """conv_id, turn, role, position, reply_to, n_quoted and n_linked lines, and text without quotes."""
     ws = Workspace(messages.sparkSession)
-    own = messages.select("conv_id", "turn", "role", "text", F.xxhash64("text").alias("digest"))
+    own = ws.write(_parsed(messages))
     placed = own.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
-    lines = ws.write(_lines(placed.select("conv_id", "turn", "digest", "text").distinct()))
+    lines = placed.select("conv_id", "turn", "digest", "lines").distinct()
+    lines = lines.select("conv_id", "turn", "digest", F.posexplode("lines").alias("number", "line"))
+    lines = ws.write(lines.select("conv_id", "turn", "digest", "number", "line.level", "line.hash"))
 
     # Originals and quotes of the same line, in the order of turns; the latest original before each quote.
     known = lines.where(F.col("hash").isNotNull())
@@ -72,6 +89,7 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     # Lines of one level in a row have the same difference of number and rank.
     run = F.col("number") - F.row_number().over(Window.partitionBy(*message, "level").orderBy("number"))
     quoted = ws.write(quoted.withColumn("run", run))
+    ws.drop(lines)
     votes = quoted.where(F.col("source").isNotNull()).groupBy(*message, "level", "run", "source").agg(
         F.count("*").alias("votes"), F.min("number").alias("first")
     )
@@ -80,10 +98,6 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     outer = F.max(F.struct(-F.col("level"), F.col("best.votes"), -F.col("first"), F.col("best.source"))).alias("outer")
     linked = passages.groupBy(*message).agg(outer, F.sum("linked").alias("n_linked"))
     linked = linked.select(*message, F.col("outer.source").alias("answers"), "n_linked")
-    counted = quoted.groupBy(*message).agg(F.count("*").alias("n_quoted"))
-    left = lines.where("level = 0").groupBy(*message)
-    left = left.agg(F.sort_array(F.collect_list(F.struct("number", "content"))).alias("left"))
-    left = left.select(*message, F.array_join("left.content", "\n").alias("bare"))
 
     # Positions: how many turns of the conversation come before, counted in the same two steps.
     turns = placed.select("conv_id", "turn").distinct()
@@ -96,20 +110,18 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     turns = turns.withColumn("rank", rank).join(sizes, ["conv_id", "_stretch"])
     turns = turns.select("conv_id", "turn", "previous", (F.col("rank") + F.col("skipped") - 1).alias("position"))
 
-    done = own.join(turns, ["conv_id", "turn"], "left").join(left, message, "left")
-    done = done.join(linked, message, "left").join(counted, message, "left")
+    done = own.join(turns, ["conv_id", "turn"], "left").join(linked, message, "left")
     none = F.lit(0).cast("long")
-    outside = F.col("position").isNull()
-    text = F.when(outside | F.col("text").isNull(), F.col("text")).otherwise(F.coalesce("bare", F.lit("")))
+    quotes = F.size(F.filter("lines", lambda l: l["level"] > 0)).cast("long")
     return done.select(
         "conv_id",
         "turn",
         "role",
         F.col("position").cast("long").alias("position"),
         F.coalesce("answers", "previous").alias("reply_to"),
-        F.coalesce("n_quoted", none).alias("n_quoted"),
+        F.when(F.col("lines").isNull(), none).otherwise(quotes).alias("n_quoted"),
         F.coalesce("n_linked", none).alias("n_linked"),
-        text.alias("text"),
+        "text",
     )
 
 
