@@ -3,8 +3,12 @@
 A first pass notes every long line's key in a filter of keys seen at all and a filter of keys seen twice. Filters of
 parts of the data merge exactly: a key is seen twice if either part saw it twice, or if both saw it once. A second pass
 shuffles only keys that the second filter suspects; these are counted exactly, so that a false suspicion costs
-a row and never changes a result. The filter has a fixed number of bits (``filter_bits``, 16 MB as given). When
-far more lines than that are read it suspects more of them, up to all; results stay the same.
+a row and never changes a result. The filter has 8 bits for each long line that the texts have room for, up to ``most_bits``
+(2^29 as given, 64 MB), as every Python worker holds it. Of far more lines than that it suspects more, up to all; results
+stay the same.
+
+A key that a share of all suspects holds would meet in one task. Keys with more than one in ``_HOT`` of the suspects are
+at most ``_HOT`` in number, so these are broadcast; all others meet their keeper in a shuffle.
 
 Defined cases: a null or empty text is one empty line and keeps it. Lines are split at \\n alone, so \\r stays part of a
 line and is stripped from its key only. Rows that repeat a doc_id count as one document and all get the same decision.
@@ -22,14 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.functions import named
-from churnkit.llm.common import Workspace, batch, read_table, texts_of
+from churnkit.llm.common import Workspace, batch, read_table, text_bytes, texts_of
 from churnkit.llm.registry import query
 
 _BLANKS = " \t\n\x0b\x0c\r"
 _UPPER_TO_LOWER = {c: c + 32 for c in range(65, 91)}
 _PROBES = 4
 _SLICE_BITS = 18
-_SALTS = 16
+_HOT = 10_000
 
 
 def line_key(line: str) -> str:
@@ -123,35 +127,36 @@ def _suspects(docs: DataFrame, twice: bytes, filter_bits: int, min_chars: int) -
     return docs.select("doc_id", "text").mapInArrow(pick, "key binary, doc_id long")
 
 
+def bits_for(size: int, min_chars: int, most_bits: int) -> int:
+    """The logarithm of the filter's bits: 8 for each line of ``min_chars`` that ``size`` bytes of text have room for."""
+    lines = size // (min_chars + 1) + 1
+    return min(max((8 * lines - 1).bit_length(), _SLICE_BITS), most_bits)
+
+
 def dedup_lines(
-    docs: DataFrame, min_docs: int = 5, min_chars: int = 40, filter_bits: int = 27, with_row: bool = False
+    docs: DataFrame, min_docs: int = 5, min_chars: int = 40, most_bits: int = 29, with_row: bool = False
 ) -> DataFrame:
     """Documents without the lines whose key, ``min_chars`` long or more, ``min_docs`` documents or more share.
 
     The document with the largest doc_id keeps such lines. Returns doc_id, text (what is left; null stays null), n_lines
     before dropping and n_dropped, and on request ``row``, a struct of all columns as they came.
     """
-    if filter_bits < _SLICE_BITS:
-        raise ValueError(f"filter_bits must be at least {_SLICE_BITS}")
+    if most_bits < _SLICE_BITS:
+        raise ValueError(f"most_bits must be at least {_SLICE_BITS}")
     ws = Workspace(docs.sparkSession)
+    filter_bits = bits_for(text_bytes(docs), min_chars, most_bits)
     twice = twice_seen(docs, filter_bits, min_chars)
     suspects = ws.write(_suspects(docs, twice, filter_bits, min_chars).distinct())
-    shared = (
-        suspects.groupBy("key")
-        .agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
-        .where(F.col("n") >= min_docs)
-    )
-    # A key that a third of the documents hold would meet in one task: each meets its keeper in one of several.
-    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
-    lost = (
-        suspects.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS)).cast("int"))
-        .join(shared.select("key", "keeper", salts.alias("salt")), ["key", "salt"])
-        .where(F.col("doc_id") < F.col("keeper"))
-        .groupBy("doc_id")
-        .agg(F.collect_list("key").alias("lost"))
-    )
+    shared = suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
+    shared = ws.write(shared.where(F.col("n") >= min_docs))
+    hot = F.col("n") > suspects.count() // _HOT
+    marked = suspects.join(F.broadcast(shared.where(hot).select("key", F.col("keeper").alias("known"))), "key", "left")
+    rest = marked.where(F.col("known").isNull()).join(shared.where(~hot).select("key", "keeper"), "key")
+    found = marked.where(F.col("doc_id") < F.col("known")).select("doc_id", "key")
+    found = found.unionAll(rest.where(F.col("doc_id") < F.col("keeper")).select("doc_id", "key"))
+    lost = found.groupBy("doc_id").agg(F.collect_list("key").alias("lost"))
     lost = ws.write(lost)
-    ws.drop(suspects)
+    ws.drop(suspects, shared)
     row = F.struct(*[named(c) for c in docs.columns]).alias("row")
     held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[row] * with_row)
     # One plan at every size: the texts meet their lost lines in a merge join, never in a broadcast.

@@ -11,11 +11,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from churnkit.llm import line_dedup
 from churnkit.llm import near_duplicates as near
 from churnkit.llm.common import Workspace
 from churnkit.llm.components import components
 from churnkit.llm.decontaminate import drop_leaks, leak_report
-from churnkit.llm.line_dedup import dedup_lines, line_key
+from churnkit.llm.line_dedup import bits_for, dedup_lines, line_key
 from churnkit.llm.substring_dedup import remove_repeats
 from tests.llm.samples import LINE, PASSAGE, some_rows, table
 
@@ -221,20 +222,26 @@ def expected_lines(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("bits", [18, 20])
-def test_shared_lines_stay_in_one_document(docs, rows, bits):
-    found = dedup_lines(docs, filter_bits=bits).select("doc_id", "n_lines", "n_dropped", "text").collect()
+@pytest.mark.parametrize("hot", [1, 10_000])
+def test_shared_lines_stay_in_one_document(docs, rows, hot, monkeypatch):
+    """Once all shared keys meet their keepers in a shuffle, once all are broadcast."""
+    monkeypatch.setattr(line_dedup, "_HOT", hot)
+    found = dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "text").collect()
     assert sorted((tuple(r) for r in found), key=str) == expected_lines(rows)
     assert any(r.n_dropped for r in found)
 
 
+def test_the_filter_grows_with_the_texts():
+    assert [bits_for(size, 40, 29) for size in (0, 10**6, 10**8, 10**9, 10**13)] == [18, 18, 25, 28, 29]
+
+
 def test_a_full_filter_changes_nothing(spark):
     """Far more keys than the filter has bits for: all are suspected, and counted exactly."""
     rows = [(i, "\n".join(f"{i} {j} this line is long enough and has no copy anywhere" for j in range(900))) for i in range(80)]
     rows += [(i, LINE) for i in range(100, 104)]
-    assert {r.n_dropped for r in dedup_lines(table(spark, rows), filter_bits=18).collect()} == {0}
+    assert {r.n_dropped for r in dedup_lines(table(spark, rows), most_bits=18).collect()} == {0}
     rows.append((104, LINE))
-    assert sum(r.n_dropped for r in dedup_lines(table(spark, rows), filter_bits=18).collect()) == 4
+    assert sum(r.n_dropped for r in dedup_lines(table(spark, rows), most_bits=18).collect()) == 4
 
 
 def test_rows_pass_through(docs, empty):
