@@ -222,6 +222,7 @@ def decimal_profile(spark, sf_dir):
 
 
 _WIDTH = 500
+_CELLS = 10_000_000
 
 
 @query(
@@ -233,8 +234,13 @@ _WIDTH = 500
              from orders cross join (select unnest(range({_WIDTH})) as i)) group by i"""
 )
 def wide_profile(spark, sf_dir):
-    """500 number columns, counted in batches of columns."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    """500 number columns, counted in batches of columns.
+
+    The two columns that they are made of are written in files of about ``_CELLS`` cells each, since a small file is read
+    by one task however much is made of it.
+    """
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
+    orders = Workspace(spark).write(orders.repartition(max(1, -(-orders.count() * _WIDTH // _CELLS))))
     wide = orders.selectExpr(*[f"(o_orderkey * {i + 3} + o_custkey) % {2 * i + 5} as c{i}" for i in range(_WIDTH)])
     return _rounded(profile.column_profile(wide, wide.columns, Workspace(spark)), *_FIGURES, digits=5)
 

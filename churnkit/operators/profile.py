@@ -18,6 +18,8 @@ from churnkit.sources import Workspace
 # Columns that are counted in one scan, and counters that a task may hold for them.
 MOST_COLUMNS = 64
 MOST_VALUES = 2_000_000
+# Columns of one aggregate that the JVM still compiles to machine code.
+FEW_COLUMNS = 16
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -82,6 +84,10 @@ def is_number(kind: T.DataType) -> bool:
     return isinstance(kind, (T.NumericType, T.BooleanType))
 
 
+def is_whole(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.IntegralType)
+
+
 def value_table(
     df: DataFrame, columns: Sequence[str], label: Column | None = None, hashed: Sequence[str] = ()
 ) -> DataFrame:
@@ -91,6 +97,17 @@ def value_table(
     their exact value. Of ``hashed`` columns the text is a digest: free text is counted without being moved. Summed inside
     every task before the shuffle, so a value that most rows hold costs one row per task.
     """
+    carried, sums = [], [F.count(F.lit(1)).alias("n_rows")]
+    if label is not None:
+        carried = [label.alias("_label")]
+        sums += [F.count("_label").alias("n_labelled"), F.count_if(F.col("_label") == 1.0).alias("n_positive")]
+    if columns and all(is_whole(df, c) and c not in hashed for c in columns):
+        # Places and whole numbers are counted as they are; name and text are made once per value, not once per cell.
+        own = F.posexplode(F.array(*[named(c).cast("long") for c in columns])).alias("_place", "_value")
+        counts = df.select(*carried, own).groupBy("_place", "_value").agg(*sums)
+        feature = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_place") + 1)
+        number, text = F.col("_value").cast("double").alias("number"), F.col("_value").cast("string").alias("text")
+        return counts.select(feature.alias("feature"), number, text, *counts.columns[2:])
     cells = []
     for name in columns:
         kind = df.schema[name].dataType
@@ -102,22 +119,24 @@ def value_table(
                 F.lit(name).alias("feature"), number.cast("double").alias("number"), text.cast("string").alias("text")
             )
         )
-    carried, sums = [], [F.count(F.lit(1)).alias("n_rows")]
-    if label is not None:
-        carried = [label.alias("_label")]
-        sums += [F.count("_label").alias("n_labelled"), F.count_if(F.col("_label") == 1.0).alias("n_positive")]
     return df.select(*carried, F.inline(F.array(*cells))).groupBy("feature", "number", "text").agg(*sums)
 
 
 def column_batches(df: DataFrame, columns: Sequence[str], most_columns: int, most_values: int) -> list[list[str]]:
     """Columns dealt into batches of at most ``most_columns``, whose estimated distinct values add up to ``most_values``.
 
-    Booleans and bytes have few values by their type; the others are estimated, narrow scans again. A column of more values
-    than that is a batch of its own.
+    Booleans and bytes have few values by their type, and whole numbers no more than their range, which is found with less
+    work; the others are estimated, narrow scans again. A column of more values than that is a batch of its own.
     """
     tiny = {c for c in columns if isinstance(df.schema[c].dataType, (T.BooleanType, T.ByteType))}
-    asked = [c for c in columns if c not in tiny]
     size = dict.fromkeys(tiny, 256)
+    whole = [c for c in columns if c not in tiny and is_whole(df, c)]
+    for i in range(0, len(whole), FEW_COLUMNS):
+        own = whole[i : i + FEW_COLUMNS]
+        ends = df.agg(*[f(named(c)).alias(f"{n}{k}") for k, c in enumerate(own) for n, f in (("min", F.min), ("max", F.max))]).first()
+        ranges = {c: (ends[f"max{k}"] or 0) - (ends[f"min{k}"] or 0) + 2 for k, c in enumerate(own)}  # null is a value
+        size |= {c: n for c, n in ranges.items() if n <= most_values // most_columns}
+    asked = [c for c in columns if c not in size]
     for i in range(0, len(asked), MOST_COLUMNS):
         own = asked[i : i + MOST_COLUMNS]
         size |= zip(own, df.agg(*[F.approx_count_distinct(named(c)).alias(f"n{k}") for k, c in enumerate(own)]).first())
@@ -150,7 +169,9 @@ def value_counts(
     """
     if len(columns) <= most_columns:
         return value_table(df, columns, label, hashed)
-    batches = column_batches(df, columns, most_columns, most_values)
+    whole = [c for c in columns if is_whole(df, c) and c not in hashed]
+    kinds = (whole, [c for c in columns if c not in whole])
+    batches = [b for kind in kinds for b in column_batches(df, kind, most_columns, most_values)]
     return reduce(DataFrame.unionByName, [ws.write(value_table(df, b, label, hashed)) for b in batches])
 
 
@@ -198,6 +219,31 @@ def figures(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*sums).select(F.inline(F.array(*cells)))
 
 
+def counted_figures(df: DataFrame, columns: Sequence[str], counts: DataFrame) -> DataFrame:
+    """``figures`` from the rows per value: the table itself is not read again.
+
+    Squares are taken of differences from the mean, in a second pass over the counts.
+    """
+    own = counts.select("feature", "number", F.coalesce("text", F.col("number").cast("string")).alias("value"), "n_rows")
+    n = F.when(F.col("number").isNotNull(), F.col("n_rows"))
+    sums = own.groupBy("feature").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n_rows"))).alias("n_null"),
+        F.sum(n).alias("_n"),
+        F.try_divide(F.sum(F.col("number") * n), F.sum(n)).alias("mean"),
+        F.min("number").alias("min"),
+        F.max("number").alias("max"),
+    )
+    # One row per column of the table on every side.
+    far = own.join(F.broadcast(sums.select("feature", "mean")), "feature").groupBy("feature")
+    squares = far.agg(F.sum((F.col("number") - F.col("mean")) * (F.col("number") - F.col("mean")) * n).alias("_squares"))
+    listed = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+    found = sums.join(F.broadcast(squares), "feature").withColumnRenamed("feature", "column")
+    count = {c: F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("n_rows", "n_null")}
+    stddev = F.when(F.col("_n") > 1, F.sqrt(F.col("_squares") / (F.col("_n") - 1))).alias("stddev")
+    return listed.join(F.broadcast(found), "column", "left").select("column", *count.values(), "mean", stddev, "min", "max")
+
+
 def quantile_name(q: float) -> str:
     """p25 for 0.25, p99_9 for 0.999: no two quantiles share a name."""
     percent = format((Decimal(str(q)) * 100).normalize(), "f")
@@ -225,6 +271,7 @@ def column_profile(
     else:
         counts = counts.where(F.col("feature").isin(*columns))
     values = counts.select("feature", "number", "text", "n_rows")
+    wide_table = len(columns) > most_columns
     counts, again = ranking.cut(values, ["feature", "number", "text"], ws, slice_rows, most_slices)
     per_slice = ws.write(
         counts.groupBy("feature", "slice").agg(
@@ -240,9 +287,9 @@ def column_profile(
         .groupBy(F.col("feature").alias("column"))
         .agg(*[F.max(F.when(F.col("quantile") == q, F.col("number"))).alias(n) for q, n in names.items()])
     )
-    # One row per column of the table on every side.
+    # A wide table is not read again. One row per column of the table on every side.
     return (
-        figures(df, columns)
+        (counted_figures(df, columns, counts) if wide_table else figures(df, columns))
         .join(F.broadcast(distinct), "column", "left")
         .join(F.broadcast(wide), "column", "left")
         .withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))

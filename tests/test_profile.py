@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from churnkit.catalog import reports
 from churnkit.operators import explore, profile
 from churnkit.sources import Workspace
 
@@ -126,6 +127,42 @@ def test_wide_tables_are_counted_in_batches_of_columns(spark, ws):
     assert sorted(counts.collect(), key=key) == sorted(profile.value_table(df, df.columns).collect(), key=key)
 
 
+def test_a_wide_table_is_not_read_again_for_its_figures(spark, ws, monkeypatch):
+    """Means, deviations and extremes of many columns come from the rows per value and equal those of a scan."""
+    cells = ["id % 7 as a", "if(id % 3 = 0, null, id) as b", "cast(id as double) / 7 as x", "if(id < 9, null, 'v') as t", "id % 2 = 0 as e"]
+    df = spark.range(500).selectExpr(*cells, "cast(null as int) as n", "cast(id as smallint) - 250 as s")
+    key = lambda r: r["column"]
+    rounded = lambda rows: [[round(v, 9) if isinstance(v, float) else v for v in r] for r in rows]
+    for table in (df, df.where("a > 9"), df.where("b = 1")):
+        scanned = sorted(profile.figures(table, df.columns).collect(), key=key)
+        counted = sorted(profile.counted_figures(table, df.columns, profile.value_table(table, df.columns)).collect(), key=key)
+        assert rounded(counted) == rounded(scanned)
+    whole = sorted(profile.column_profile(df, df.columns, ws).collect(), key=key)
+    monkeypatch.setattr(profile, "figures", None)
+    counted = sorted(profile.column_profile(df, df.columns, ws, most_columns=3).collect(), key=key)
+    assert rounded(counted) == rounded(whole)
+
+
+def test_whole_numbers_are_counted_as_numbers(spark):
+    """Names and texts are made per value; rows are those of the table with a column of another type beside them."""
+    df = spark.range(300).selectExpr("if(id % 5 = 0, null, id % 11) as a", "cast(id % 3 as tinyint) - 1 as b", "'t' as t", "id % 2 as y")
+    label = F.col("y").cast("double")
+    key = lambda r: str(tuple(r))
+    for own in (None, label):
+        fast, slow = profile.value_table(df, ["a", "b"], own), profile.value_table(df, ["a", "b", "t"], own).where("feature <> 't'")
+        assert fast.dtypes == slow.dtypes and sorted(fast.collect(), key=key) == sorted(slow.collect(), key=key)
+    assert "struct" not in profile.value_table(df, ["a", "b"])._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_wide_table_made_of_a_small_file_is_spread(spark, tmp_path, monkeypatch):
+    spark.range(4000).selectExpr("id as o_orderkey", "id % 50 as o_custkey").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(reports, "_CELLS", 250_000)
+    files = []
+    monkeypatch.setattr(reports.profile, "column_profile", lambda df, *_: (files.extend(df.inputFiles()), spark.range(0).selectExpr(*[f"id as {c}" for c in reports._FIGURES]))[1])
+    reports.wide_profile(spark, str(tmp_path))
+    assert len(files) == 8
+
+
 def test_profile_does_not_depend_on_partitions(spark, skewed, ws):
     tables = [skewed_table(spark, skewed, n) for n in (1, 3, 8)]
     exact = ["column", "n_rows", "n_null", "n_distinct", "min", "p25", "p50", "p75", "max"]
