@@ -15,12 +15,32 @@ from churnkit.sources import Workspace
 PRIOR = 10
 
 
-def fold_counts(train: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, value, fold, n_rows, n_positive) of the training rows, all columns in one scan; nulls are no value."""
+def fold_counts(train: DataFrame, columns: Sequence[str], folds: int) -> DataFrame:
+    """(feature, value, own) of the training rows, all columns in one scan; nulls are no value.
+
+    ``own`` has the numbers of rows and of positive ones in every fold, 0 .. folds - 1: a value is one row.
+    """
     cells = [F.struct(F.lit(c).alias("feature"), named(c).cast("string").alias("value")) for c in columns]
     long = train.select(F.col(FOLD).alias("fold"), F.col(LABEL).alias("_label"), F.inline(F.array(*cells))).where("value is not null")
-    positive = F.count_if(F.col("_label") == 1.0).alias("n_positive")
-    return long.groupBy("feature", "value", "fold").agg(F.count(F.lit(1)).alias("n_rows"), positive)
+    sums = [f.alias(f"{n}{k}") for k in range(folds) for n, f in (
+        ("n", F.count_if(F.col("fold") == k)), ("p", F.count_if((F.col("fold") == k) & (F.col("_label") == 1.0)))
+    )]
+    own = [F.struct(F.col(f"n{k}").alias("n_rows"), F.col(f"p{k}").alias("n_positive")) for k in range(folds)]
+    return long.groupBy("feature", "value").agg(*sums).select("feature", "value", F.array(*own).alias("own"))
+
+
+def without_own(counts: DataFrame, folds: int) -> DataFrame:
+    """(feature, value, fold, n_rows, n_positive): rows outside of each fold, and all of them as fold ``folds``.
+
+    A value has a row only if it has any such rows. Made from the value's own row, so nothing is shuffled.
+    """
+    def outside(k: int, cell: str) -> Column:
+        return sum((F.col("own")[j][cell] for j in range(folds) if j != k), F.lit(0).cast("long"))
+
+    cells = [
+        F.struct(F.lit(k).alias("fold"), *[outside(k, c).alias(c) for c in ("n_rows", "n_positive")]) for k in range(folds + 1)
+    ]
+    return counts.select("feature", "value", F.inline(F.array(*cells))).where("n_rows > 0")
 
 
 def target_bins(
@@ -33,19 +53,14 @@ def target_bins(
     the share of all rows as if they had ``prior`` more rows of it, ties by value, and cut into ``bins`` of about
     equal numbers of rows. Shares are compared as quotients of whole numbers. No list of values is held anywhere.
     """
-    counts = ws.write(fold_counts(train, columns))
-    every = F.sequence(F.lit(0), F.lit(folds))
-    without = F.explode(F.filter(every, lambda k: k != F.col("own"))).alias("fold")
-    spread = counts.withColumnRenamed("fold", "own").select("feature", "value", "n_rows", "n_positive", without)
-    sums = [F.sum(c).alias(c) for c in ("n_rows", "n_positive")]
-    values = ws.write(spread.groupBy("feature", "fold", "value").agg(*sums))
+    values = ws.write(without_own(fold_counts(train, columns, folds), folds))
     # A row per column and fold.
     totals = values.groupBy("feature", "fold").agg(F.sum("n_rows").alias("_rows"), F.sum("n_positive").alias("_positive"))
     share = (F.col("n_positive") * F.col("_rows") + F.lit(prior) * F.col("_positive")).cast("double") / (
         F.col("_rows") * (F.col("n_rows") + F.lit(prior))
     ).cast("double")
     scored = values.join(F.broadcast(totals), ["feature", "fold"]).withColumn("share", share).drop("_rows", "_positive")
-    cut = equal_parts(scored, ["feature", "fold"], ["share", "value"], "n_rows", bins, ws, slice_rows)
+    cut = equal_parts(scored, ["feature", "fold"], ["share", "value"], "n_rows", bins, ws, slice_rows, written=values)
     return cut.select("feature", "fold", "value", "n_rows", "n_positive", "bin")
 
 

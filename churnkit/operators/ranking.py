@@ -35,22 +35,25 @@ def sliced(df: DataFrame, order: Sequence[Column | str], ws: Workspace, slice_ro
 
 
 def _with_earlier(
-    df: DataFrame, groups: Sequence[str], order: Sequence[Column | str], weight: Column, ws: Workspace, slice_rows: int
+    df: DataFrame, groups: Sequence[str], order: Sequence[Column | str], weight: Column, ws: Workspace, slice_rows: int,
+    written: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``_upto``, the weights of the group up to and with the row, from slices that grow in number, not in size.
 
-    All slices are read, so they are a column and no folders. ``order`` has to tell the rows of a group apart.
+    All slices are read, so they are a column and no folders. ``order`` has to tell the rows of a group apart. ``written`` is
+    the table of which ``df`` has the rows, if it need not be written first; it is dropped. Groups are columns or folds: few.
     """
-    rows = ws.write(df)
-    slices = max(1, -(-rows.count() // slice_rows))
+    rows = ws.write(df) if written is None else df
+    slices = max(1, -(-(rows if written is None else written).count() // slice_rows))
     ranged = rows.repartitionByRange(slices, *groups, *order).withColumns({"slice": F.spark_partition_id(), "_weight": weight})
     table = ws.write(ranged)
-    ws.drop(rows)
+    ws.drop(rows if written is None else written)
     earlier = Window.partitionBy(*groups).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sizes = table.groupBy(*groups, "slice").agg(F.sum("_weight").alias("_sum"))
     before = sizes.select(*groups, "slice", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
     inside = Window.partitionBy(*groups, "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    placed = table.withColumn("_inside", F.sum("_weight").over(inside)).join(before, [*groups, "slice"])
+    # A row per group and slice.
+    placed = table.withColumn("_inside", F.sum("_weight").over(inside)).join(F.broadcast(before), [*groups, "slice"])
     return placed.withColumn("_upto", F.col("_inside") + F.col("_before")).drop("slice", "_inside", "_before")
 
 
@@ -63,13 +66,13 @@ def ranked(
 
 def equal_parts(
     df: DataFrame, groups: Sequence[str], order: Sequence[Column | str], weight: str, parts: int, ws: Workspace,
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int = SLICE_ROWS, written: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``bin``, 0 .. parts - 1: each group's rows in order, cut into parts of equal total weight.
 
     A row is never divided; it belongs to the part in which its first unit of weight lies.
     """
-    placed = _with_earlier(df, groups, order, F.col(weight).cast("long"), ws, slice_rows)
-    totals = df.groupBy(*groups).agg(F.sum(weight).alias("_total"))
+    totals = ws.write(df.groupBy(*groups).agg(F.sum(weight).alias("_total")))
+    placed = _with_earlier(df, groups, order, F.col(weight).cast("long"), ws, slice_rows, written)
     cut = F.expr(f"cast((_upto - _weight) * {parts} div _total as int)")
-    return placed.join(totals, list(groups)).withColumn("bin", cut).drop("_upto", "_weight", "_total")
+    return placed.join(F.broadcast(totals), list(groups)).withColumn("bin", cut).drop("_upto", "_weight", "_total")

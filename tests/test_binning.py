@@ -86,6 +86,28 @@ def test_bins_do_not_look_at_the_row_itself(spark):
         assert {r.wide_bin for r in found.select("wide_bin").distinct().collect()} == {31.0}
 
 
+def test_values_of_all_folds_come_from_one_shuffle(spark, ws):
+    """A value's counts without each fold are made of its one row; sorting needs the table written once more, in slices."""
+    df = spark.range(900).selectExpr("concat('v', id % 90) as g", "cast(id % 4 = 0 as double) as label", "cast(id % 3 as int) as fold")
+    plans, write = [], ws.write
+    ws.write = lambda t, *a: (plans.append(t._jdf.queryExecution().optimizedPlan()), write(t, *a))[1]
+    target_bins(df, ["g"], 3, 31, ws, slice_rows=100)
+    made = plans[0].toString()
+    assert made.count("Aggregate") == 1
+    assert len(plans) == 3  # counts, totals, slices
+
+
+def test_joined_vectors_are_stored_for_training(spark):
+    """A fit reads its rows several times; codes and bins are joined to them once."""
+    df = spark.range(400).selectExpr("id as k", "concat('v', id % 100) as wide", "if(id % 3 = 0, 'Yes', 'No') as y")
+    spec = TableSpec(keys=("k",), label="y", positive_value="Yes", numeric=(), categorical=("wide",))
+    with jobs.prepare(df, spec, SplitSpec()) as prepared:
+        plan = prepared.train._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and prepared.train is prepared.train
+        key = lambda r: str(tuple(r))
+        assert sorted(prepared.train.collect(), key=key) == sorted(prepared.training_vectors.collect(), key=key)
+
+
 def test_tables_without_wide_columns_have_one_vector(spark):
     with jobs.prepare(raw_table(spark).drop("wide"), TableSpec(("id",), "y", "Yes"), SPLIT) as prepared:
         assert prepared.model.outputs == [features.FEATURES] and features.BINNED not in prepared.train.columns
