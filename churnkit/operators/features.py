@@ -133,6 +133,11 @@ class Vectors:
     bins: Bins | None = None
     binned: VectorAssembler | None = None
 
+    @property
+    def joined(self) -> bool:
+        """Whether codes or bins are joined to the rows."""
+        return self.bins is not None or bool(self.codes and self.codes.wide)
+
     @property
     def outputs(self) -> list[str]:
         return [FEATURES] if self.bins is None else [FEATURES, BINNED]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,9 +58,14 @@ class Prepared(Owned):
         return features.vectorise(self.rows, self.model, self.rows.columns)
 
     @property
-    def train(self) -> DataFrame:
+    def training_vectors(self) -> DataFrame:
         return features.vectorise(self.rows.where(in_train(self.split)), self.model, [LABEL, SAMPLE, FOLD])
 
+    @cached_property
+    def train(self) -> DataFrame:
+        """Training vectors. Those that take joins are written once, since a fit reads its rows several times."""
+        return self.workspace.write(self.training_vectors) if self.model.joined else self.training_vectors
+
     @property
     def test(self) -> DataFrame:
         return features.vectorise(self.rows.where(in_test(self.split)), self.model, self.rows.columns)
@@ -175,7 +181,7 @@ def benchmark(
     partition size: an iteration of a fit is a task per file. Nothing written is left behind: the result is a row per spec.
     """
     with prepare(raw, spec, split, max_categories) as prepared:
-        train = prepared.workspace.write(prepared.train.hint("rebalance", F.col(FOLD)), [FOLD])
+        train = prepared.workspace.write(prepared.training_vectors.hint("rebalance", F.col(FOLD)), [FOLD])
         board = evaluated(list(zip(train_specs, search_all(train, train_specs, split, parallelism))), prepared)
         return raw.sparkSession.createDataFrame(board.collect(), board.schema)
 
