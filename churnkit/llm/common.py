@@ -17,6 +17,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Freed arrays of a megabyte and more go back to the system at once; by default a Python worker, which lives on between
+# tasks, keeps what its largest task needed.
+_LEAN = {
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": "1048576",
+    "MALLOC_TRIM_THRESHOLD_": "1048576",
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
+
+def lean_workers(spark: SparkSession) -> None:
+    """Python workers of operators made from now on hold no memory that they don't use; what the caller has set stays."""
+    for name, value in _LEAN.items():
+        spark.sparkContext.environment.setdefault(name, value)
+
+
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """Bytes of all texts: one column scan, one number."""
     return df.agg(F.sum(F.octet_length(text)).alias("n")).first().n or 0

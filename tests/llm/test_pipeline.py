@@ -63,3 +63,13 @@ def test_no_documents(spark, folder):
     empty = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id = -99")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, folder).collect() == []
+
+
+def test_workers_of_every_stage_hand_freed_memory_back(spark, folder, monkeypatch):
+    """The stages' operators are made with the settings, and what the caller has set stays."""
+    monkeypatch.setattr(spark.sparkContext, "environment", {"MALLOC_ARENA_MAX": "7"})
+    for _, stage in corpus_pipeline.STAGES:
+        spark.sparkContext.environment.pop("MALLOC_MMAP_THRESHOLD_", None)
+        stage(spark, spark.read.parquet(f"{folder}/documents.parquet").limit(0), folder)
+        assert spark.sparkContext.environment["MALLOC_MMAP_THRESHOLD_"] == "1048576"
+    assert spark.sparkContext.environment["MALLOC_ARENA_MAX"] == "7"
