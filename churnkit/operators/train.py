@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Estimator, Model
@@ -98,33 +98,35 @@ def search_all(
     """``search`` for several specs, ``parallelism`` fits at a time whichever spec and fold they belong to.
 
     Folds are filters on the stored fold, so nothing is cached; a fold's held-out rows are read once for all cells of a
-    spec. With ``validate=False`` grids of one cell are fitted without scoring them.
+    spec, as soon as its fits are there. A grid of one cell has nothing to choose, so it is fitted on all rows along with
+    the folds. With ``validate=False`` grids of one cell are fitted without scoring them.
     """
     runs = [_Run.of(train, spec, split) for spec in specs]
     if not validate and any(len(run.grid) > 1 for run in runs):
         raise ValueError("a grid of several cells needs validation")
     with ThreadPoolExecutor(parallelism) as pool:
-        folds: dict[tuple[int, int], list[float]] = {}
+        refits = {i: pool.submit(run.fit, 0) for i, run in enumerate(runs) if len(run.grid) == 1}
+        scored: dict[tuple[int, int], Future[list[float]]] = {}
         fits = [0] * len(runs)
         if validate:
-            tasks = [(i, k, cells) for i, run in enumerate(runs) for k in range(split.folds) for cells in run.alike()]
+            tasks = [(i, k, cells) for k in range(split.folds) for i, run in enumerate(runs) for cells in run.alike()]
             fitted = pool.map(lambda t: runs[t[0]].fit_alike(t[1], t[2]), tasks)
             models: dict[tuple[int, int], dict[int, Model]] = {}
             for (i, k, _), found in zip(tasks, fitted):
                 models.setdefault((i, k), {}).update(found)
                 fits[i] += len({id(m) for m in found.values()})
-            scored = pool.map(lambda at: runs[at[0]].scores(at[1], models[at]), models)
-            folds = dict(zip(models, scored))
-        means, best = [], []
+                if len(models[i, k]) == len(runs[i].grid):
+                    scored[i, k] = pool.submit(runs[i].scores, k, models.pop((i, k)))
+        folds, means, best = [], [], []
         for i, run in enumerate(runs):
-            own = [folds[i, k] for k in range(split.folds)] if validate else []
+            own = [scored[i, k].result() for k in range(split.folds)] if validate else []
+            folds.append(own)
             means.append([sum(s) / len(own) for s in zip(*own)] if own else [None])
             best.append(max(range(len(means[i])), key=means[i].__getitem__) if own else 0)
-        refitted = list(pool.map(lambda i: runs[i].estimator.fit(runs[i].rows, runs[i].grid[best[i]]), range(len(runs))))
-    return [
-        Search(refitted[i], run.cells, means[i], best[i], [folds[i, k] for k in range(split.folds)] if validate else [], fits[i])
-        for i, run in enumerate(runs)
-    ]
+            if i not in refits:
+                refits[i] = pool.submit(run.fit, best[i])
+        refitted = [refits[i].result() for i in range(len(runs))]
+    return [Search(refitted[i], run.cells, means[i], best[i], folds[i], fits[i]) for i, run in enumerate(runs)]
 
 
 def iterations(model: Model) -> int | None:
@@ -165,6 +167,10 @@ class _Run:
             groups.setdefault(repr(sorted((k, v) for k, v in cell.items() if k != "maxIter")), []).append(i)
         return [sorted(g, key=lambda i: -self.cells[i].get("maxIter", 0)) for g in groups.values()]
 
+    def fit(self, cell: int) -> Model:
+        """A cell's model of all rows."""
+        return self.estimator.fit(self.rows, self.grid[cell])
+
     def fit_alike(self, fold: int, cells: list[int]) -> dict[int, Model]:
         """A model for each of the cells, fitted on the other folds.
 

@@ -19,6 +19,8 @@ from churnkit.sources import Workspace
 from churnkit.spec import BENCHMARK, CHOSEN, MIN_RECALL, SplitSpec, TableSpec, TrainSpec
 
 PREDICTION = "prediction"
+# A vector is a few bytes, but every step of a fit works on it: files cut by bytes alone leave a fit with two tasks or three.
+FIT_ROWS = 100_000
 LEADERBOARD_SCHEMA = (
     "position int, algorithm string, undersample double, params map<string,string>, cv_f1 double"
 )
@@ -177,11 +179,12 @@ def benchmark(
 ) -> DataFrame:
     """Leaderboard: every spec searched on the training rows and measured on the same held-out rows.
 
-    The training vectors are written by fold, as every fit of every grid reads them, in files of about the advisory
-    partition size: an iteration of a fit is a task per file. Nothing written is left behind: the result is a row per spec.
+    The training vectors are written by fold, as every fit of every grid reads them, in files of at most the advisory
+    partition size and ``FIT_ROWS`` rows: an iteration of a fit is a task per file, or per core if files are many and small.
+    Nothing written is left behind: the result is a row per spec.
     """
     with prepare(raw, spec, split, max_categories) as prepared:
-        train = prepared.workspace.write(prepared.training_vectors.hint("rebalance", F.col(FOLD)), [FOLD])
+        train = prepared.workspace.write(prepared.training_vectors.hint("rebalance", F.col(FOLD)), [FOLD], FIT_ROWS)
         board = evaluated(list(zip(train_specs, search_all(train, train_specs, split, parallelism))), prepared)
         return raw.sparkSession.createDataFrame(board.collect(), board.schema)
 

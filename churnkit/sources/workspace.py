@@ -58,14 +58,18 @@ class Workspace:
         self._paths[id(path)] = path
         return path
 
-    def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """The rows of a plan as a table; filters and column choices still reach its files."""
+    def write(self, df: DataFrame, partition_by: Sequence[str] = (), file_rows: int | None = None) -> DataFrame:
+        """The rows of a plan as a table; filters and column choices still reach its files.
+
+        With ``file_rows`` no file has more rows than that.
+        """
         path = shared_folder(self.spark)
         before = {k: self.spark.conf.get(k) for k in _WRITING}
         for k, v in _WRITING.items():
             self.spark.conf.set(k, v)
         try:
-            df.write.partitionBy(*partition_by).parquet(path)
+            writer = df.write if file_rows is None else df.write.option("maxRecordsPerFile", file_rows)
+            writer.partitionBy(*partition_by).parquet(path)
         except BaseException:
             remove(self.spark, path)
             raise

@@ -166,6 +166,22 @@ def test_jobs_leave_nothing_behind(spark, raw):
         assert folders(spark) == before
 
 
+def test_training_vectors_are_in_files_of_bounded_rows(raw, monkeypatch):
+    per_file, write = [], sources.Workspace.write
+
+    def counted(self, df, *options):
+        table = write(self, df, *options)
+        if "fold" in table.columns and "features" in table.columns:
+            per_file.extend(table.groupBy(F.input_file_name()).count().collect())
+        return table
+
+    monkeypatch.setattr(sources.Workspace, "write", counted)
+    monkeypatch.setattr(jobs, "FIT_ROWS", 25)
+    jobs.benchmark(raw, TELCO, (TrainSpec("LogisticRegression", {"maxIter": (5,)}),), SPLIT)
+    sizes = [r["count"] for r in per_file]
+    assert 150 < sum(sizes) < 300 and max(sizes) <= 25 and len(sizes) >= 6
+
+
 def test_extra_columns_and_booleans_reach_the_scored_rows(spark):
     df = spark.range(200).select(
         F.col("id").cast("string").alias("id"), (F.col("id") % 3 == 0).alias("paperless"), (F.col("id") % 7).alias("n"),

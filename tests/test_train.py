@@ -1,3 +1,5 @@
+from threading import Event
+
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
@@ -128,6 +130,35 @@ def test_specs_searched_together_are_those_searched_alone(spark):
         assert (found.scores, found.best, found.cells, found.folds) == (alone.scores, alone.best, alone.cells, alone.folds)
 
 
+def test_a_grid_of_one_cell_is_fitted_on_all_rows_along_with_the_folds(spark, monkeypatch):
+    df, spec = rows(spark, 0.2), TrainSpec("LogisticRegression", {"regParam": (0.1,)})
+    plain = train.search(df, spec, SPLIT)
+    begun, fit, fit_alike = Event(), train.LogisticRegression.fit, train._Run.fit_alike
+
+    def noted(self, data, *params):
+        if data.count() == 400:
+            begun.set()
+        return fit(self, data, *params)
+
+    def after_refit(self, *at):
+        assert begun.wait(20)
+        return fit_alike(self, *at)
+
+    monkeypatch.setattr(train.LogisticRegression, "fit", noted)
+    monkeypatch.setattr(train._Run, "fit_alike", after_refit)
+    found = train.search(df, spec, SPLIT)
+    assert (found.scores, found.folds, found.best, found.fits) == (plain.scores, plain.folds, plain.best, plain.fits)
+    assert found.model.coefficients == plain.model.coefficients
+
+
+def test_refits_of_grids_wait_for_their_scores(spark):
+    df = rows(spark, 0.2)
+    specs = [TrainSpec("LogisticRegression", {"regParam": (100.0, 0.001)}), TrainSpec("LogisticRegression", {"regParam": (0.1,)})]
+    found = train.search_all(df, specs, SPLIT, parallelism=3)
+    assert found[0].best == 1 and found[0].model.getRegParam() == 0.001
+    assert [len(f.folds) for f in found] == [2, 2] and [len(f.scores) for f in found] == [2, 1]
+
+
 def test_scores_of_models_without_probabilities_are_between_0_and_1(spark):
     df = rows(spark, 0.2)
     for algorithm, grid in KINDS.items():
